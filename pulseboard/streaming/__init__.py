@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source system has no streaming operator (no watermark, window, state or
+late-data handling); every metric is a batch job over an explicit set of
+anchor dates. This package is kept empty on purpose; incremental daily runs
+are the batch ``plans.history.refresh`` job scheduled once per day.
+"""
