@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import Rules
 from ..functions.dates import Anchors, add_months_py
 from ..operators import roster as R
+from ..operators import renewal as RN
 from ..operators import touches as T
 from ..sources import Sources
 
@@ -63,6 +64,21 @@ class MetricsJob:
         """Allowlisted touches over the widest window the job needs."""
         return T.touch_base(self.src, self.allow, self.rules, self.touch_lo, self.touch_hi)
 
+    @cached_property
+    def touches_all(self) -> DataFrame:
+        """Touches of every rep (older renewal definitions do not allowlist)."""
+        return T.touch_sources(self.src, self.rules, self.touch_lo, self.touch_hi)
+
+    @cached_property
+    def renewal_keys(self) -> DataFrame:
+        """Distinct (org, day) of qualifying allowlisted touches."""
+        return RN.qualifying(self.base).select("org", "day").distinct()
+
+    @cached_property
+    def renewal_keys_by_rep(self) -> DataFrame:
+        """Distinct (org, rep, day) of qualifying touches of any rep."""
+        return RN.qualifying(self.touches_all).select("org", "rep", "day").distinct()
+
     def persist_shared(self) -> "MetricsJob":
         for df in (self.base,):
             self._persisted.append(df.persist())
