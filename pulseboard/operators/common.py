@@ -94,3 +94,9 @@ def lookup(col: Column, pairs, default: Column | None = None) -> Column:
     if out is None:
         return default if default is not None else F.lit(None)
     return out.otherwise(default) if default is not None else out
+
+
+def per_anchor(df: DataFrame, anchors: Anchors) -> DataFrame:
+    """Each row once per anchor, by exploding the (bounded) literal date list;
+    no join is planned."""
+    return df.withColumn("anchor", F.explode(F.array(*[F.lit(d) for d in anchors.dates])))
