@@ -119,6 +119,17 @@ def renewal_coverage(cohort: DataFrame, touch_keys: DataFrame, match_on: tuple[s
     ).withColumn("coverage_pct", safe_ratio("cohort_called", "cohort_total", 3))
 
 
+def renewal_contacted(cohort: DataFrame, touch_keys_by_rep: DataFrame, lookback: int = 120) -> DataFrame:
+    """Distinct (anchor, rep, org): reps with a qualifying touch to a cohort org
+    in [earliest renewal month of the org - lookback, anchor). The cohort side
+    is reduced to one row per (anchor, org) first, so each touch key meets at
+    most one row per anchor."""
+    min_rm = cohort.groupBy("anchor", "org").agg(F.min("renewal_month").alias("_min_rm"))
+    j = touch_keys_by_rep.join(min_rm, "org")
+    j = j.where((F.col("day") >= F.date_sub("_min_rm", lookback)) & (F.col("day") < F.col("anchor")))
+    return j.select("anchor", "rep", "org").distinct()
+
+
 PIVOT_FIELDS = (("total", "cohort_total"), ("called", "cohort_called"), ("pct", "coverage_pct"),
                 ("m2m", "m2m_orgs"), ("m2m_called", "m2m_called"), ("annual", "annual_orgs"))
 

@@ -71,6 +71,18 @@ def touch_base(src: Sources, allow: DataFrame, rules: Rules, lo: dt.date | None,
     return touch_sources(src, rules, lo, hi).join(allow.select("rep"), "rep").select(*TOUCH_COLS)
 
 
+def call_touches(src: Sources, allow: DataFrame, which: str) -> DataFrame:
+    """Allowlisted calls of one source with their length (whole table)."""
+    if which == "a":
+        c = src.calls_a.where((F.lower("status") == F.lit("completed")) & F.col("org").isNotNull())
+        c = c.select(F.to_date("start_at").alias("day"), "rep", "org", F.col("call_id").alias("source_id"), "minutes")
+    else:
+        c = src.calls_b.where(F.col("org").isNotNull())
+        c = c.select(F.to_date("inserted_at").alias("day"), "rep", "org", F.col("call_id").alias("source_id"),
+                     "seconds")
+    return c.join(allow.select("rep"), "rep")
+
+
 def unlogged_calls(base: DataFrame) -> DataFrame:
     """Qualifying calls with no CRM action for the same rep, org and day.
 

@@ -23,7 +23,13 @@ from ..sources import Sources
 
 
 class MetricsJob:
-    def __init__(self, src: Sources, rules: Rules, anchors: Anchors):
+    def __init__(self, src: Sources, rules: Rules, anchors: Anchors, variant: str = "current"):
+        """``variant`` picks the allowlist form: "current" (full columns, UNION
+        ALL with exceptions), "names" (DISTINCT names + exceptions, recompute
+        scripts) or "legacy" (DISTINCT names, no exceptions, older backfills)."""
+        if variant not in ("current", "names", "legacy"):
+            raise ValueError(variant)
+        self.variant = variant
         self.src = src
         self.rules = rules
         self.anchors = anchors
@@ -45,6 +51,10 @@ class MetricsJob:
     # ---- allowlists ---------------------------------------------------
     @cached_property
     def allow(self) -> DataFrame:
+        if self.variant == "names":
+            return self.allow_names
+        if self.variant == "legacy":
+            return self.allow_legacy
         return R.rep_allowlist(self.src.roster, self.rules)
 
     @cached_property
@@ -89,5 +99,3 @@ class MetricsJob:
             df.unpersist()
         self._persisted.clear()
 
-    def anchor_col(self, df: DataFrame) -> DataFrame:
-        return df
