@@ -414,3 +414,74 @@ def q_daily_columns(spark, sf):
     j = job_for(spark, sf)
     return D.daily_columns(j.src.snapshots.select("snapshot_date", "rep"), j.src, j.allow, j.rules,
                            days=list(HISTORY))
+
+
+# ---------------------------------------------------------------- 2.7 history jobs
+def _hist():
+    from .plans import history as HS
+
+    return HS
+
+
+@query("ensure_columns", "select * from snap_c")
+def q_ensure_columns(spark, sf):
+    return _hist().conform(load_fixture_sources(spark, sf).snapshots)
+
+
+@query("backfill_snapshots", "select * from backfill_rows", HISTORY)
+def q_backfill(spark, sf):
+    return _hist().backfill_rows(load_fixture_sources(spark, sf), fixture_rules(), Anchors.of(*HISTORY))
+
+
+def _merged(spark, sf, updates_fn, cols, dates=HISTORY):
+    HS = _hist()
+    src = load_fixture_sources(spark, sf)
+    a = Anchors.of(*dates)
+    current = HS.conform(src.snapshots.where(F.col("snapshot_date").isin(*a.dates)))
+    upd = updates_fn(src, fixture_rules(), a, src.snapshots)
+    return HS.merge_updates(current, upd, cols).drop("_matched")
+
+
+@query("enrich_counts", "select * from enrich_merged", HISTORY)
+def q_enrich(spark, sf):
+    return _merged(spark, sf, _hist().enrich_updates, _hist().ENRICH_COLS)
+
+
+@query("recompute_scores", "select * from recompute_scores_merged", HISTORY)
+def q_recompute_scores(spark, sf):
+    return _merged(spark, sf, _hist().recompute_score_updates, _hist().SCORE_COLS)
+
+
+@query("recompute_renewals", "select * from recompute_renewals_merged", HISTORY)
+def q_recompute_renewals(spark, sf):
+    return _merged(spark, sf, _hist().recompute_renewal_updates, _hist().RENEWAL_COLS)
+
+
+@query("missing_dates", "select * from missing_dates")
+def q_missing_dates(spark, sf):
+    return _hist().missing_dates(load_fixture_sources(spark, sf).snapshots)
+
+
+# snapshot dates whose daily count is null in the fixture (i % 3 == 0)
+MISSING = tuple(d for i, d in enumerate(HISTORY) if i % 3 == 0)
+
+
+@query("backfill_daily", "select * from backfill_daily_merged", MISSING)
+def q_backfill_daily(spark, sf):
+    HS = _hist()
+
+    def upd(src, rules, a, snaps):
+        return HS.backfill_daily_updates(src, rules, list(a.dates), HS.conform(snaps))
+
+    return _merged(spark, sf, upd, HS.DAILY_COLS, MISSING)
+
+
+@query("coverage_report", "select * from coverage_report")
+def q_coverage_report(spark, sf):
+    return _hist().coverage_report(load_fixture_sources(spark, sf).snapshots)
+
+
+@query("refresh_snapshot", "select * from snapshot_from_hub")
+def q_refresh_snapshot(spark, sf):
+    j = job_for(spark, sf)
+    return _hist().refresh_rows(j.src, j.rules, ANCHOR, H.hub(j).drop("anchor"))
