@@ -38,7 +38,7 @@ def scored_calls(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 6
     return s.select("anchor", "rep", "conv_date", "score", *SUBS)
 
 
-def _daily_partials(src: Sources, allow: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+def daily_partials(src: Sources, allow: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     s = all_scores(src).where((F.col("conv_date") >= F.lit(lo)) & (F.col("conv_date") <= F.lit(hi)))
     s = s.join(allow.select("rep"), "rep")
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -52,11 +52,11 @@ def _daily_partials(src: Sources, allow: DataFrame, lo: dt.date, hi: dt.date) ->
 
 
 def call_metrics(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 30,
-                 include_anchor_day: bool = True) -> DataFrame:
+                 include_anchor_day: bool = True, daily: DataFrame | None = None) -> DataFrame:
     """Per (anchor, rep) over the last ``days`` days: count, avg/min/max of the
     score and of four sub-scores (1 dp), and avg / 100 (4 dp)."""
-    lo = anchors.lo - dt.timedelta(days=days)
-    daily = _daily_partials(src, allow, lo, anchors.hi)
+    if daily is None:
+        daily = daily_partials(src, allow, anchors.lo - dt.timedelta(days=days), anchors.hi)
     w = in_window(daily, anchors, "conv_date", -days, 0, end_inclusive=include_anchor_day)
     aggs = [F.sum("n").alias("_n")]
     for m in METRICS:
@@ -81,10 +81,10 @@ def call_metrics(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 3
 
 
 def call_metrics_prev(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 30,
-                      history_days: int = 60) -> DataFrame:
+                      history_days: int = 60, daily: DataFrame | None = None) -> DataFrame:
     """Per (anchor, rep): average score of days -history_days .. -(days+1)."""
-    lo = anchors.lo - dt.timedelta(days=history_days)
-    daily = _daily_partials(src, allow, lo, anchors.hi)
+    if daily is None:
+        daily = daily_partials(src, allow, anchors.lo - dt.timedelta(days=history_days), anchors.hi)
     w = in_window(daily, anchors, "conv_date", -history_days, -days)
     g = w.groupBy("anchor", "rep").agg(F.sum("n").alias("_n"), F.sum("s_score").alias("_s"))
     return g.select("anchor", "rep",

@@ -35,7 +35,8 @@ def daily_touch_count(src: Sources, allow: DataFrame, rules: Rules, days=None) -
     with no action for the same rep and org that day."""
     lo, hi = _bounds(days)
     base = _only(T.touch_base(src, allow, rules, lo, hi), days)
-    return T.qualified_touches(base).groupBy("day", "rep").agg(F.count(F.lit(1)).alias("daily_ar_count"))
+    rd = T.rep_days(T.touch_days(base))
+    return rd.where(F.col("n_q") > 0).select("day", "rep", F.col("n_q").cast("long").alias("daily_ar_count"))
 
 
 def daily_active_flag(src: Sources, allow: DataFrame, rules: Rules, days=None) -> DataFrame:

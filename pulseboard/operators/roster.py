@@ -128,17 +128,19 @@ def rep_book_rollup(current: DataFrame, pvert: DataFrame, pseg: DataFrame, rules
     )
 
 
-def org_hierarchy(rollup: DataFrame, rules: Rules) -> DataFrame:
-    """Manager and director labels: rep override, then manager->director map."""
-    over = F.col("rep").isin(list(rules.manager_override_reps)) if rules.manager_override_reps else F.lit(False)
+def hierarchy_columns(rules: Rules, rep: str = "rep", manager: str = "manager_name"):
+    """(manager, director) label columns: rep override, then manager->director map."""
+    over = F.col(rep).isin(list(rules.manager_override_reps)) if rules.manager_override_reps else F.lit(False)
     label = F.lit(rules.manager_override_label)
-    mgr = F.col("manager_name")
+    mgr = F.col(manager)
     director = lookup(mgr, rules.director_by_manager, mgr)
-    return rollup.select(
-        "m0", "rep",
-        F.when(over, label).otherwise(mgr).alias("manager_name"),
-        F.when(over, label).otherwise(director).alias("director_name"),
-    )
+    return F.when(over, label).otherwise(mgr), F.when(over, label).otherwise(director)
+
+
+def org_hierarchy(rollup: DataFrame, rules: Rules) -> DataFrame:
+    """Manager and director labels per rep of the rollup."""
+    mgr, director = hierarchy_columns(rules)
+    return rollup.select("m0", "rep", mgr.alias("manager_name"), director.alias("director_name"))
 
 
 def display_vertical(hr_vertical, primary_vertical):

@@ -99,6 +99,42 @@ def qualified_touches(base: DataFrame) -> DataFrame:
     return base.where(F.col("channel") == "action").unionByName(unlogged_calls(base))
 
 
+def touch_days(base: DataFrame) -> DataFrame:
+    """One row per (rep, org, day): CRM actions, qualifying calls, any touches.
+
+    The same-day "unlogged call" rule becomes a per-key count rule here
+    (calls count only where the key has no action), so every touch metric
+    of a job reads this compact relation instead of the raw sources; the
+    map-side partial aggregation also absorbs hot keys before the shuffle."""
+    is_act = F.col("channel") == "action"
+    return base.groupBy("rep", "org", "day").agg(
+        F.count_if(is_act).alias("n_act"),
+        F.count_if(~is_act & F.col("qualifies")).alias("n_long"),
+        F.count(F.lit(1)).alias("n_any"),
+    )
+
+
+def qualified_count(td: DataFrame) -> F.Column:
+    """Qualified touches of a (rep, org, day) key: actions, or else long calls."""
+    return F.col("n_act") + F.when(F.col("n_act") == 0, F.col("n_long")).otherwise(F.lit(0))
+
+
+def rep_days(td: DataFrame) -> DataFrame:
+    """(rep, day, n_qualified) for every day with any touch."""
+    return td.groupBy("rep", "day").agg(F.sum(qualified_count(td)).alias("n_q"))
+
+
+def touch_rate_from_days(rd: DataFrame, anchors: Anchors, days: int = 30) -> DataFrame:
+    """``touch_rate`` from ``rep_days`` in one windowed aggregation."""
+    g = windowed(rd, anchors, days).groupBy("anchor", "rep").agg(
+        F.sum("n_q").cast("long").alias("total_ars_l30"),
+        F.count_if(is_business_day("day")).cast("double").alias("_n_days"),
+    )
+    return g.where((F.col("total_ars_l30") > 0) & (F.col("_n_days") > 0)).select(
+        "anchor", "rep", "total_ars_l30",
+        round_half_up(F.col("total_ars_l30") / F.col("_n_days"), 2).alias("ars_per_day"))
+
+
 def windowed(df: DataFrame, anchors: Anchors, days: int) -> DataFrame:
     """Rows of the last ``days`` days before each anchor: [anchor - days, anchor)."""
     return in_window(df, anchors, "day", -days, 0)

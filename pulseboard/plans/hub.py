@@ -47,14 +47,18 @@ TOP_COLUMNS = ("anchor", "rep", "director_name", "location_count", "open_onboard
                "composite_score", "overall_status")
 
 
+def rollup(job: MetricsJob) -> DataFrame:
+    """Book rollup keyed (anchor, rep), from the job's persisted month book."""
+    cur, rules = job.book_current, job.rules
+    ru = R.rep_book_rollup(cur, R.primary_vertical(cur), R.primary_segment(cur, rules), rules)
+    return ru.join(job.anchors.df(job.spark).select("anchor", "m0"), "m0").drop("m0")
+
+
 def rollup_parts(job: MetricsJob) -> tuple[DataFrame, DataFrame]:
     """(rollup, hierarchy) keyed (anchor, rep)."""
-    src, rules = job.src, job.rules
-    cur = R.book_current(src.book, src.accounts, src.roster, job.allow, job.anchors)
-    ru = R.rep_book_rollup(cur, R.primary_vertical(cur), R.primary_segment(cur, rules), rules)
-    hier = R.org_hierarchy(ru, rules)
-    a = job.anchors.df(job.spark).select("anchor", "m0")
-    return ru.join(a, "m0").drop("m0"), hier.join(a, "m0").drop("m0")
+    ru = rollup(job)
+    mgr, director = R.hierarchy_columns(job.rules)
+    return ru, ru.select("anchor", "rep", mgr.alias("manager_name"), director.alias("director_name"))
 
 
 def composite_frame(job: MetricsJob, rate: DataFrame, cm: DataFrame, rs: DataFrame, ru: DataFrame,
@@ -73,11 +77,11 @@ def composite_frame(job: MetricsJob, rate: DataFrame, cm: DataFrame, rs: DataFra
 
 def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     src, rules, anchors = job.src, job.rules, job.anchors
-    ru, hier = rollup_parts(job)
-    rate = T.touch_rate(job.base, anchors)
-    cm = C.call_metrics(src, job.allow, anchors)
-    cp = C.call_metrics_prev(src, job.allow, anchors)
-    okeys = SL.outreach_keys(job.base)
+    ru = rollup(job)
+    rate = T.touch_rate_from_days(job.rep_days, anchors, rules.touch_window_days)
+    cm = C.call_metrics(src, job.allow, anchors, daily=job.call_days)
+    cp = C.call_metrics_prev(src, job.allow, anchors, daily=job.call_days)
+    okeys = job.outreach_keys
     rs = SL.retention_sla(src.cases, job.allow, okeys, anchors)
     ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules)
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "current"), job.renewal_keys)
@@ -86,13 +90,12 @@ def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     ii = S.interaction_signals(src.signals)
     a = job.anchors.df(job.spark)
 
-    # rows: allowlist rows (bag) of reps that have a book at the anchor
-    active = ru.select("anchor", "rep")
-    rows = job.allow.join(active, "rep")
+    # rows: allowlist rows (bag) of reps with a book at the anchor; the rollup
+    # has one row per (anchor, rep), so the inner join keeps the bag as is
+    rows = job.allow.join(ru, "rep")
     k = ["anchor", "rep"]
     j = (
-        rows.join(ru, k, "left").join(hier.drop("manager_name"), k, "left")
-        .join(rate, k, "left").join(cm, k, "left").join(cp, k, "left")
+        rows.join(rate, k, "left").join(cm, k, "left").join(cp, k, "left")
         .join(rs, k, "left").join(ch, k, "left").join(piv, k, "left")
         .join(oc, "rep", "left").join(ii, "rep", "left").join(a, "anchor", "left")
     )
@@ -100,6 +103,7 @@ def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
         j = j.join(S.score_7d_ago(src.snapshots, anchors), k, "left")
     else:
         j = j.withColumn("composite_score_7d_ago", F.lit(None).cast("double"))
+    j = j.withColumn("director_name", R.hierarchy_columns(rules)[1])
     over = F.col("rep").isin(list(rules.manager_override_reps)) if rules.manager_override_reps else F.lit(False)
     counted = S.renewal_pillar_allowed("primary_segment") & (F.coalesce(F.col("renewal_m2_total"), F.lit(0)) > 0)
     comp = S.composite_columns("ars_per_day", "primary_segment", "call_score_norm", "ret_sla_pct",

@@ -2,8 +2,10 @@
 
 Holds the shared intermediates of a run (allowlist, touch base, outreach
 keys) so every metric is derived from the same DataFrames; Spark plans the
-whole job lazily and reuses identical exchanges. ``persist_shared()`` pins
-the touch base for jobs that trigger several actions.
+whole job lazily. The few relations many metrics read (the touch counts
+per (rep, org, day), the anchor-month book, the per-(rep, day) call
+partials) are persisted per job so each big source is scanned once;
+``release()`` unpersists them.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import Rules
 from ..functions.dates import Anchors, add_months_py
+from ..operators import calls as C
 from ..operators import roster as R
 from ..operators import renewal as RN
 from ..operators import touches as T
@@ -79,21 +82,51 @@ class MetricsJob:
         """Touches of every rep (older renewal definitions do not allowlist)."""
         return T.touch_sources(self.src, self.rules, self.touch_lo, self.touch_hi)
 
+    @cached_property
+    def touch_days(self) -> DataFrame:
+        """The touch base reduced to (rep, org, day) counts, computed once per
+        job (persisted: each source is scanned once however many metrics
+        read it; a lost block is recomputed from its lineage)."""
+        df = T.touch_days(self.base).persist()
+        self._persisted.append(df)
+        return df
+
+    @cached_property
+    def rep_days(self) -> DataFrame:
+        return T.rep_days(self.touch_days)
+
+    @cached_property
+    def outreach_keys(self) -> DataFrame:
+        """Distinct (org, day) with any allowlisted outreach."""
+        return self.touch_days.where(F.col("org").isNotNull()).select("org", "day").distinct()
+
     @cached_property
     def renewal_keys(self) -> DataFrame:
         """Distinct (org, day) of qualifying allowlisted touches."""
-        return RN.qualifying(self.base).select("org", "day").distinct()
+        td = self.touch_days
+        return td.where(F.col("org").isNotNull() & ((F.col("n_act") > 0) | (F.col("n_long") > 0))).select(
+            "org", "day").distinct()
+
+    @cached_property
+    def call_days(self) -> DataFrame:
+        """Per (rep, day) call-score partials over the longest call window."""
+        lo = self.anchors.lo - dt.timedelta(days=max(self.rules.call_history_days, 90))
+        df = C.daily_partials(self.src, self.allow, lo, self.anchors.hi).persist()
+        self._persisted.append(df)
+        return df
+
+    @cached_property
+    def book_current(self) -> DataFrame:
+        """Book rows of each anchor month (persisted: read by several rollups)."""
+        df = R.book_current(self.src.book, self.src.accounts, self.src.roster, self.allow, self.anchors).persist()
+        self._persisted.append(df)
+        return df
 
     @cached_property
     def renewal_keys_by_rep(self) -> DataFrame:
         """Distinct (org, rep, day) of qualifying touches of any rep."""
         return RN.qualifying(self.touches_all).select("org", "rep", "day").distinct()
 
-    def persist_shared(self) -> "MetricsJob":
-        for df in (self.base,):
-            self._persisted.append(df.persist())
-        return self
-
     def release(self) -> None:
         for df in self._persisted:
             df.unpersist()

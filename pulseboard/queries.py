@@ -25,7 +25,7 @@ from .operators import touches as T
 from .operators.common import per_anchor
 from .plans import hub as H
 from .plans.job import MetricsJob
-from .sources import load_fixture_sources
+from .sources.materialize import fixture_sources as load_fixture_sources
 
 ANCHOR = dt.date(1998, 6, 16)
 HISTORY = tuple(dt.date(1998, 6, 3) + dt.timedelta(days=i) for i in range(14))
@@ -49,8 +49,7 @@ def _at_anchor(job: MetricsJob, df: DataFrame) -> DataFrame:
 
 
 def _book_parts(job: MetricsJob):
-    src = job.src
-    cur = R.book_current(src.book, src.accounts, src.roster, job.allow, job.anchors)
+    cur = job.book_current
     pv, ps = R.primary_vertical(cur), R.primary_segment(cur, job.rules)
     return cur, pv, ps, R.rep_book_rollup(cur, pv, ps, job.rules)
 
@@ -163,12 +162,19 @@ def q_active_days(spark, sf):
 @query("touch_rate", "select * from touch_rate")
 def q_touch_rate(spark, sf):
     j = job_for(spark, sf)
-    return T.touch_rate(j.base, j.anchors)
+    return T.touch_rate_from_days(j.rep_days, j.anchors)
 
 
 @query("touch_rate_history", "select * from touch_rate", HISTORY)
 def q_touch_rate_history(spark, sf):
     j = job_for(spark, sf, HISTORY)
+    return T.touch_rate_from_days(j.rep_days, j.anchors)
+
+
+@query("touch_rate_rows", "select * from touch_rate")
+def q_touch_rate_rows(spark, sf):
+    """Same metric from the row-level plan (anti-join + distinct days)."""
+    j = job_for(spark, sf)
     return T.touch_rate(j.base, j.anchors)
 
 
@@ -235,19 +241,19 @@ def q_retention_cases(spark, sf):
 @query("retention_sla", "select * from ret_sla")
 def q_retention_sla(spark, sf):
     j = job_for(spark, sf)
-    return SL.retention_sla(j.src.cases, j.allow, SL.outreach_keys(j.base), j.anchors)
+    return SL.retention_sla(j.src.cases, j.allow, j.outreach_keys, j.anchors)
 
 
 @query("retention_sla_open", "select * from ret_sla_open")
 def q_retention_sla_open(spark, sf):
     j = job_for(spark, sf, variant="legacy")
-    return SL.retention_sla(j.src.cases, j.allow, SL.outreach_keys(j.base), j.anchors, rule="open")
+    return SL.retention_sla(j.src.cases, j.allow, j.outreach_keys, j.anchors, rule="open")
 
 
 @query("churn_task_compliance", "select * from churn")
 def q_churn(spark, sf):
     j = job_for(spark, sf)
-    return SL.churn_task_compliance(j.src.tasks, j.allow, SL.outreach_keys(j.base), j.anchors, j.rules)
+    return SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules)
 
 
 @query("open_case_counts", "select * from open_cases")
@@ -326,10 +332,11 @@ def q_signals_asof(spark, sf):
 
 def _composite(j: MetricsJob) -> DataFrame:
     src = j.src
-    okeys = SL.outreach_keys(j.base)
+    okeys = j.outreach_keys
     ru = _at_anchor(j, _book_parts(j)[3])
     piv = RN.renewal_pivot(RN.renewal_coverage(RN.renewal_cohort(src, j.allow, j.anchors), j.renewal_keys), j.anchors)
-    return H.composite_frame(j, T.touch_rate(j.base, j.anchors), C.call_metrics(src, j.allow, j.anchors),
+    return H.composite_frame(j, T.touch_rate_from_days(j.rep_days, j.anchors),
+                             C.call_metrics(src, j.allow, j.anchors, daily=j.call_days),
                              SL.retention_sla(src.cases, j.allow, okeys, j.anchors), ru, piv)
 
 
@@ -351,7 +358,7 @@ def q_band(spark, sf):
 from composite c left join churn ch on ch.anchor = c.anchor and ch.rep = c.rep""")
 def q_gate(spark, sf):
     j = job_for(spark, sf)
-    ch = SL.churn_task_compliance(j.src.tasks, j.allow, SL.outreach_keys(j.base), j.anchors, j.rules)
+    ch = SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules)
     c = _composite(j).join(ch, ["anchor", "rep"], "left")
     return c.select("anchor", "rep", "composite_score",
                     F.coalesce("has_unattempted_churn", F.lit(0)).alias("has_unattempted_churn"),
