@@ -29,8 +29,9 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     rd = lambda n: _read(spark, sf_dir, n)
     supplier, customer, orders, lineitem = rd("supplier"), rd("customer"), rd("orders"), rd("lineitem")
     nation, region, events = rd("nation"), rd("region"), rd("events")
-    # Number of suppliers as a scalar subquery (no cross join).
-    k = supplier.select(F.count(F.lit(1))).scalar()
+    # Number of suppliers: one number, computed once and inlined as a literal
+    # (no cross join, and no scalar subquery inside relations a job persists).
+    k = F.lit(supplier.count())
     sk = F.col("s_suppkey")
 
     roster = supplier.select(
