@@ -100,11 +100,6 @@ def business_deadline(c) -> Column:
     return F.date_add(col, F.element_at(offsets, weekday0(col) + 1))
 
 
-def ts_lower_bound(d: dt.date) -> Column:
-    """A timestamp_ntz literal at midnight of ``d`` (pushdown-friendly bound)."""
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
-
-
 def month_label(c) -> Column:
     """'Jul 1998' style label of a month date."""
     return F.date_format(F.col(c) if isinstance(c, str) else c, "MMM yyyy")

@@ -49,8 +49,9 @@ def ts_bounds(ts_col: str, lo: dt.date, hi: dt.date) -> Column:
     pushable to the Parquet scan.
     """
     c = F.col(ts_col)
-    lo_ts = F.lit(dt.datetime(lo.year, lo.month, lo.day)).cast("timestamp_ntz")
-    hi_ts = F.lit(dt.datetime(hi.year, hi.month, hi.day)).cast("timestamp_ntz")
+    # built from text: a timestamp_ntz literal does not depend on any time zone
+    lo_ts = F.lit(f"{lo.isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi_ts = F.lit(f"{hi.isoformat()} 00:00:00").cast("timestamp_ntz")
     return (c >= lo_ts) & (c < hi_ts)
 
 
