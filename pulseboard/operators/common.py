@@ -69,21 +69,22 @@ def _asof(events: DataFrame, probes: DataFrame, keys: list[str], ev_day: str, pr
         w = Window.partitionBy(*keys).orderBy(F.col("_t").asc(), F.col("_k").desc())
         agg = F.max(F.when(F.col("_k") == 0, F.col("_t")))
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = u.withColumn(out, agg.over(w)).where(F.col("_k") == 1).select(
+    return u.withColumn(out, agg.over(w)).where(F.col("_k") == 1).select(
         *keys, F.col("_t").alias(probe_day), out
     )
-    return probes.join(found, [*keys, probe_day], "left")
 
 
 def first_on_or_after(events: DataFrame, probes: DataFrame, keys: list[str], ev_day: str = "day",
                       probe_day: str = "from_day", out: str = "first_day") -> DataFrame:
-    """``probes`` + the first event day >= ``probe_day`` for the same keys."""
+    """Distinct (keys, ``probe_day``) of ``probes`` with the first event day
+    >= ``probe_day`` for the same keys (null if none); join it back by keys."""
     return _asof(events, probes, keys, ev_day, probe_day, out, forward=True)
 
 
 def last_before(events: DataFrame, probes: DataFrame, keys: list[str], ev_day: str = "day",
                 probe_day: str = "before_day", out: str = "last_day") -> DataFrame:
-    """``probes`` + the last event day < ``probe_day`` for the same keys."""
+    """Distinct (keys, ``probe_day``) of ``probes`` with the last event day
+    < ``probe_day`` for the same keys (null if none)."""
     return _asof(events, probes, keys, ev_day, probe_day, out, forward=False)
 
 

@@ -100,8 +100,8 @@ def renewal_coverage(cohort: DataFrame, touch_keys: DataFrame, match_on: tuple[s
     too, as in the source definition."""
     keys = list(match_on)
     min_rm = cohort.groupBy("anchor", "org").agg(F.min("renewal_month").alias("_min_rm"))
-    probes = cohort.select("anchor", *keys).distinct().withColumn("before_day", F.col("anchor"))
-    last = last_before(touch_keys, probes, keys, probe_day="before_day").drop("before_day")
+    probes = cohort.select(*keys, F.col("anchor").alias("before_day"))
+    last = last_before(touch_keys, probes, keys, probe_day="before_day").withColumnRenamed("before_day", "anchor")
     called = last.join(min_rm, ["anchor", "org"]).select(
         "anchor", *keys, (F.col("last_day") >= F.date_sub("_min_rm", lookback)).alias("_called"))
     ct = F.col("contract_type")
