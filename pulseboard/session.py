@@ -39,5 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="pulseboard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:  # each call would add a new sub-folder
+        sc.setCheckpointDir(path)
     return path

@@ -12,6 +12,8 @@ event time so Parquet row-group statistics can skip data for date windows.
 from __future__ import annotations
 
 import hashlib
+import inspect
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,9 @@ _MEMO: dict[tuple[str, str], Sources] = {}
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
+    """True only for a completed write (the committer's _SUCCESS marker)."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
+        spark.read.text(f"{path}/_SUCCESS")
         return True
     except Exception:  # noqa: BLE001 - missing or unfinished output
         return False
@@ -42,13 +45,32 @@ def _materialize(spark: SparkSession, df: DataFrame, path: str, sort_col: str |
     return spark.read.parquet(path)
 
 
+INPUTS = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
+
+
+def _tag(sf_dir: str) -> str:
+    """Folder key: input path and file stats plus the derivation's own source,
+    so changed inputs or a changed derivation never reuse stale tables."""
+    from . import fixtures
+
+    h = hashlib.sha1(sf_dir.encode())
+    h.update(inspect.getsource(fixtures).encode())
+    for name in INPUTS:
+        try:
+            st = os.stat(f"{sf_dir}/{name}.parquet")
+            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
+        except OSError:  # remote storage: path + code only
+            h.update(name.encode())
+    return h.hexdigest()[:16]
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """``load_fixture_sources`` backed by tables written once per folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     key = (sf_dir, root)
     if key in _MEMO:
         return _MEMO[key]
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    tag = _tag(sf_dir)
     lazy = load_fixture_sources(spark, sf_dir)
     base = f"{root}/fixtures-{tag}"
     m = lambda name, df: _materialize(spark, df, f"{base}/{name}", _SORT.get(name))
