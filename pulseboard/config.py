@@ -85,10 +85,11 @@ def fixture_rules() -> Rules:
         exception_names=("Supplier#000000009",),
         segment_override=(("Supplier#000000004", "AI/SOA"),),
         manager_override_reps=("Supplier#000000005", "Supplier#000000006"),
-        manager_override_label="PERU",
+        manager_override_label="NATION_24",
+        # manager (account owner's nation) -> director: the region's first nation
         director_by_manager=(
-            ("ALGERIA", "EGYPT"), ("ETHIOPIA", "EGYPT"), ("KENYA", "EGYPT"),
-            ("ARGENTINA", "BRAZIL"), ("CANADA", "BRAZIL"), ("PERU", "BRAZIL"),
-            ("CHINA", "JAPAN"), ("INDIA", "JAPAN"), ("VIETNAM", "JAPAN"),
+            ("NATION_5", "NATION_0"), ("NATION_10", "NATION_0"), ("NATION_15", "NATION_0"), ("NATION_20", "NATION_0"),
+            ("NATION_6", "NATION_1"), ("NATION_11", "NATION_1"), ("NATION_16", "NATION_1"), ("NATION_21", "NATION_1"),
+            ("NATION_7", "NATION_2"), ("NATION_12", "NATION_2"), ("NATION_17", "NATION_2"), ("NATION_22", "NATION_2"),
         ),
     )
