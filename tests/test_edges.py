@@ -144,3 +144,20 @@ def test_composite_null_segment_and_band(spark):
     assert rows[0].c == 0.65 and rows[0].b == "yellow"
     # phone segment: target 2.5 -> capped at 1; renewal never counted -> (1 + 1) / 2
     assert rows[1].c == 1.0 and rows[1].b == "green"
+
+
+def test_display_vertical_labels(spark):
+    rows = [("MEDSPA", None), ("platform partnerships", None), ("home-decor", "Healthcare"),
+            (None, "Healthcare"), (None, "Home Services"), (None, "Auto Services"), (None, "Retail"), (None, None)]
+    df = spark.createDataFrame(rows, "hr string, pv string")
+    got = [r.v for r in df.select(R.display_vertical("hr", "pv").alias("v")).collect()]
+    assert got == ["MedSpa", "Platform Partnerships", "Home-Decor", "MedSpa", "HVAC", "Auto", "Retail", "Unknown"]
+
+
+def test_touch_status_bands(spark):
+    rows = [(2.0, "Phones"), (1.0, "Platform"), (2.4, "Mid Market"), (1.2, "Strategic"), (0.69, "strategic"),
+            (3.3, "SMB"), (1.99, None)]
+    df = spark.createDataFrame(rows, "r double, s string")
+    got = [(x.st, x.t) for x in df.select(T.touch_status("r", "s").alias("st"), T.touch_target("s").alias("t")).collect()]
+    assert got == [("green", 2.5), ("yellow", 2.5), ("yellow", 3.0), ("green", 1.5), ("red", 1.5),
+                   ("green", 4.0), ("red", 4.0)]
