@@ -148,10 +148,11 @@ def snapshot_from_hub(hub_df: DataFrame, snapshot_date: dt.date | None = None) -
     return hub_df.select(*cols)
 
 
-def refresh_rows(src: Sources, rules: Rules, anchor: dt.date, hub_df: DataFrame) -> DataFrame:
+def refresh_rows(src: Sources, rules: Rules, anchor: dt.date, hub_df: DataFrame,
+                 job: MetricsJob | None = None) -> DataFrame:
     """Step 1 of ``refresh``: the given hub rows as the snapshot of ``anchor``,
     with the daily columns of the day before."""
-    job = MetricsJob(src, rules, Anchors.of(anchor))
+    job = job or MetricsJob(src, rules, Anchors.of(anchor))
     base = snapshot_from_hub(hub_df, anchor)
     return conform(D.daily_columns(base, src, job.allow, rules, days=[anchor]))
 
@@ -175,12 +176,18 @@ def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: s
 
     anchor = as_date(anchor)
     if _exists(spark, hub_path):
-        snapshot_replace(refresh_rows(src, rules, anchor, latest_hub(spark, hub_path, anchor).drop("anchor")),
-                         snapshots_path)
+        job = MetricsJob(src, rules, Anchors.of(anchor))
+        try:
+            prev = latest_hub(spark, hub_path, anchor).drop("anchor")
+            snapshot_replace(refresh_rows(src, rules, anchor, prev, job), snapshots_path)
+        finally:
+            job.release()
     snaps = spark.read.parquet(snapshots_path) if _exists(spark, snapshots_path) else None
     job = MetricsJob(src.with_snapshots(snaps) if snaps is not None else src, rules, Anchors.of(anchor))
-    hub_df = H.hub(job, include_refresh_time=True)
-    write_partitions(hub_df, hub_path, "anchor")
+    try:
+        write_partitions(H.hub(job, include_refresh_time=True), hub_path, "anchor")
+    finally:
+        job.release()
     return spark.read.parquet(hub_path).where(F.col("anchor") == F.lit(anchor))
 
 
@@ -193,12 +200,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 # ---------------------------------------------------------------- set-based jobs
-def backfill_rows(src: Sources, rules: Rules, anchors: Anchors) -> DataFrame:
+def backfill_rows(src: Sources, rules: Rules, anchors: Anchors, job: MetricsJob | None = None) -> DataFrame:
     """Older full definition for every anchor at once: 30-day touch rate,
     90-day call score (before the anchor), open-rule SLA, month-start-owner
     segment, legacy renewal coverage (org + rep), as-of signal counts.
     Keeps reps with a touch rate, a call score or an SLA ratio."""
-    job = MetricsJob(src, rules, anchors, "legacy")
+    job = job or MetricsJob(src, rules, anchors, "legacy")
     rate = TC.touch_rate_from_days(job.rep_days, anchors)
     cm = C.call_metrics(src, job.allow, anchors, days=90, include_anchor_day=False, daily=job.call_days)
     sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open")
@@ -232,10 +239,11 @@ def _stored(snapshots: DataFrame, anchors: Anchors) -> DataFrame:
 ENRICH_COLS = ["ret_sla_done", "ret_sla_total"] + [f"renewal_m{k}_{f}" for k in (1, 2, 3) for f in ("called", "total")]
 
 
-def enrich_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: DataFrame) -> DataFrame:
+def enrich_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: DataFrame,
+                   job: MetricsJob | None = None) -> DataFrame:
     """SLA done/total (open rule) and M1-M3 called/total (legacy cohort, org +
     rep match) for every stored row of the dates; absent -> 0."""
-    job = MetricsJob(src, rules, anchors, "legacy")
+    job = job or MetricsJob(src, rules, anchors, "legacy")
     sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open")
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
                               ("org", "rep"))
@@ -251,11 +259,12 @@ def enrich_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: Data
 SCORE_COLS = ["avg_call_score", "ret_sla_pct", "ret_sla_done", "ret_sla_total", "composite_score", "overall_status"]
 
 
-def recompute_score_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: DataFrame) -> DataFrame:
+def recompute_score_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: DataFrame,
+                            job: MetricsJob | None = None) -> DataFrame:
     """30-day call score (before the anchor), 2-business-day SLA, and the
     composite from the stored touch rate and stored M2 ratio (counted when
     the ratio is > 0)."""
-    job = MetricsJob(src, rules, anchors, "names")
+    job = job or MetricsJob(src, rules, anchors, "names")
     cm = C.call_metrics(src, job.allow, anchors, days=30, include_anchor_day=False, daily=job.call_days)
     sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="deadline")
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
@@ -276,10 +285,11 @@ RENEWAL_COLS = ([f"renewal_m{k}_{f}" for k in (1, 2, 3) for f in ("pct", "called
                 + ["renewal_coverage_pct", "composite_score", "overall_status"])
 
 
-def recompute_renewal_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: DataFrame) -> DataFrame:
+def recompute_renewal_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: DataFrame,
+                              job: MetricsJob | None = None) -> DataFrame:
     """Current cohort rule without the existence test, org-matched coverage,
     and the composite from stored touch rate, call score / 100 and SLA."""
-    job = MetricsJob(src, rules, anchors, "names")
+    job = job or MetricsJob(src, rules, anchors, "names")
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "nocheck"), job.renewal_keys)
     piv = RN.renewal_pivot(cov, anchors)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
@@ -308,11 +318,12 @@ def missing_dates(snapshots: DataFrame) -> DataFrame:
             .orderBy("snapshot_date"))
 
 
-def backfill_daily_updates(src: Sources, rules: Rules, dates, snapshots: DataFrame) -> DataFrame:
+def backfill_daily_updates(src: Sources, rules: Rules, dates, snapshots: DataFrame,
+                           job: MetricsJob | None = None) -> DataFrame:
     """For every stored row of each date: daily columns of the day before and
     legacy month-to-month counts (org + rep match)."""
     anchors = Anchors.of(*dates)
-    job = MetricsJob(src, rules, anchors, "names")
+    job = job or MetricsJob(src, rules, anchors, "names")
     rows = _stored(snapshots, anchors).select(*KEY)
     daily = D.daily_columns(rows, src, job.allow, rules, days=list(anchors.dates))
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
@@ -333,25 +344,37 @@ def coverage_report(snapshots: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- job wrappers (write)
 def backfill_snapshots(spark: SparkSession, src: Sources, rules: Rules, start, end, path: str) -> None:
-    snapshot_replace(backfill_rows(src, rules, Anchors.between(start, end)), path)
+    a = Anchors.between(start, end)
+    job = MetricsJob(src, rules, a, "legacy")
+    try:
+        snapshot_replace(backfill_rows(src, rules, a, job), path)
+    finally:
+        job.release()
+
+
+def _upsert_job(spark, src, rules, dates, path, variant, build, cols) -> int:
+    a = Anchors.of(*dates)
+    job = MetricsJob(src, rules, a, variant)
+    try:
+        snaps = spark.read.parquet(path)
+        return snapshot_upsert(spark, path, build(src, rules, a, snaps, job), cols, a.dates)
+    finally:
+        job.release()
 
 
 def enrich_counts(spark, src, rules, start, end, path) -> int:
-    a = Anchors.between(start, end)
-    snaps = spark.read.parquet(path)
-    return snapshot_upsert(spark, path, enrich_updates(src, rules, a, snaps), ENRICH_COLS, a.dates)
+    return _upsert_job(spark, src, rules, Anchors.between(start, end).dates, path, "legacy",
+                       enrich_updates, ENRICH_COLS)
 
 
 def recompute_scores(spark, src, rules, start, end, path) -> int:
-    a = Anchors.between(start, end)
-    snaps = spark.read.parquet(path)
-    return snapshot_upsert(spark, path, recompute_score_updates(src, rules, a, snaps), SCORE_COLS, a.dates)
+    return _upsert_job(spark, src, rules, Anchors.between(start, end).dates, path, "names",
+                       recompute_score_updates, SCORE_COLS)
 
 
 def recompute_renewals(spark, src, rules, start, end, path) -> int:
-    a = Anchors.between(start, end)
-    snaps = spark.read.parquet(path)
-    return snapshot_upsert(spark, path, recompute_renewal_updates(src, rules, a, snaps), RENEWAL_COLS, a.dates)
+    return _upsert_job(spark, src, rules, Anchors.between(start, end).dates, path, "names",
+                       recompute_renewal_updates, RENEWAL_COLS)
 
 
 def backfill_daily(spark, src, rules, path) -> int:
@@ -360,7 +383,11 @@ def backfill_daily(spark, src, rules, path) -> int:
     dates = [r[0] for r in missing_dates(snaps).collect()]
     if not dates:
         return 0
-    return snapshot_upsert(spark, path, backfill_daily_updates(src, rules, dates, snaps), DAILY_COLS, dates)
+
+    def build(src_, rules_, a, stored, job):
+        return backfill_daily_updates(src_, rules_, list(a.dates), conform(stored), job)
+
+    return _upsert_job(spark, src, rules, dates, path, "names", build, DAILY_COLS)
 
 
 def export_hub_json(hub_df: DataFrame, path: str) -> None:

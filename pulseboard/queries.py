@@ -40,8 +40,17 @@ def query(name: str, oracle: str, dates: tuple = (ANCHOR,)):
     return deco
 
 
+_JOBS: dict[tuple, MetricsJob] = {}
+
+
 def job_for(spark: SparkSession, sf_dir: str, dates=(ANCHOR,), variant: str = "current") -> MetricsJob:
-    return MetricsJob(load_fixture_sources(spark, sf_dir), fixture_rules(), Anchors.of(*dates), variant)
+    """One job per (tables, anchor set, allowlist form): queries that share it
+    reuse its persisted relations instead of caching new copies per call."""
+    src = load_fixture_sources(spark, sf_dir)
+    key = (id(src), tuple(dates), variant)
+    if key not in _JOBS:
+        _JOBS[key] = MetricsJob(src, fixture_rules(), Anchors.of(*dates), variant)
+    return _JOBS[key]
 
 
 def _at_anchor(job: MetricsJob, df: DataFrame) -> DataFrame:
@@ -437,31 +446,31 @@ def q_ensure_columns(spark, sf):
 
 @query("backfill_snapshots", "select * from backfill_rows", HISTORY)
 def q_backfill(spark, sf):
-    return _hist().backfill_rows(load_fixture_sources(spark, sf), fixture_rules(), Anchors.of(*HISTORY))
+    j = job_for(spark, sf, HISTORY, "legacy")
+    return _hist().backfill_rows(j.src, j.rules, j.anchors, j)
 
 
-def _merged(spark, sf, updates_fn, cols, dates=HISTORY):
+def _merged(spark, sf, updates_fn, cols, variant, dates=HISTORY):
     HS = _hist()
-    src = load_fixture_sources(spark, sf)
-    a = Anchors.of(*dates)
-    current = HS.conform(src.snapshots.where(F.col("snapshot_date").isin(*a.dates)))
-    upd = updates_fn(src, fixture_rules(), a, src.snapshots)
+    j = job_for(spark, sf, dates, variant)
+    current = HS.conform(j.src.snapshots.where(F.col("snapshot_date").isin(*j.anchors.dates)))
+    upd = updates_fn(j.src, j.rules, j.anchors, j.src.snapshots, j)
     return HS.merge_updates(current, upd, cols).drop("_matched")
 
 
 @query("enrich_counts", "select * from enrich_merged", HISTORY)
 def q_enrich(spark, sf):
-    return _merged(spark, sf, _hist().enrich_updates, _hist().ENRICH_COLS)
+    return _merged(spark, sf, _hist().enrich_updates, _hist().ENRICH_COLS, "legacy")
 
 
 @query("recompute_scores", "select * from recompute_scores_merged", HISTORY)
 def q_recompute_scores(spark, sf):
-    return _merged(spark, sf, _hist().recompute_score_updates, _hist().SCORE_COLS)
+    return _merged(spark, sf, _hist().recompute_score_updates, _hist().SCORE_COLS, "names")
 
 
 @query("recompute_renewals", "select * from recompute_renewals_merged", HISTORY)
 def q_recompute_renewals(spark, sf):
-    return _merged(spark, sf, _hist().recompute_renewal_updates, _hist().RENEWAL_COLS)
+    return _merged(spark, sf, _hist().recompute_renewal_updates, _hist().RENEWAL_COLS, "names")
 
 
 @query("missing_dates", "select * from missing_dates")
@@ -477,10 +486,10 @@ MISSING = tuple(d for i, d in enumerate(HISTORY) if i % 3 == 0)
 def q_backfill_daily(spark, sf):
     HS = _hist()
 
-    def upd(src, rules, a, snaps):
-        return HS.backfill_daily_updates(src, rules, list(a.dates), HS.conform(snaps))
+    def upd(src, rules, a, snaps, job):
+        return HS.backfill_daily_updates(src, rules, list(a.dates), HS.conform(snaps), job)
 
-    return _merged(spark, sf, upd, HS.DAILY_COLS, MISSING)
+    return _merged(spark, sf, upd, HS.DAILY_COLS, "names", MISSING)
 
 
 @query("coverage_report", "select * from coverage_report")
@@ -491,4 +500,4 @@ def q_coverage_report(spark, sf):
 @query("refresh_snapshot", "select * from snapshot_from_hub")
 def q_refresh_snapshot(spark, sf):
     j = job_for(spark, sf)
-    return _hist().refresh_rows(j.src, j.rules, ANCHOR, H.hub(j).drop("anchor"))
+    return _hist().refresh_rows(j.src, j.rules, ANCHOR, H.hub(j).drop("anchor"), j)
