@@ -57,7 +57,7 @@ def _per_rep(rows: DataFrame, id_col: str, met: F.Column, names: tuple[str, str,
 
 
 def retention_sla(cases: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
-                  rule: str = "deadline", days: int = 30) -> DataFrame:
+                  rule: str = "deadline", days: int = 30, rows: DataFrame | None = None) -> DataFrame:
     """Per (anchor, rep): retention cases, cases contacted in time, ratio (3 dp).
 
     rule="deadline": cases whose 2-business-day deadline is before the anchor;
@@ -65,7 +65,7 @@ def retention_sla(cases: DataFrame, allow: DataFrame, outreach: DataFrame, ancho
     rule="open": every case created in [anchor - days, anchor); met if any
       outreach to the org on/after creation and before the anchor.
     """
-    rows = retention_case_rows(cases, allow)
+    rows = rows if rows is not None else retention_case_rows(cases, allow)
     if rule == "deadline":
         rows = in_window(rows, anchors, "day", -days, 0).where(F.col("deadline") < F.col("anchor"))
         rows = _with_first_contact(rows, outreach)
@@ -78,16 +78,21 @@ def retention_sla(cases: DataFrame, allow: DataFrame, outreach: DataFrame, ancho
     return _per_rep(rows, "case_id", met, ("total_ret_cases", "sla_met_count", "ret_sla_pct"))
 
 
-def churn_task_compliance(tasks: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
-                          rules: Rules, days: int = 30) -> DataFrame:
-    """Per (anchor, rep): churn-risk tasks of the window, tasks with outreach to
-    the org on/after the task day (before the anchor), ratio, any-unattempted."""
+def churn_task_rows(tasks: DataFrame, allow: DataFrame, rules: Rules) -> DataFrame:
+    """Unarchived churn-risk tasks with an org, owner allowlisted (bag)."""
     t = tasks.where(
         (F.col("slug") == F.lit(rules.churn_task_slug))
         & (F.col("is_archived") == F.lit(False))
         & F.col("org").isNotNull()
     ).join(allow.select(F.col("rep").alias("owner")), "owner")
-    t = t.select("task_id", "org", F.col("owner").alias("rep"), F.to_date("inserted_at").alias("day"))
+    return t.select("task_id", "org", F.col("owner").alias("rep"), F.to_date("inserted_at").alias("day"))
+
+
+def churn_task_compliance(tasks: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
+                          rules: Rules, days: int = 30, rows: DataFrame | None = None) -> DataFrame:
+    """Per (anchor, rep): churn-risk tasks of the window, tasks with outreach to
+    the org on/after the task day (before the anchor), ratio, any-unattempted."""
+    t = rows if rows is not None else churn_task_rows(tasks, allow, rules)
     t = _with_first_contact(in_window(t, anchors, "day", -days, 0, end_inclusive=True), outreach)
     reached = F.col("first_day") < F.col("anchor")
     out = _per_rep(t, "task_id", reached, ("total_churn_tasks", "churn_tasks_reached", "churn_reach_pct"))

@@ -208,7 +208,7 @@ def backfill_rows(src: Sources, rules: Rules, anchors: Anchors, job: MetricsJob
     job = job or MetricsJob(src, rules, anchors, "legacy")
     rate = TC.touch_rate_from_days(job.rep_days, anchors)
     cm = C.call_metrics(src, job.allow, anchors, days=90, include_anchor_day=False, daily=job.call_days)
-    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open")
+    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open", rows=job.retention_rows)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
                               ("org", "rep"))
@@ -244,7 +244,7 @@ def enrich_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: Data
     """SLA done/total (open rule) and M1-M3 called/total (legacy cohort, org +
     rep match) for every stored row of the dates; absent -> 0."""
     job = job or MetricsJob(src, rules, anchors, "legacy")
-    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open")
+    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open", rows=job.retention_rows)
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
                               ("org", "rep"))
     piv = RN.renewal_pivot(cov, anchors)
@@ -266,7 +266,7 @@ def recompute_score_updates(src: Sources, rules: Rules, anchors: Anchors, snapsh
     the ratio is > 0)."""
     job = job or MetricsJob(src, rules, anchors, "names")
     cm = C.call_metrics(src, job.allow, anchors, days=30, include_anchor_day=False, daily=job.call_days)
-    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="deadline")
+    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="deadline", rows=job.retention_rows)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
     rows = _stored(snapshots, anchors).select(*KEY, F.col("ars_per_day").alias("_ars"),
                                               F.col("renewal_m2_pct").alias("_m2")).withColumn(

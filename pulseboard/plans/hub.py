@@ -82,8 +82,8 @@ def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     cm = C.call_metrics(src, job.allow, anchors, daily=job.call_days)
     cp = C.call_metrics_prev(src, job.allow, anchors, daily=job.call_days)
     okeys = job.outreach_keys
-    rs = SL.retention_sla(src.cases, job.allow, okeys, anchors)
-    ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules)
+    rs = SL.retention_sla(src.cases, job.allow, okeys, anchors, rows=job.retention_rows)
+    ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules, rows=job.churn_rows)
     cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "current"), job.renewal_keys)
     piv = RN.renewal_pivot(cov, anchors)
     oc = SL.open_case_counts(src.cases, rules)

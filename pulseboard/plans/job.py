@@ -21,7 +21,9 @@ from ..functions.dates import Anchors, add_months_py
 from ..operators import calls as C
 from ..operators import roster as R
 from ..operators import renewal as RN
+from ..operators import sla as SL
 from ..operators import touches as T
+from ..operators.common import ts_bounds
 from ..sources import Sources
 
 
@@ -121,6 +123,22 @@ class MetricsJob:
         self._persisted.append(df)
         return df
 
+    @cached_property
+    def retention_rows(self) -> DataFrame:
+        """Retention cases created in the job's widest window (read once)."""
+        cases = self.src.cases.where(ts_bounds(
+            "created_at", self.anchors.lo - dt.timedelta(days=self.rules.touch_window_days),
+            self.anchors.hi + dt.timedelta(days=1)))
+        return self._keep(SL.retention_case_rows(cases, self.allow))
+
+    @cached_property
+    def churn_rows(self) -> DataFrame:
+        """Churn-risk tasks inserted in the job's widest window (read once)."""
+        tasks = self.src.tasks.where(ts_bounds(
+            "inserted_at", self.anchors.lo - dt.timedelta(days=self.rules.touch_window_days),
+            self.anchors.hi + dt.timedelta(days=1)))
+        return self._keep(SL.churn_task_rows(tasks, self.allow, self.rules))
+
     @cached_property
     def book_current(self) -> DataFrame:
         """Book rows of each anchor month (persisted: read by several rollups)."""

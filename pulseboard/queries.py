@@ -346,7 +346,7 @@ def _composite(j: MetricsJob) -> DataFrame:
     piv = RN.renewal_pivot(RN.renewal_coverage(RN.renewal_cohort(src, j.allow, j.anchors), j.renewal_keys), j.anchors)
     return H.composite_frame(j, T.touch_rate_from_days(j.rep_days, j.anchors),
                              C.call_metrics(src, j.allow, j.anchors, daily=j.call_days),
-                             SL.retention_sla(src.cases, j.allow, okeys, j.anchors), ru, piv)
+                             SL.retention_sla(src.cases, j.allow, okeys, j.anchors, rows=j.retention_rows), ru, piv)
 
 
 @query("composite_score", "select * from composite")
@@ -367,7 +367,7 @@ def q_band(spark, sf):
 from composite c left join churn ch on ch.anchor = c.anchor and ch.rep = c.rep""")
 def q_gate(spark, sf):
     j = job_for(spark, sf)
-    ch = SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules)
+    ch = SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules, rows=j.churn_rows)
     c = _composite(j).join(ch, ["anchor", "rep"], "left")
     return c.select("anchor", "rep", "composite_score",
                     F.coalesce("has_unattempted_churn", F.lit(0)).alias("has_unattempted_churn"),
