@@ -27,17 +27,29 @@ def _days(n: int) -> dt.timedelta:
 
 
 def in_window(df: DataFrame, anchors: Anchors, day_col: str, start: int, end: int = 0,
-              end_inclusive: bool = False) -> DataFrame:
+              end_inclusive: bool = False, method: str = "auto") -> DataFrame:
     """Rows with ``anchor + start <= day < anchor + end`` (``<=`` if inclusive),
-    tagged with ``anchor``. ``start``/``end`` are day offsets (negative = past)."""
+    tagged with ``anchor``. ``start``/``end`` are day offsets (negative = past).
+
+    One anchor: a literal filter. Otherwise a row can belong to at most
+    ``width`` anchors (the window length), so with few anchors each row is
+    tested against all of them (range join on the broadcast anchors, cost
+    rows x anchors) and with many anchors each row enumerates its ``width``
+    candidate anchor dates and meets the broadcast anchors on equality
+    (cost rows x width). ``method`` forces "range" or "enumerate"."""
     d = F.col(day_col)
     lo = anchors.lo + _days(start)
     hi = anchors.hi + _days(end)
     bound = (d >= F.lit(lo)) & ((d <= F.lit(hi)) if end_inclusive else (d < F.lit(hi)))
     df = df.where(bound)
-    if len(anchors.dates) == 1:
+    if len(anchors.dates) == 1 and method == "auto":
         return df.withColumn("anchor", F.lit(anchors.lo))
     a = anchors.df(df.sparkSession).select(F.col("anchor"))
+    width = end - start + (1 if end_inclusive else 0)
+    if method == "enumerate" or (method == "auto" and len(anchors.dates) > width):
+        first = F.date_sub(d, end if end_inclusive else end - 1)  # earliest anchor holding the day
+        last = F.date_sub(d, start)
+        return df.withColumn("anchor", F.explode(F.sequence(first, last))).join(a, "anchor")
     upper = (d <= F.date_add(a["anchor"], end)) if end_inclusive else (d < F.date_add(a["anchor"], end))
     return df.join(a, (d >= F.date_add(a["anchor"], start)) & upper, "inner")
 

@@ -31,3 +31,20 @@ def test_asof_matches_brute_force(spark, seed):
         days = [e for o, e in events if o == org]
         assert got_f[(org, d)] == min((e for e in days if e >= d), default=None)
         assert got_l[(org, d)] == max((e for e in days if e < d), default=None)
+
+
+@pytest.mark.parametrize("start,end,incl", [(-30, 0, False), (-60, -30, False), (-30, 0, True)])
+def test_in_window_methods_agree(spark, start, end, incl):
+    from pulseboard.functions.dates import Anchors
+    from pulseboard.operators.common import in_window
+
+    rnd = random.Random(start)
+    rows = [(i, D0 + dt.timedelta(days=rnd.randrange(150))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, day date")
+    anchors = Anchors.of(*[D0 + dt.timedelta(days=40 + 2 * k) for k in range(40)])
+    want = {(i, a) for i, day in rows for a in anchors.dates
+            if day >= a + dt.timedelta(days=start) and (day <= a + dt.timedelta(days=end) if incl
+                                                         else day < a + dt.timedelta(days=end))}
+    for method in ("range", "enumerate", "auto"):
+        got = {(r.id, r.anchor) for r in in_window(df, anchors, "day", start, end, incl, method).collect()}
+        assert got == want, method
