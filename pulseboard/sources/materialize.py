@@ -26,7 +26,7 @@ _SORT = {
     "tasks": "inserted_at", "book": "month", "signals": "analysis_date", "snapshots": "snapshot_date",
     "scores_1": "conv_date", "scores_2": "conv_date", "scores_3": "conv_date", "scores_4": "conv_date",
 }
-_MEMO: dict[tuple[str, str], Sources] = {}
+_MEMO: dict[tuple, tuple[SparkSession, Sources]] = {}
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
@@ -67,9 +67,10 @@ def _tag(sf_dir: str) -> str:
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """``load_fixture_sources`` backed by tables written once per folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    key = (sf_dir, root)
-    if key in _MEMO:
-        return _MEMO[key]
+    key = (sf_dir, root, id(spark))
+    hit = _MEMO.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
     tag = _tag(sf_dir)
     lazy = load_fixture_sources(spark, sf_dir)
     base = f"{root}/fixtures-{tag}"
@@ -81,5 +82,5 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
         scores=tuple(m(f"scores_{i + 1}", s) for i, s in enumerate(lazy.scores)), tasks=m("tasks", lazy.tasks),
         signals=m("signals", lazy.signals), snapshots=m("snapshots", lazy.snapshots),
     )
-    _MEMO[key] = src
+    _MEMO[key] = (spark, src)
     return src
