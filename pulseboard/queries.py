@@ -118,7 +118,7 @@ def _win(job, df):
     return T.windowed(df, job.anchors, job.rules.touch_window_days)
 
 
-@query("action_touches", "select anchor, day, rep, org, source_id from sfdc_ars")
+@query("action_touches", "select anchor, day, rep, org, source_id from acts_l30")
 def q_action_touches(spark, sf):
     j = job_for(spark, sf)
     return _win(j, j.base.where(F.col("channel") == "action")).select("anchor", "day", "rep", "org", "source_id")
@@ -138,7 +138,7 @@ def q_call_b(spark, sf):
     return _win(j, T.call_touches(j.src, j.allow, "b")).select("anchor", "day", "rep", "org", "source_id", "seconds")
 
 
-@query("unlogged_calls", "select * from dark_a union all select * from dark_b")
+@query("unlogged_calls", "select * from unlogged_a union all select * from unlogged_b")
 def q_unlogged(spark, sf):
     j = job_for(spark, sf)
     return _win(j, T.unlogged_calls(j.base)).select("anchor", "day", "rep", "org", "source_id", "channel")
