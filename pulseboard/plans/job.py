@@ -20,7 +20,6 @@ from ..config import Rules
 from ..functions.dates import Anchors, add_months_py
 from ..operators import calls as C
 from ..operators import roster as R
-from ..operators import renewal as RN
 from ..operators import sla as SL
 from ..operators import touches as T
 from ..operators.common import ts_bounds
@@ -94,10 +93,19 @@ class MetricsJob:
     def touch_days(self) -> DataFrame:
         """The touch base reduced to (rep, org, day) counts, computed once per
         job (persisted: each source is scanned once however many metrics
-        read it; a lost block is recomputed from its lineage)."""
-        df = T.touch_days(self.base).persist()
-        self._persisted.append(df)
-        return df
+        read it; a lost block is recomputed from its lineage).
+
+        Legacy jobs also need every rep's touches, so there the reduction of
+        all reps is joined with the allowlist names (bag join: a name listed
+        k times carries k copies of its counts, as the row-level join would)."""
+        if self.variant == "legacy":
+            return self.all_touch_days.join(self.allow.select("rep"), "rep")
+        return self._keep(T.touch_days(self.base))
+
+    @cached_property
+    def all_touch_days(self) -> DataFrame:
+        """(rep, org, day) counts over every rep's touches (persisted)."""
+        return self._keep(T.touch_days(self.touches_all))
 
     @cached_property
     def rep_days(self) -> DataFrame:
@@ -149,7 +157,9 @@ class MetricsJob:
     @cached_property
     def renewal_keys_by_rep(self) -> DataFrame:
         """Distinct (org, rep, day) of qualifying touches of any rep."""
-        return RN.qualifying(self.touches_all).select("org", "rep", "day").distinct()
+        td = self.all_touch_days
+        return td.where(F.col("org").isNotNull() & ((F.col("n_act") > 0) | (F.col("n_long") > 0))).select(
+            "org", "rep", "day").distinct()
 
     def release(self) -> None:
         for df in self._persisted:
