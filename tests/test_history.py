@@ -115,3 +115,21 @@ def test_multi_anchor_equals_single_anchor(spark):
         j = MetricsJob(src, rules, Anchors.of(d))
         assert sorted(map(tuple, m.where(F.col("anchor") == d).collect())) == sorted(
             map(tuple, T.touch_rate(j.base, j.anchors).collect()))
+
+
+def test_cli_jobs(spark, folder, capsys):
+    from pulseboard.__main__ import main
+
+    hub, snaps = os.path.join(folder, "hub"), os.path.join(folder, "snaps")
+    common = ["--fixtures", SF001, "--snapshots", snaps]
+    main(["refresh", "--anchor", "1998-06-15", "--hub", hub] + common)
+    main(["refresh", "--anchor", "1998-06-16", "--hub", hub] + common)   # stores the 06-15 build as 06-16
+    main(["backfill", "--start", "1998-06-10", "--end", "1998-06-12"] + common)
+    main(["backfill-daily"] + common)
+    main(["coverage-report"] + common)
+    out = capsys.readouterr().out
+    assert "1998-06-10" in out and "1998-06-16" in out
+    s = spark.read.parquet(snaps)
+    assert s.where(F.col("daily_ar_count").isNull()).count() == 0
+    assert {r[0] for r in s.select("snapshot_date").distinct().collect()} == {
+        dt.date(1998, 6, 10), dt.date(1998, 6, 11), dt.date(1998, 6, 12), dt.date(1998, 6, 16)}
