@@ -116,6 +116,29 @@ def assert_unique_keys(updates: DataFrame) -> None:
         raise ValueError("updates hold the same (snapshot_date, rep) twice")
 
 
+def clear_partitions(spark: SparkSession, path: str, dates, partition_col: str = "snapshot_date") -> None:
+    """Delete the given date partitions of a Parquet table folder.
+
+    Plain Parquet has no DELETE and a dynamic overwrite cannot empty a
+    partition, so the folder is registered as a temporary external table and
+    each date is overwritten with zero rows (a static-partition INSERT
+    OVERWRITE); dropping the external table keeps the data."""
+    schema = spark.read.parquet(path).schema
+    name = f"pb_clear_{uuid.uuid4().hex[:12]}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    loc = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (`{partition_col}`) LOCATION '{loc}'")
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        data = [f for f in schema.fields if f.name != partition_col]
+        nothing = "SELECT " + ", ".join(
+            f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data) + " WHERE false"
+        for d in dates:  # only the (rare) dates that produced no rows
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{partition_col}` = DATE'{d.isoformat()}') {nothing}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def snapshot_upsert(spark: SparkSession, path: str, updates: DataFrame, cols, dates) -> int:
     """Apply ``merge_updates`` to the stored partitions of ``dates``; returns the
     number of matched rows. Writes to staging first, so the table is never
@@ -344,10 +367,22 @@ def coverage_report(snapshots: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- job wrappers (write)
 def backfill_snapshots(spark: SparkSession, src: Sources, rules: Rules, start, end, path: str) -> None:
+    """Replace the snapshots of [start, end] (delete the range, insert the
+    recomputed rows): dates with rows are rewritten by a dynamic partition
+    overwrite, dates that produced none are cleared."""
     a = Anchors.between(start, end)
     job = MetricsJob(src, rules, a, "legacy")
     try:
-        snapshot_replace(backfill_rows(src, rules, a, job), path)
+        rows = backfill_rows(src, rules, a, job).persist()  # one row per rep and day: small
+        # at most one value per anchor date reaches the driver
+        produced = {r[0] for r in rows.select("snapshot_date").distinct().collect()}
+        existed = _exists(spark, path)
+        if produced:
+            snapshot_replace(rows, path)
+        rows.unpersist()
+        empty = [d for d in a.dates if d not in produced]
+        if empty and existed:
+            clear_partitions(spark, path, empty)
     finally:
         job.release()
 

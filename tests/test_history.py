@@ -133,3 +133,16 @@ def test_cli_jobs(spark, folder, capsys):
     assert s.where(F.col("daily_ar_count").isNull()).count() == 0
     assert {r[0] for r in s.select("snapshot_date").distinct().collect()} == {
         dt.date(1998, 6, 10), dt.date(1998, 6, 11), dt.date(1998, 6, 12), dt.date(1998, 6, 16)}
+
+
+def test_backfill_clears_dates_without_rows(spark, folder):
+    from .helpers import make_sources, rep_row
+
+    path = os.path.join(folder, "snaps")
+    old = spark.createDataFrame([(dt.date(1998, 6, d), "a", 0.5) for d in (9, 10, 11, 12)],
+                                "snapshot_date date, rep string, composite_score double")
+    HS.snapshot_replace(old, path)
+    quiet = make_sources(spark, roster=[rep_row(1, "a")])      # no activity at all: no rows to insert
+    HS.backfill_snapshots(spark, quiet, fixture_rules(), dt.date(1998, 6, 10), dt.date(1998, 6, 11), path)
+    left = sorted(r[0].day for r in spark.read.parquet(path).select("snapshot_date").collect())
+    assert left == [9, 12]
