@@ -46,3 +46,50 @@ def table_scans(df: DataFrame) -> dict[str, int]:
         for i in range(children.size()):
             stack.append(children.apply(i))
     return dict(counts)
+
+
+def _walk(root, spark):
+    ident = spark.sparkContext._jvm.java.lang.System.identityHashCode
+    seen: set[int] = set()
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        yield node
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            stack.append(node.inputPlan())
+        elif kind == "InMemoryTableScanExec":
+            b = node.relation().cacheBuilder()
+            if ident(b) not in seen:
+                seen.add(ident(b))
+                stack.append(b.cachedPlan())
+        subs = node.subqueries()
+        for i in range(subs.size()):
+            stack.append(subs.apply(i))
+        ch = node.children()
+        for i in range(ch.size()):
+            stack.append(ch.apply(i))
+
+
+def join_report(df: DataFrame) -> dict:
+    """Join strategies of the static plan; for each nested-loop join, whether
+    its broadcast (build) side reads any table file."""
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        root = df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    out: Counter = Counter()
+    build_reads_files = []
+    for node in _walk(root, spark):
+        kind = node.getClass().getSimpleName()
+        if kind in ("SortMergeJoinExec", "BroadcastHashJoinExec", "ShuffledHashJoinExec",
+                    "BroadcastNestedLoopJoinExec", "CartesianProductExec"):
+            out[kind] += 1
+        if kind == "BroadcastNestedLoopJoinExec":
+            side = node.right() if "Right" in node.buildSide().toString() else node.left()
+            build_reads_files.append(any(
+                n.getClass().getSimpleName() == "FileSourceScanExec" for n in _walk(side, spark)))
+    return {"joins": dict(out), "nested_loop_build_reads_files": build_reads_files}
