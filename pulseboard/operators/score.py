@@ -35,7 +35,7 @@ def interaction_signals_asof(signals: DataFrame, anchors: Anchors) -> DataFrame:
         F.count_if(F.col("risk_level").isin(*HIGH_RISK_LEVELS)).alias("high_risk_org_count"),
         F.count_if(F.col("cancel_intent") == F.lit(True)).alias("cancellation_intent_count"),
     )
-    dates = signals.select("analysis_date").distinct()
+    dates = signals.select("analysis_date").distinct()  # reads one column only
     a = anchors.df(signals.sparkSession).select("anchor")
     latest = dates.join(a, F.col("analysis_date") <= F.col("anchor")).groupBy("anchor").agg(
         F.max("analysis_date").alias("analysis_date"))

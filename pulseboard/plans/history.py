@@ -233,7 +233,7 @@ def backfill_rows(src: Sources, rules: Rules, anchors: Anchors, job: MetricsJob
     cm = C.call_metrics(src, job.allow, anchors, days=90, include_anchor_day=False, daily=job.call_days)
     sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open", rows=job.retention_rows)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
-    cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
+    cov = RN.renewal_coverage(job.cohort("legacy"), job.renewal_keys_by_rep,
                               ("org", "rep"))
     piv = RN.renewal_pivot(cov, anchors)
     ii = S.interaction_signals_asof(src.signals, anchors)
@@ -268,7 +268,7 @@ def enrich_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: Data
     rep match) for every stored row of the dates; absent -> 0."""
     job = job or MetricsJob(src, rules, anchors, "legacy")
     sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open", rows=job.retention_rows)
-    cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
+    cov = RN.renewal_coverage(job.cohort("legacy"), job.renewal_keys_by_rep,
                               ("org", "rep"))
     piv = RN.renewal_pivot(cov, anchors)
     rows = _stored(snapshots, anchors).select(*KEY).withColumn("anchor", F.col("snapshot_date"))
@@ -313,7 +313,7 @@ def recompute_renewal_updates(src: Sources, rules: Rules, anchors: Anchors, snap
     """Current cohort rule without the existence test, org-matched coverage,
     and the composite from stored touch rate, call score / 100 and SLA."""
     job = job or MetricsJob(src, rules, anchors, "names")
-    cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "nocheck"), job.renewal_keys)
+    cov = RN.renewal_coverage(job.cohort("nocheck"), job.renewal_keys)
     piv = RN.renewal_pivot(cov, anchors)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
     rows = _stored(snapshots, anchors).select(
@@ -349,7 +349,7 @@ def backfill_daily_updates(src: Sources, rules: Rules, dates, snapshots: DataFra
     job = job or MetricsJob(src, rules, anchors, "names")
     rows = _stored(snapshots, anchors).select(*KEY)
     daily = D.daily_columns(rows, src, job.allow, rules, days=list(anchors.dates))
-    cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "legacy"), job.renewal_keys_by_rep,
+    cov = RN.renewal_coverage(job.cohort("legacy"), job.renewal_keys_by_rep,
                               ("org", "rep"))
     piv = RN.renewal_pivot(cov, anchors).withColumnRenamed("anchor", "snapshot_date")
     j = daily.join(piv, KEY, "left")

@@ -84,7 +84,7 @@ def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     okeys = job.outreach_keys
     rs = SL.retention_sla(src.cases, job.allow, okeys, anchors, rows=job.retention_rows)
     ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules, rows=job.churn_rows)
-    cov = RN.renewal_coverage(RN.renewal_cohort(src, job.allow, anchors, "current"), job.renewal_keys)
+    cov = RN.renewal_coverage(job.cohort("current"), job.renewal_keys)
     piv = RN.renewal_pivot(cov, anchors)
     oc = SL.open_case_counts(src.cases, rules)
     ii = S.interaction_signals(src.signals)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..config import Rules
 from ..functions.dates import Anchors, add_months_py
 from ..operators import calls as C
+from ..operators import renewal as RN
 from ..operators import roster as R
 from ..operators import sla as SL
 from ..operators import touches as T
@@ -147,6 +148,13 @@ class MetricsJob:
             self.anchors.hi + dt.timedelta(days=1)))
         return self._keep(SL.churn_task_rows(tasks, self.allow, self.rules))
 
+    def cohort(self, mode: str = "current") -> DataFrame:
+        """Renewal cohort of the anchors (persisted: coverage reads it three times)."""
+        cache = self.__dict__.setdefault("_cohorts", {})
+        if mode not in cache:
+            cache[mode] = self._keep(RN.renewal_cohort(self.src, self.allow, self.anchors, mode))
+        return cache[mode]
+
     @cached_property
     def book_current(self) -> DataFrame:
         """Book rows of each anchor month (persisted: read by several rollups)."""

@@ -39,6 +39,8 @@ def table_scans(df: DataFrame) -> dict[str, int]:
             if key not in seen:
                 seen.add(key)
                 stack.append(builder.cachedPlan())
+        if kind == "ReusedExchangeExec":  # output of an exchange computed elsewhere
+            continue
         subs = node.subqueries()
         for i in range(subs.size()):
             stack.append(subs.apply(i))
@@ -63,6 +65,8 @@ def _walk(root, spark):
             if ident(b) not in seen:
                 seen.add(ident(b))
                 stack.append(b.cachedPlan())
+        if kind == "ReusedExchangeExec":
+            continue
         subs = node.subqueries()
         for i in range(subs.size()):
             stack.append(subs.apply(i))

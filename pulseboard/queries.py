@@ -274,56 +274,56 @@ def q_open_cases(spark, sf):
 @query("renewal_cohort", "select * from cohort_cur")
 def q_cohort(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_cohort(j.src, j.allow, j.anchors, "current")
+    return j.cohort("current")
 
 
 @query("renewal_cohort_nocheck", "select * from cohort_nocheck")
 def q_cohort_nc(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_cohort(j.src, j.allow, j.anchors, "nocheck")
+    return j.cohort("nocheck")
 
 
 @query("renewal_cohort_legacy", "select * from cohort_legacy")
 def q_cohort_legacy(spark, sf):
     j = job_for(spark, sf, variant="names")
-    return RN.renewal_cohort(j.src, j.allow, j.anchors, "legacy")
+    return j.cohort("legacy")
 
 
 @query("renewal_touches", "select * from renewal_touches")
 def q_renewal_touches(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_touches(j.base, RN.renewal_cohort(j.src, j.allow, j.anchors), j.anchors)
+    return RN.renewal_touches(j.base, j.cohort(), j.anchors)
 
 
 @query("renewal_contacted_legacy", "select * from contacted_legacy")
 def q_contacted_legacy(spark, sf):
     j = job_for(spark, sf, variant="names")
-    return RN.renewal_contacted(RN.renewal_cohort(j.src, j.allow, j.anchors, "legacy"), j.renewal_keys_by_rep)
+    return RN.renewal_contacted(j.cohort("legacy"), j.renewal_keys_by_rep)
 
 
 @query("renewal_coverage", "select * from coverage_cur")
 def q_coverage(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_coverage(RN.renewal_cohort(j.src, j.allow, j.anchors), j.renewal_keys)
+    return RN.renewal_coverage(j.cohort(), j.renewal_keys)
 
 
 @query("renewal_coverage_nocheck", "select * from coverage_nocheck")
 def q_coverage_nc(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_coverage(RN.renewal_cohort(j.src, j.allow, j.anchors, "nocheck"), j.renewal_keys)
+    return RN.renewal_coverage(j.cohort("nocheck"), j.renewal_keys)
 
 
 @query("renewal_coverage_legacy", "select * from coverage_legacy")
 def q_coverage_legacy(spark, sf):
     j = job_for(spark, sf, variant="names")
-    cohort = RN.renewal_cohort(j.src, j.allow, j.anchors, "legacy")
+    cohort = j.cohort("legacy")
     return RN.renewal_coverage(cohort, j.renewal_keys_by_rep, ("org", "rep"))
 
 
 @query("renewal_pivot", "select * from pivot_cur")
 def q_pivot(spark, sf):
     j = job_for(spark, sf)
-    cov = RN.renewal_coverage(RN.renewal_cohort(j.src, j.allow, j.anchors), j.renewal_keys)
+    cov = RN.renewal_coverage(j.cohort(), j.renewal_keys)
     return RN.renewal_pivot(cov, j.anchors)
 
 
@@ -343,7 +343,7 @@ def _composite(j: MetricsJob) -> DataFrame:
     src = j.src
     okeys = j.outreach_keys
     ru = _at_anchor(j, _book_parts(j)[3])
-    piv = RN.renewal_pivot(RN.renewal_coverage(RN.renewal_cohort(src, j.allow, j.anchors), j.renewal_keys), j.anchors)
+    piv = RN.renewal_pivot(RN.renewal_coverage(j.cohort(), j.renewal_keys), j.anchors)
     return H.composite_frame(j, T.touch_rate_from_days(j.rep_days, j.anchors),
                              C.call_metrics(src, j.allow, j.anchors, daily=j.call_days),
                              SL.retention_sla(src.cases, j.allow, okeys, j.anchors, rows=j.retention_rows), ru, piv)
