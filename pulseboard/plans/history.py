@@ -151,6 +151,8 @@ def snapshot_upsert(spark: SparkSession, path: str, updates: DataFrame, cols, da
     staged = spark.read.parquet(stage)
     matched = staged.where(F.col("_matched")).count()
     write_partitions(conform(staged.drop("_matched")), path)
+    # release the staging space (an empty overwrite removes its files)
+    spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(stage)
     return matched
 
 
