@@ -23,6 +23,7 @@ from .operators import score as S
 from .operators import sla as SL
 from .operators import touches as T
 from .operators.common import per_anchor
+from .plans import history as HS
 from .plans import hub as H
 from .plans.job import MetricsJob
 from .sources.materialize import fixture_sources as load_fixture_sources
@@ -433,25 +434,18 @@ def q_daily_columns(spark, sf):
 
 
 # ---------------------------------------------------------------- 2.7 history jobs
-def _hist():
-    from .plans import history as HS
-
-    return HS
-
-
 @query("ensure_columns", "select * from snap_c")
 def q_ensure_columns(spark, sf):
-    return _hist().conform(load_fixture_sources(spark, sf).snapshots)
+    return HS.conform(load_fixture_sources(spark, sf).snapshots)
 
 
 @query("backfill_snapshots", "select * from backfill_rows", HISTORY)
 def q_backfill(spark, sf):
     j = job_for(spark, sf, HISTORY, "legacy")
-    return _hist().backfill_rows(j.src, j.rules, j.anchors, j)
+    return HS.backfill_rows(j.src, j.rules, j.anchors, j)
 
 
 def _merged(spark, sf, updates_fn, cols, variant, dates=HISTORY):
-    HS = _hist()
     j = job_for(spark, sf, dates, variant)
     current = HS.conform(j.src.snapshots.where(F.col("snapshot_date").isin(*j.anchors.dates)))
     upd = updates_fn(j.src, j.rules, j.anchors, j.src.snapshots, j)
@@ -460,22 +454,22 @@ def _merged(spark, sf, updates_fn, cols, variant, dates=HISTORY):
 
 @query("enrich_counts", "select * from enrich_merged", HISTORY)
 def q_enrich(spark, sf):
-    return _merged(spark, sf, _hist().enrich_updates, _hist().ENRICH_COLS, "legacy")
+    return _merged(spark, sf, HS.enrich_updates, HS.ENRICH_COLS, "legacy")
 
 
 @query("recompute_scores", "select * from recompute_scores_merged", HISTORY)
 def q_recompute_scores(spark, sf):
-    return _merged(spark, sf, _hist().recompute_score_updates, _hist().SCORE_COLS, "names")
+    return _merged(spark, sf, HS.recompute_score_updates, HS.SCORE_COLS, "names")
 
 
 @query("recompute_renewals", "select * from recompute_renewals_merged", HISTORY)
 def q_recompute_renewals(spark, sf):
-    return _merged(spark, sf, _hist().recompute_renewal_updates, _hist().RENEWAL_COLS, "names")
+    return _merged(spark, sf, HS.recompute_renewal_updates, HS.RENEWAL_COLS, "names")
 
 
 @query("missing_dates", "select * from missing_dates")
 def q_missing_dates(spark, sf):
-    return _hist().missing_dates(load_fixture_sources(spark, sf).snapshots)
+    return HS.missing_dates(load_fixture_sources(spark, sf).snapshots)
 
 
 # snapshot dates whose daily count is null in the fixture (i % 3 == 0)
@@ -484,7 +478,6 @@ MISSING = tuple(d for i, d in enumerate(HISTORY) if i % 3 == 0)
 
 @query("backfill_daily", "select * from backfill_daily_merged", MISSING)
 def q_backfill_daily(spark, sf):
-    HS = _hist()
 
     def upd(src, rules, a, snaps, job):
         return HS.backfill_daily_updates(src, rules, list(a.dates), HS.conform(snaps), job)
@@ -494,10 +487,10 @@ def q_backfill_daily(spark, sf):
 
 @query("coverage_report", "select * from coverage_report")
 def q_coverage_report(spark, sf):
-    return _hist().coverage_report(load_fixture_sources(spark, sf).snapshots)
+    return HS.coverage_report(load_fixture_sources(spark, sf).snapshots)
 
 
 @query("refresh_snapshot", "select * from snapshot_from_hub")
 def q_refresh_snapshot(spark, sf):
     j = job_for(spark, sf)
-    return _hist().refresh_rows(j.src, j.rules, ANCHOR, H.hub(j).drop("anchor"), j)
+    return HS.refresh_rows(j.src, j.rules, ANCHOR, H.hub(j).drop("anchor"), j)
