@@ -478,7 +478,6 @@ MISSING = tuple(d for i, d in enumerate(HISTORY) if i % 3 == 0)
 
 @query("backfill_daily", "select * from backfill_daily_merged", MISSING)
 def q_backfill_daily(spark, sf):
-
     def upd(src, rules, a, snaps, job):
         return HS.backfill_daily_updates(src, rules, list(a.dates), HS.conform(snaps), job)
 
