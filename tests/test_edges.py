@@ -161,3 +161,21 @@ def test_touch_status_bands(spark):
     got = [(x.st, x.t) for x in df.select(T.touch_status("r", "s").alias("st"), T.touch_target("s").alias("t")).collect()]
     assert got == [("green", 2.5), ("yellow", 2.5), ("yellow", 3.0), ("green", 1.5), ("red", 1.5),
                    ("green", 4.0), ("red", 4.0)]
+
+
+def test_anchor_bound_and_rules_file(tmp_path):
+    import json
+
+    import pytest
+
+    from pulseboard.__main__ import _rules
+    from pulseboard.functions.dates import MAX_ANCHORS
+
+    a = Anchors.of("1998-06-16", dt.date(1998, 6, 1), "1998-06-16")
+    assert a.dates == (dt.date(1998, 6, 1), dt.date(1998, 6, 16))
+    with pytest.raises(ValueError):
+        Anchors.between(dt.date(1990, 1, 1), dt.date(1990, 1, 1) + dt.timedelta(days=MAX_ANCHORS))
+    f = tmp_path / "rules.json"
+    f.write_text(json.dumps({"exclude_names": ["x"], "director_by_manager": [["m", "d"]], "touch_window_days": 30}))
+    r = _rules(str(f), fixtures=False)
+    assert r.exclude_names == ("x",) and r.director_by_manager == (("m", "d"),) and r.touch_window_days == 30
