@@ -34,7 +34,7 @@ def daily_touch_count(src: Sources, allow: DataFrame, rules: Rules, days=None) -
     """Qualified touches per (day, rep): actions + calls of >= 15 min / 900 s
     with no action for the same rep and org that day."""
     lo, hi = _bounds(days)
-    base = _only(T.touch_base(src, allow, rules, lo, hi), days)
+    base = _only(T.touch_base(src, allow, rules, lo, hi, days=days), days)
     rd = T.rep_days(T.touch_days(base))
     return rd.where(F.col("n_q") > 0).select("day", "rep", F.col("n_q").cast("long").alias("daily_ar_count"))
 
@@ -42,7 +42,7 @@ def daily_touch_count(src: Sources, allow: DataFrame, rules: Rules, days=None) -
 def daily_active_flag(src: Sources, allow: DataFrame, rules: Rules, days=None) -> DataFrame:
     """(day, rep, 1) for Mon-Fri days with any outreach of an allowlisted rep."""
     lo, hi = _bounds(days)
-    t = _only(T.touch_sources(src, rules, lo, hi), days)
+    t = _only(T.touch_sources(src, rules, lo, hi, days=days), days)
     t = t.join(allow.select("rep").distinct(), "rep", "left_semi").where(is_business_day("day"))
     return t.select("day", "rep").distinct().withColumn("daily_active", F.lit(1).cast("long"))
 

@@ -27,14 +27,22 @@ TOUCH_COLS = ("day", "rep", "org", "source_id", "channel", "qualifies")
 
 
 def touch_sources(src: Sources, rules: Rules, lo: dt.date | None, hi: dt.date | None,
-                  org_required_for_actions: bool = False) -> DataFrame:
-    """Union of the three touch sources with ``lo <= day < hi`` (None = open).
+                  org_required_for_actions: bool = False, days=None) -> DataFrame:
+    """Union of the three touch sources with ``lo <= day < hi`` (None = open),
+    or, with ``days`` (a short list), only those calendar days: an OR of
+    per-day timestamp ranges, which the Parquet scan can push down.
 
     actions: closed CRM actions of the configured record type (org may be null);
     call_a: completed calls with an org, qualifying at >= 15 minutes;
     call_b: calls with an org (no status), qualifying at >= 900 seconds.
     """
     def bounded(df, ts):
+        if days and len(days) <= 64:
+            cond = None
+            for d in sorted(set(days)):
+                term = ts_bounds(ts, d, d + dt.timedelta(days=1))
+                cond = term if cond is None else (cond | term)
+            return df.where(cond)
         if lo is None and hi is None:
             return df
         lo_ = lo or dt.date(1, 1, 1)
@@ -66,9 +74,9 @@ def touch_sources(src: Sources, rules: Rules, lo: dt.date | None, hi: dt.date |
 
 
 def touch_base(src: Sources, allow: DataFrame, rules: Rules, lo: dt.date | None,
-               hi: dt.date | None) -> DataFrame:
+               hi: dt.date | None, days=None) -> DataFrame:
     """Allowlisted touches (bag join to the allowlist's names)."""
-    return touch_sources(src, rules, lo, hi).join(allow.select("rep"), "rep").select(*TOUCH_COLS)
+    return touch_sources(src, rules, lo, hi, days=days).join(allow.select("rep"), "rep").select(*TOUCH_COLS)
 
 
 def call_touches(src: Sources, allow: DataFrame, which: str) -> DataFrame:
