@@ -64,6 +64,11 @@ class Anchors:
     def hi(self) -> dt.date:
         return self.dates[-1]
 
+    def months(self, *ks: int) -> list[dt.date]:
+        """Distinct first-of-month dates k months after the anchors' months
+        (k = 0: the anchors' own months); literals for scan pushdown."""
+        return sorted({add_months_py(d, k) for d in self.dates for k in ks})
+
     def df(self, spark: SparkSession) -> DataFrame:
         """One row per anchor with its month keys; bounded, so broadcast."""
         schema = T.StructType([T.StructField("anchor", T.DateType(), False)])

@@ -42,7 +42,8 @@ def renewal_cohort(src: Sources, allow: DataFrame, anchors: Anchors, mode: str =
     rm_trunc = F.trunc("contract_end", "month")
     if mode in ("current", "nocheck"):
         targets = months.select("m0", F.explode(F.array("m1", "m2", "m3")).alias("rm"))
-        b = src.book.where((F.col("mrr") > 0) & (rm_trunc == F.col("month")))
+        b = src.book.where((F.col("mrr") > 0) & F.col("month").isin(*anchors.months(1, 2, 3))
+                           & (rm_trunc == F.col("month")))
         b = b.join(F.broadcast(targets), F.col("month") == F.col("rm"))
         owners = src.roster.select(F.col("user_id").alias("owner_id"), F.col("user_name").alias("rep"))
         b = (
@@ -59,11 +60,13 @@ def renewal_cohort(src: Sources, allow: DataFrame, anchors: Anchors, mode: str =
             "left_semi",
         )
         if mode == "current":
-            existing = src.book.where(F.col("mrr") > 0).select("org", F.col("month").alias("m0"))
+            existing = src.book.where((F.col("mrr") > 0) & F.col("month").isin(*anchors.months(0))).select(
+                "org", F.col("month").alias("m0"))
             b = b.join(existing, ["org", "m0"], "left_semi")
         out = b.select("m0", "rep", "org", F.col("rm").alias("renewal_month"), "contract_type")
     elif mode == "legacy":
-        b = src.book.where(F.col("mrr") > 0).join(F.broadcast(months), F.col("month") == F.col("m0"))
+        b = src.book.where((F.col("mrr") > 0) & F.col("month").isin(*anchors.months(0))).join(
+            F.broadcast(months), F.col("month") == F.col("m0"))
         b = b.where(rm_trunc.isin(F.col("m1"), F.col("m2"), F.col("m3")))
         b = b.join(names.select(F.col("rep").alias("owner")), "owner", "left_semi")
         out = b.select("m0", F.col("owner").alias("rep"), "org", rm_trunc.alias("renewal_month"), "contract_type")

@@ -59,7 +59,8 @@ def book_current(book: DataFrame, accounts: DataFrame, roster: DataFrame, allow:
     earliest contract end first, re-owned by the live account owner, who must
     be allowlisted. One row per (m0, org)."""
     months = _month_keys(anchors, book.sparkSession).select(F.col("m0"))
-    b = book.where(F.col("mrr") > 0).join(months, F.col("month") == F.col("m0"))
+    b = book.where((F.col("mrr") > 0) & F.col("month").isin(*anchors.months(0)))  # pushed to the scan
+    b = b.join(months, F.col("month") == F.col("m0"))
     w1 = Window.partitionBy("m0", "org").orderBy(
         F.col("contract_end").asc_nulls_last(), F.col("mrr").desc(), F.col("owner").asc_nulls_last(),
         F.col("segment").asc_nulls_last(), F.col("vertical").asc_nulls_last(),
@@ -105,7 +106,8 @@ def owner_segment(book: DataFrame, allow: DataFrame, anchors: Anchors) -> DataFr
     """Older rule: segment by rows of the month-start owner's book, no override."""
     months = _month_keys(anchors, book.sparkSession).select("m0")
     rows = (
-        book.where(F.col("mrr") > 0).join(months, F.col("month") == F.col("m0"))
+        book.where((F.col("mrr") > 0) & F.col("month").isin(*anchors.months(0)))
+        .join(months, F.col("month") == F.col("m0"))
         .join(allow.select(F.col("rep").alias("owner")), "owner")
         .select("m0", F.col("owner").alias("rep"), "segment")
     )
