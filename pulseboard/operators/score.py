@@ -31,6 +31,7 @@ def interaction_signals_asof(signals: DataFrame, anchors: Anchors) -> DataFrame:
     """Per (anchor, rep): the two counts over rows of the single latest analysis
     date on or before the anchor (one date for all reps). Rows are reduced to
     (date, rep) partial counts before meeting the anchors."""
+    signals = signals.where(F.col("analysis_date") <= F.lit(anchors.hi))  # later rows never qualify
     per_day = signals.groupBy("analysis_date", "rep").agg(
         F.count_if(F.col("risk_level").isin(*HIGH_RISK_LEVELS)).alias("high_risk_org_count"),
         F.count_if(F.col("cancel_intent") == F.lit(True)).alias("cancellation_intent_count"),
