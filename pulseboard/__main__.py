@@ -70,7 +70,7 @@ def main(argv=None) -> None:
     elif args.job == "backfill-daily":
         print(HS.backfill_daily(spark, src, rules, path), "rows filled")
     elif args.job == "coverage-report":
-        HS.coverage_report(spark.read.parquet(path)).show(1000, truncate=False)
+        HS.coverage_report(HS.read_snapshots(spark, path)).show(1000, truncate=False)
     elif args.job == "hub-top":
         from .plans.hub import hub_top
 

@@ -76,6 +76,12 @@ def conform(df: DataFrame, spec=SNAPSHOT_SPEC) -> DataFrame:
 
 
 # ---------------------------------------------------------------- storage
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot table with the full column set: partitions written before
+    columns were added are read with merged footers and get typed nulls."""
+    return conform(spark.read.option("mergeSchema", "true").parquet(path))
+
+
 def write_partitions(df: DataFrame, path: str, partition_col: str = "snapshot_date") -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -123,7 +129,7 @@ def clear_partitions(spark: SparkSession, path: str, dates, partition_col: str =
     partition, so the folder is registered as a temporary external table and
     each date is overwritten with zero rows (a static-partition INSERT
     OVERWRITE); dropping the external table keeps the data."""
-    schema = spark.read.parquet(path).schema
+    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     name = f"pb_clear_{uuid.uuid4().hex[:12]}"
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     loc = path.replace("'", "\\'")
@@ -144,7 +150,7 @@ def snapshot_upsert(spark: SparkSession, path: str, updates: DataFrame, cols, da
     number of matched rows. Writes to staging first, so the table is never
     read and overwritten by the same job."""
     assert_unique_keys(updates)
-    current = conform(spark.read.parquet(path).where(F.col("snapshot_date").isin(*dates)))
+    current = read_snapshots(spark, path).where(F.col("snapshot_date").isin(*dates))
     merged = merge_updates(current, updates, cols)
     stage = _staging(spark, "upsert")
     merged.write.partitionBy("snapshot_date").parquet(stage)
@@ -207,7 +213,7 @@ def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: s
             snapshot_replace(refresh_rows(src, rules, anchor, prev, job), snapshots_path)
         finally:
             job.release()
-    snaps = spark.read.parquet(snapshots_path) if _exists(spark, snapshots_path) else None
+    snaps = read_snapshots(spark, snapshots_path) if _exists(spark, snapshots_path) else None
     job = MetricsJob(src.with_snapshots(snaps) if snaps is not None else src, rules, Anchors.of(anchor))
     try:
         write_partitions(H.hub(job, include_refresh_time=True), hub_path, "anchor")
@@ -393,7 +399,7 @@ def _upsert_job(spark, src, rules, dates, path, variant, build, cols) -> int:
     a = Anchors.of(*dates)
     job = MetricsJob(src, rules, a, variant)
     try:
-        snaps = spark.read.parquet(path)
+        snaps = read_snapshots(spark, path)
         return snapshot_upsert(spark, path, build(src, rules, a, snaps, job), cols, a.dates)
     finally:
         job.release()
@@ -415,7 +421,7 @@ def recompute_renewals(spark, src, rules, start, end, path) -> int:
 
 
 def backfill_daily(spark, src, rules, path) -> int:
-    snaps = conform(spark.read.parquet(path))
+    snaps = read_snapshots(spark, path)
     # the list of dates is bounded by the calendar (one value per day)
     dates = [r[0] for r in missing_dates(snaps).collect()]
     if not dates:

@@ -146,3 +146,16 @@ def test_backfill_clears_dates_without_rows(spark, folder):
     HS.backfill_snapshots(spark, quiet, fixture_rules(), dt.date(1998, 6, 10), dt.date(1998, 6, 11), path)
     left = sorted(r[0].day for r in spark.read.parquet(path).select("snapshot_date").collect())
     assert left == [9, 12]
+
+
+def test_snapshots_with_older_partitions(spark, folder):
+    path = os.path.join(folder, "snaps")
+    old = spark.createDataFrame([(D1, "a", 0.4)], "snapshot_date date, rep string, composite_score double")
+    old.write.partitionBy("snapshot_date").parquet(path)                 # written before the new columns
+    HS.snapshot_replace(_rows(spark, D2, ["b"], 0.5).withColumn("ret_sla_done", F.lit(3)), path)
+    s = HS.read_snapshots(spark, path)
+    got = {r.rep: (r.composite_score, r.ret_sla_done) for r in s.collect()}
+    assert s.columns == HS.SNAPSHOT_COLUMNS and got == {"a": (0.4, None), "b": (0.5, 3)}
+    assert HS.snapshot_upsert(spark, path, spark.createDataFrame([(D1, "a", 9)],
+                              "snapshot_date date, rep string, ret_sla_done long"), ["ret_sla_done"], [D1]) == 1
+    assert {r.rep: r.ret_sla_done for r in HS.read_snapshots(spark, path).collect()} == {"a": 9, "b": 3}
