@@ -190,7 +190,7 @@ def refresh_rows(src: Sources, rules: Rules, anchor: dt.date, hub_df: DataFrame,
 
 def latest_hub(spark: SparkSession, hub_path: str, anchor: dt.date) -> DataFrame:
     """Hub rows of the most recent build on or before ``anchor`` (scalar subquery)."""
-    h = spark.read.parquet(hub_path)
+    h = spark.read.option("mergeSchema", "true").parquet(hub_path)
     last = h.where(F.col("anchor") <= F.lit(anchor)).select(F.max("anchor")).scalar()
     return h.where(F.col("anchor") == last)
 
