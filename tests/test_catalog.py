@@ -26,3 +26,15 @@ def test_table_sources_match_fixture_sources(spark):
     got = sorted(map(tuple, H.hub(MetricsJob(tb, fixture_rules(), a)).collect()))
     want = sorted(map(tuple, H.hub(MetricsJob(fx, fixture_rules(), a)).collect()))
     assert got == want and len(got) > 0
+
+
+def test_check_sources_reports_missing_columns(spark):
+    import pytest
+
+    from pulseboard.sources.catalog import check_sources
+
+    fx = load_fixture_sources(spark, SF001)
+    check_sources(fx)
+    broken = fx.__class__(**{**fx.__dict__, "actions": fx.actions.drop("closed_at"), "tasks": fx.tasks.drop("slug")})
+    with pytest.raises(ValueError, match="actions: missing closed_at; tasks: missing slug"):
+        check_sources(broken)
