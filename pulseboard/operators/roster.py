@@ -14,9 +14,6 @@ from ..functions.numeric import flag
 from ..functions.text import ilike_any, title_case
 from .common import lookup
 
-ALLOW_COLUMNS = ("user_id", "rep", "email", "title", "role_name", "is_offshore", "hr_vertical")
-
-
 def rep_allowlist(roster: DataFrame, rules: Rules, *, with_exceptions: bool = True,
                   distinct_rule_arm: bool = False, name_only: bool = False) -> DataFrame:
     """Reps in scope: the title/role/location rule, minus exclusions, plus the

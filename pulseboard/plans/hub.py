@@ -54,13 +54,6 @@ def rollup(job: MetricsJob) -> DataFrame:
     return ru.join(job.anchors.df(job.spark).select("anchor", "m0"), "m0").drop("m0")
 
 
-def rollup_parts(job: MetricsJob) -> tuple[DataFrame, DataFrame]:
-    """(rollup, hierarchy) keyed (anchor, rep)."""
-    ru = rollup(job)
-    mgr, director = R.hierarchy_columns(job.rules)
-    return ru, ru.select("anchor", "rep", mgr.alias("manager_name"), director.alias("director_name"))
-
-
 def composite_frame(job: MetricsJob, rate: DataFrame, cm: DataFrame, rs: DataFrame, ru: DataFrame,
                     piv: DataFrame) -> DataFrame:
     """Composite over allowlist rows x anchors (bag), current definitions."""
