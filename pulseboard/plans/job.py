@@ -60,10 +60,10 @@ class MetricsJob:
             return self.allow_names
         if self.variant == "legacy":
             return self.allow_legacy
-        return self._keep(R.rep_allowlist(self.src.roster, self.rules))
+        return R.rep_allowlist(self.src.roster, self.rules)
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        """Persist a small relation many metrics of the job read."""
+        """Persist a relation several metrics of the job read (released by ``release``)."""
         df = df.persist()
         self._persisted.append(df)
         return df
@@ -71,13 +71,13 @@ class MetricsJob:
     @cached_property
     def allow_legacy(self) -> DataFrame:
         """Older scripts: DISTINCT names, no exceptions arm."""
-        return self._keep(R.rep_allowlist(self.src.roster, self.rules, with_exceptions=False,
-                                          distinct_rule_arm=True, name_only=True))
+        return R.rep_allowlist(self.src.roster, self.rules, with_exceptions=False,
+                               distinct_rule_arm=True, name_only=True)
 
     @cached_property
     def allow_names(self) -> DataFrame:
         """Recompute scripts: DISTINCT names of the rule, plus exceptions."""
-        return self._keep(R.rep_allowlist(self.src.roster, self.rules, distinct_rule_arm=True, name_only=True))
+        return R.rep_allowlist(self.src.roster, self.rules, distinct_rule_arm=True, name_only=True)
 
     # ---- touches ------------------------------------------------------
     @cached_property
