@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, source_mix, url_filter
+from . import line_dedup, quality, sharding, simhash, source_mix, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": quality.query,
     "op2_virtual_slots": sharding.query,
+    "op4_simhash_bktree": simhash.query,
     "op6_url_filter": url_filter.query,
     "op7_source_mix": source_mix.query,
+    "op10_line_dedup": line_dedup.query,
 }
 
 ORACLES: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
 }
