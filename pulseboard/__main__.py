@@ -11,10 +11,11 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import SparkSession
+
 from .config import Rules, fixture_rules
 from .functions.dates import as_date
 from .plans import history as HS
-from .session import get_spark
 
 
 def _rules(path: str | None, fixtures: bool) -> Rules:
@@ -46,14 +47,16 @@ def main(argv=None) -> None:
     p.add_argument("--anchor", help="as-of date for refresh / hub-top")
     p.add_argument("--start")
     p.add_argument("--end")
-    p.add_argument("--out", help="output folder for export-hub")
+    p.add_argument("--out", help="output folder for export-hub and coverage-report")
     p.add_argument("--tables", default="")
     p.add_argument("--fixtures")
     p.add_argument("--rules")
     p.add_argument("--master")
     args = p.parse_args(argv)
 
-    spark = get_spark(args.master) if args.master else get_spark()
+    # the session as it is: its settings, and the shared folder, are the cluster's own
+    builder = SparkSession.builder.appName("pulseboard")
+    spark = (builder.master(args.master) if args.master else builder).getOrCreate()
     rules = _rules(args.rules, bool(args.fixtures))
     src = _sources(spark, args)
     path = args.snapshots
@@ -70,7 +73,12 @@ def main(argv=None) -> None:
     elif args.job == "backfill-daily":
         print(HS.backfill_daily(spark, src, rules, path), "rows filled")
     elif args.job == "coverage-report":
-        HS.coverage_report(HS.read_snapshots(spark, path)).show(1000, truncate=False)
+        report = HS.coverage_report(HS.read_snapshots(spark, path))
+        if args.out:
+            report.write.mode("overwrite").option("header", "true").csv(args.out)
+        else:  # every date, fetched part by part
+            for r in report.toLocalIterator():
+                print(r["snapshot_date"], r["reps"], r["avg_ars_per_day"])
     elif args.job == "hub-top":
         from .plans.hub import hub_top
 

@@ -72,9 +72,14 @@ class Rules:
     manager_override_reps: tuple[str, ...] = ()
     manager_override_label: str | None = None
     director_by_manager: tuple[tuple[str, str], ...] = field(default_factory=tuple)
+    # windows in days: touch rate, retention SLA, churn tasks, call scores (and the
+    # end of the period they are compared with), call scores of the older backfill, renewals
     touch_window_days: int = 30
+    sla_window_days: int = 30
+    churn_window_days: int = 30
     call_window_days: int = 30
     call_history_days: int = 60
+    backfill_call_window_days: int = 90
     renewal_lookback_days: int = 120
 
 

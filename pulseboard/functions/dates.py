@@ -1,25 +1,22 @@
 """Date helpers as Column expressions, plus the ``Anchors`` value.
 
-``Anchors`` is the set of "as of" dates one job computes. It is built in the
-driver from an explicit list, so its size is known before anything runs and
-it is always safe to broadcast (it is checked against ``MAX_ANCHORS``).
+``Anchors`` is the set of "as of" dates one job computes, one small row per
+calendar day. Joins with it carry no broadcast hint: Spark knows its size and
+chooses.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import SLA_OFFSET_BY_WEEKDAY
 
-MAX_ANCHORS = 3660
-
-
 def as_date(d) -> dt.date:
     if isinstance(d, dt.datetime):
         return d.date()
@@ -43,8 +40,6 @@ class Anchors:
         ds = tuple(sorted({as_date(d) for d in dates}))
         if not ds:
             raise ValueError("at least one anchor date is required")
-        if len(ds) > MAX_ANCHORS:
-            raise ValueError(f"{len(ds)} anchors exceed the broadcast bound {MAX_ANCHORS}")
         return cls(ds)
 
     @classmethod
@@ -70,17 +65,14 @@ class Anchors:
         return sorted({add_months_py(d, k) for d in self.dates for k in ks})
 
     def df(self, spark: SparkSession) -> DataFrame:
-        """One row per anchor with its month keys; bounded, so broadcast."""
-        schema = T.StructType([T.StructField("anchor", T.DateType(), False)])
-        base = spark.createDataFrame([(d,) for d in self.dates], schema)
-        return F.broadcast(
-            base.select(
-                "anchor",
-                F.trunc("anchor", "month").alias("m0"),
-                month_after("anchor", 1).alias("m1"),
-                month_after("anchor", 2).alias("m2"),
-                month_after("anchor", 3).alias("m3"),
-            )
+        """One row per anchor with its month keys."""
+        days = F.from_json(F.lit(json.dumps([d.isoformat() for d in self.dates])), "array<date>")
+        return spark.range(1).select(F.explode(days).alias("anchor")).select(
+            "anchor",
+            F.trunc("anchor", "month").alias("m0"),
+            month_after("anchor", 1).alias("m1"),
+            month_after("anchor", 2).alias("m2"),
+            month_after("anchor", 3).alias("m3"),
         )
 
 

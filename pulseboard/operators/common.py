@@ -1,10 +1,7 @@
 """Building blocks shared by the operators.
 
-* ``in_window``: attach the anchors whose window contains a row's day.
-  One anchor -> a plain literal filter (pushed to the scan). Many anchors ->
-  a join with the broadcast ``Anchors`` relation on a range condition; the
-  anchors side is bounded by ``MAX_ANCHORS`` and each row only meets the
-  anchors whose window holds its day.
+* ``in_window``: attach the anchors whose window contains a row's day, by
+  enumerating the row's few candidate days and an equi-join.
 * ``first_on_or_after`` / ``last_before``: as-of lookups ("first event day
   >= d", "last event day < d") per key, written as one window pass over the
   union of events and probes. Both inputs are reduced to distinct
@@ -15,6 +12,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,31 +25,21 @@ def _days(n: int) -> dt.timedelta:
 
 
 def in_window(df: DataFrame, anchors: Anchors, day_col: str, start: int, end: int = 0,
-              end_inclusive: bool = False, method: str = "auto") -> DataFrame:
+              end_inclusive: bool = False) -> DataFrame:
     """Rows with ``anchor + start <= day < anchor + end`` (``<=`` if inclusive),
     tagged with ``anchor``. ``start``/``end`` are day offsets (negative = past).
 
-    One anchor: a literal filter. Otherwise a row can belong to at most
-    ``width`` anchors (the window length), so with few anchors each row is
-    tested against all of them (range join on the broadcast anchors, cost
-    rows x anchors) and with many anchors each row enumerates its ``width``
-    candidate anchor dates and meets the broadcast anchors on equality
-    (cost rows x width). ``method`` forces "range" or "enumerate"."""
+    A row belongs to at most ``end - start`` (+ 1) anchors, those of a run of
+    days: it enumerates the part of that run within the anchors' range (one
+    day if there is one anchor) and meets the anchors on equality."""
     d = F.col(day_col)
     lo = anchors.lo + _days(start)
     hi = anchors.hi + _days(end)
-    bound = (d >= F.lit(lo)) & ((d <= F.lit(hi)) if end_inclusive else (d < F.lit(hi)))
-    df = df.where(bound)
-    if len(anchors.dates) == 1 and method == "auto":
-        return df.withColumn("anchor", F.lit(anchors.lo))
-    a = anchors.df(df.sparkSession).select(F.col("anchor"))
-    width = end - start + (1 if end_inclusive else 0)
-    if method == "enumerate" or (method == "auto" and len(anchors.dates) > width):
-        first = F.date_sub(d, end if end_inclusive else end - 1)  # earliest anchor holding the day
-        last = F.date_sub(d, start)
-        return df.withColumn("anchor", F.explode(F.sequence(first, last))).join(a, "anchor")
-    upper = (d <= F.date_add(a["anchor"], end)) if end_inclusive else (d < F.date_add(a["anchor"], end))
-    return df.join(a, (d >= F.date_add(a["anchor"], start)) & upper, "inner")
+    df = df.where((d >= F.lit(lo)) & ((d <= F.lit(hi)) if end_inclusive else (d < F.lit(hi))))
+    first = F.greatest(F.date_sub(d, end if end_inclusive else end - 1), F.lit(anchors.lo))
+    last = F.least(F.date_sub(d, start), F.lit(anchors.hi))
+    a = anchors.df(df.sparkSession).select("anchor")
+    return df.withColumn("anchor", F.explode(F.sequence(first, last))).join(a, "anchor")
 
 
 def ts_bounds(ts_col: str, lo: dt.date, hi: dt.date) -> Column:
@@ -67,6 +55,17 @@ def ts_bounds(ts_col: str, lo: dt.date, hi: dt.date) -> Column:
     return (c >= lo_ts) & (c < hi_ts)
 
 
+def runs_of_days(days) -> list[tuple[dt.date, dt.date]]:
+    """First and last day of each run of consecutive days."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for d in sorted(set(days)):
+        if out and d - out[-1][1] == dt.timedelta(days=1):
+            out[-1] = (out[-1][0], d)
+        else:
+            out.append((d, d))
+    return out
+
+
 def _asof(events: DataFrame, probes: DataFrame, keys: list[str], ev_day: str, probe_day: str,
           out: str, forward: bool) -> DataFrame:
     ev = events.select(*keys, F.col(ev_day).alias("_t")).distinct().withColumn("_k", F.lit(0))
@@ -111,6 +110,6 @@ def lookup(col: Column, pairs, default: Column | None = None) -> Column:
 
 
 def per_anchor(df: DataFrame, anchors: Anchors) -> DataFrame:
-    """Each row once per anchor, by exploding the (bounded) literal date list;
-    no join is planned."""
-    return df.withColumn("anchor", F.explode(F.array(*[F.lit(d) for d in anchors.dates])))
+    """Each row once per anchor, by exploding the date list; no join is planned."""
+    days = F.from_json(F.lit(json.dumps([d.isoformat() for d in anchors.dates])), "array<date>")
+    return df.withColumn("anchor", F.explode(days))

@@ -15,9 +15,10 @@ from ..functions.text import ilike_any, title_case
 from .common import lookup
 
 def rep_allowlist(roster: DataFrame, rules: Rules, *, with_exceptions: bool = True,
-                  distinct_rule_arm: bool = False, name_only: bool = False) -> DataFrame:
+                  distinct_rule_arm: bool = False, name_only: bool = False, dedupe: bool = False) -> DataFrame:
     """Reps in scope: the title/role/location rule, minus exclusions, plus the
-    exception names (UNION ALL: a name may appear twice -> bag semantics)."""
+    exception names (UNION ALL: a name may appear twice -> bag semantics).
+    ``dedupe`` keeps one row per name, that of the smallest user id."""
     title, role = F.col("title"), F.col("role_name")
     loc = F.col("working_location")
     rule = (
@@ -43,6 +44,8 @@ def rep_allowlist(roster: DataFrame, rules: Rules, *, with_exceptions: bool = Tr
             F.col("user_name").isin(list(rules.exception_names)) & (F.col("is_active") == F.lit(True))
         ).select(*cols)
         arm = arm.unionByName(exc)
+    if dedupe:
+        arm = arm.groupBy("rep").agg(F.min(F.struct(*arm.columns)).alias("_r")).select("_r.*")
     return arm
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import GREEN_AT, HIGH_RISK_LEVELS, NO_RENEWAL_PILLAR_PATTERNS, YELLOW_AT
 from ..functions.dates import Anchors
 from ..functions.numeric import round_half_up
+from .common import last_before
 from .touches import touch_norm
 
 
@@ -29,17 +30,19 @@ def interaction_signals(signals: DataFrame) -> DataFrame:
 
 def interaction_signals_asof(signals: DataFrame, anchors: Anchors) -> DataFrame:
     """Per (anchor, rep): the two counts over rows of the single latest analysis
-    date on or before the anchor (one date for all reps). Rows are reduced to
-    (date, rep) partial counts before meeting the anchors."""
+    date on or before the anchor (one date for all reps). The dates are found
+    first, from one column; only their rows are read again and counted per
+    (date, rep) before they meet the anchors."""
     signals = signals.where(F.col("analysis_date") <= F.lit(anchors.hi))  # later rows never qualify
-    per_day = signals.groupBy("analysis_date", "rep").agg(
+    dates = signals.select(F.lit(0).alias("_all"), "analysis_date")
+    probes = anchors.df(signals.sparkSession).select(F.lit(0).alias("_all"), F.date_add("anchor", 1).alias("_next"))
+    latest = last_before(dates, probes, ["_all"], "analysis_date", "_next", "analysis_date_").select(
+        F.date_sub("_next", 1).alias("anchor"), F.col("analysis_date_").alias("analysis_date"))
+    needed = latest.select("analysis_date").distinct()
+    per_day = signals.join(needed, "analysis_date", "left_semi").groupBy("analysis_date", "rep").agg(
         F.count_if(F.col("risk_level").isin(*HIGH_RISK_LEVELS)).alias("high_risk_org_count"),
         F.count_if(F.col("cancel_intent") == F.lit(True)).alias("cancellation_intent_count"),
     )
-    dates = signals.select("analysis_date").distinct()  # reads one column only
-    a = anchors.df(signals.sparkSession).select("anchor")
-    latest = dates.join(a, F.col("analysis_date") <= F.col("anchor")).groupBy("anchor").agg(
-        F.max("analysis_date").alias("analysis_date"))
     return per_day.join(latest, "analysis_date").select(
         "anchor", "rep", "high_risk_org_count", "cancellation_intent_count")
 

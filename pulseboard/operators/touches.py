@@ -21,7 +21,7 @@ from ..functions.dates import Anchors, is_business_day
 from ..functions.numeric import round_half_up
 from ..functions.text import ilike_any
 from ..sources import Sources
-from .common import in_window, ts_bounds
+from .common import in_window, runs_of_days, ts_bounds
 
 TOUCH_COLS = ("day", "rep", "org", "source_id", "channel", "qualifies")
 
@@ -29,18 +29,18 @@ TOUCH_COLS = ("day", "rep", "org", "source_id", "channel", "qualifies")
 def touch_sources(src: Sources, rules: Rules, lo: dt.date | None, hi: dt.date | None,
                   org_required_for_actions: bool = False, days=None) -> DataFrame:
     """Union of the three touch sources with ``lo <= day < hi`` (None = open),
-    or, with ``days`` (a short list), only those calendar days: an OR of
-    per-day timestamp ranges, which the Parquet scan can push down.
+    or, with ``days``, only those calendar days: an OR of timestamp ranges (one
+    per run of days), which the Parquet scan can push down.
 
     actions: closed CRM actions of the configured record type (org may be null);
     call_a: completed calls with an org, qualifying at >= 15 minutes;
     call_b: calls with an org (no status), qualifying at >= 900 seconds.
     """
     def bounded(df, ts):
-        if days and len(days) <= 64:
+        if days:
             cond = None
-            for d in sorted(set(days)):
-                term = ts_bounds(ts, d, d + dt.timedelta(days=1))
+            for first, last in runs_of_days(days):
+                term = ts_bounds(ts, first, last + dt.timedelta(days=1))
                 cond = term if cond is None else (cond | term)
             return df.where(cond)
         if lo is None and hi is None:

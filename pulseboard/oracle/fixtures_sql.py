@@ -83,13 +83,13 @@ select o.o_orderkey as case_id,
        o.o_orderstatus = 'F' as is_closed
 from orders o cross join n join supplier s on s.s_suppkey = o.o_custkey % n.k"""),
     ("scored", """
-select l.l_linenumber as k, s.s_name as rep, cast(l.l_shipdate as date) as conv_date,
+select (l.l_linenumber - 1) % 4 + 1 as k, s.s_name as rep, cast(l.l_shipdate as date) as conv_date,
        case when l.l_returnflag = 'R' and l.l_linestatus = 'O' then 'incomplete'
             when l.l_orderkey % 30 = 0 then null else 'complete' end as quality,
        50.0::double + l.l_quantity as score,
        l.l_quantity * 2 as sub_1, 100 - l.l_quantity as sub_2,
        l.l_discount * 1000 as sub_3, l.l_tax * 1000 as sub_4
-from lineitem l join supplier s on s.s_suppkey = l.l_suppkey where l.l_linenumber <= 4"""),
+from lineitem l join supplier s on s.s_suppkey = l.l_suppkey"""),
     ("scores_1", "select rep, conv_date, quality, score, sub_1, sub_2, sub_3, sub_4 from scored where k = 1"),
     ("scores_2", "select rep, conv_date, quality, score, sub_1, sub_2, sub_3, sub_4 from scored where k = 2"),
     ("scores_3", "select rep, conv_date, quality, score, sub_1, sub_2, sub_3, sub_4 from scored where k = 3"),

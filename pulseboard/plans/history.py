@@ -13,8 +13,8 @@ replaced; a lost executor just recomputes its tasks).
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +30,7 @@ from ..operators import score as S
 from ..operators import sla as SL
 from ..operators import touches as TC
 from ..operators.common import per_anchor
-from ..session import ensure_checkpoint_dir
+from ..session import written
 from ..sources import Sources
 from . import hub as H
 from .job import MetricsJob
@@ -51,7 +51,12 @@ SNAPSHOT_SPEC: list[tuple[str, T.DataType]] = [
     ("daily_ret_created", L), ("daily_ret_met", L),
 ]
 SNAPSHOT_COLUMNS = [n for n, _ in SNAPSHOT_SPEC]
+SNAPSHOT_SCHEMA = T.StructType([T.StructField(n, t) for n, t in SNAPSHOT_SPEC])
 KEY = ["snapshot_date", "rep"]
+#: Dates that one history job takes at a time.
+CHUNK_DAYS = 366
+#: Files that a date's rows are spread over when written.
+FILES_PER_DATE = 4
 
 
 # ---------------------------------------------------------------- schema
@@ -77,25 +82,32 @@ def conform(df: DataFrame, spec=SNAPSHOT_SPEC) -> DataFrame:
 
 # ---------------------------------------------------------------- storage
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """The snapshot table with the full column set: partitions written before
-    columns were added are read with merged footers and get typed nulls."""
-    return conform(spark.read.option("mergeSchema", "true").parquet(path))
+    """The snapshot table with the full column set: read with the known schema, so
+    columns added after a partition was written come back as typed nulls."""
+    return conform(spark.read.schema(SNAPSHOT_SCHEMA).parquet(path))
 
 
-def write_partitions(df: DataFrame, path: str, partition_col: str = "snapshot_date") -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_partitions(df: DataFrame, path: str, partition_col: str = "snapshot_date", key: str = "rep") -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic overwrite), in a
+    few files per date whatever the number of tasks."""
+    salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_DATE))
+    (df.repartition(partition_col, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
-def _staging(spark: SparkSession, tag: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{tag}-{uuid.uuid4().hex}"
-
-
-def snapshot_replace(rows: DataFrame, path: str) -> None:
-    """Delete-then-insert of whole snapshot dates: the dates present in ``rows``
-    are replaced, every other date is left as it is."""
-    write_partitions(conform(rows), path)
+def snapshot_replace(rows: DataFrame, path: str, dates=None) -> None:
+    """Delete-then-insert of whole snapshot dates: ``dates`` (default: those present
+    in ``rows``) are replaced, every other date is left as it is. A date of
+    ``dates`` without rows is emptied."""
+    spark = rows.sparkSession
+    rows = conform(rows)
+    if dates is not None:
+        rows = written(rows.where(F.col("snapshot_date").isin(*dates)), "replace")
+        produced = {r[0] for r in rows.select("snapshot_date").distinct().collect()}  # one value per date at most
+        empty = sorted(set(dates) - produced)
+        if empty and exists(spark, path):
+            clear_partitions(spark, path, empty)
+    write_partitions(rows, path)
 
 
 def merge_updates(current: DataFrame, updates: DataFrame, cols) -> DataFrame:
@@ -126,23 +138,14 @@ def clear_partitions(spark: SparkSession, path: str, dates, partition_col: str =
     """Delete the given date partitions of a Parquet table folder.
 
     Plain Parquet has no DELETE and a dynamic overwrite cannot empty a
-    partition, so the folder is registered as a temporary external table and
-    each date is overwritten with zero rows (a static-partition INSERT
-    OVERWRITE); dropping the external table keeps the data."""
-    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
-    name = f"pb_clear_{uuid.uuid4().hex[:12]}"
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    loc = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (`{partition_col}`) LOCATION '{loc}'")
-    try:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        data = [f for f in schema.fields if f.name != partition_col]
-        nothing = "SELECT " + ", ".join(
-            f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data) + " WHERE false"
-        for d in dates:  # only the (rare) dates that produced no rows
-            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{partition_col}` = DATE'{d.isoformat()}') {nothing}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    partition, so the dates' folders are removed through the table's own file
+    system: no job runs, whatever the number of dates."""
+    wanted = [d.isoformat() for d in dates]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for d in wanted:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{partition_col}={d}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshByPath(path)
 
 
 def snapshot_upsert(spark: SparkSession, path: str, updates: DataFrame, cols, dates) -> int:
@@ -151,15 +154,9 @@ def snapshot_upsert(spark: SparkSession, path: str, updates: DataFrame, cols, da
     read and overwritten by the same job."""
     assert_unique_keys(updates)
     current = read_snapshots(spark, path).where(F.col("snapshot_date").isin(*dates))
-    merged = merge_updates(current, updates, cols)
-    stage = _staging(spark, "upsert")
-    merged.write.partitionBy("snapshot_date").parquet(stage)
-    staged = spark.read.parquet(stage)
-    matched = staged.where(F.col("_matched")).count()
+    staged = written(merge_updates(current, updates, cols), "upsert")
     write_partitions(conform(staged.drop("_matched")), path)
-    # release the staging space (an empty overwrite removes its files)
-    spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(stage)
-    return matched
+    return staged.where(F.col("_matched")).count()
 
 
 # ---------------------------------------------------------------- hub -> snapshot
@@ -183,14 +180,15 @@ def refresh_rows(src: Sources, rules: Rules, anchor: dt.date, hub_df: DataFrame,
                  job: MetricsJob | None = None) -> DataFrame:
     """Step 1 of ``refresh``: the given hub rows as the snapshot of ``anchor``,
     with the daily columns of the day before."""
-    job = job or MetricsJob(src, rules, Anchors.of(anchor))
+    job = job or MetricsJob(src, rules, Anchors.of(anchor), every_rep=True)
     base = snapshot_from_hub(hub_df, anchor)
-    return conform(D.daily_columns(base, src, job.allow, rules, days=[anchor]))
+    touch_days = job.daily_touch_days if job.every_rep else None
+    return conform(D.daily_columns(base, src, job.allow, rules, days=[anchor], touch_days=touch_days))
 
 
 def latest_hub(spark: SparkSession, hub_path: str, anchor: dt.date) -> DataFrame:
     """Hub rows of the most recent build on or before ``anchor`` (scalar subquery)."""
-    h = spark.read.option("mergeSchema", "true").parquet(hub_path)
+    h = spark.read.parquet(hub_path)
     last = h.where(F.col("anchor") <= F.lit(anchor)).select(F.max("anchor")).scalar()
     return h.where(F.col("anchor") == last)
 
@@ -206,28 +204,29 @@ def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: s
     from ..functions.dates import as_date
 
     anchor = as_date(anchor)
-    if _exists(spark, hub_path):
-        job = MetricsJob(src, rules, Anchors.of(anchor))
-        try:
-            prev = latest_hub(spark, hub_path, anchor).drop("anchor")
-            snapshot_replace(refresh_rows(src, rules, anchor, prev, job), snapshots_path)
-        finally:
-            job.release()
-    snaps = read_snapshots(spark, snapshots_path) if _exists(spark, snapshots_path) else None
-    job = MetricsJob(src.with_snapshots(snaps) if snaps is not None else src, rules, Anchors.of(anchor))
+    job = MetricsJob(src, rules, Anchors.of(anchor), every_rep=True)  # both steps read each source once
     try:
+        if exists(spark, hub_path):
+            prev = latest_hub(spark, hub_path, anchor).drop("anchor")
+            snapshot_replace(refresh_rows(src, rules, anchor, prev, job), snapshots_path, [anchor])
+        if exists(spark, snapshots_path):
+            job.src = src.with_snapshots(read_snapshots(spark, snapshots_path))
         write_partitions(H.hub(job, include_refresh_time=True), hub_path, "anchor")
     finally:
         job.release()
     return spark.read.parquet(hub_path).where(F.col("anchor") == F.lit(anchor))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at ``path``. Only a missing path, or one without
+    data files, counts as no table; any other error is raised."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
+        spark.read.parquet(path)
         return True
-    except Exception:  # noqa: BLE001 - missing path or empty table
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 # ---------------------------------------------------------------- set-based jobs
@@ -237,13 +236,12 @@ def backfill_rows(src: Sources, rules: Rules, anchors: Anchors, job: MetricsJob
     segment, legacy renewal coverage (org + rep), as-of signal counts.
     Keeps reps with a touch rate, a call score or an SLA ratio."""
     job = job or MetricsJob(src, rules, anchors, "legacy")
-    rate = TC.touch_rate_from_days(job.rep_days, anchors)
-    cm = C.call_metrics(src, job.allow, anchors, days=90, include_anchor_day=False, daily=job.call_days)
-    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open", rows=job.retention_rows)
+    rate = TC.touch_rate_from_days(job.rep_days, anchors, rules.touch_window_days)
+    cm = C.call_metrics(src, job.allow, anchors, days=rules.backfill_call_window_days, include_anchor_day=False, daily=job.call_days)
+    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open",
+                           days=rules.sla_window_days, rows=job.retention_rows)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
-    cov = RN.renewal_coverage(job.cohort("legacy"), job.renewal_keys_by_rep,
-                              ("org", "rep"))
-    piv = RN.renewal_pivot(cov, anchors)
+    piv = RN.renewal_pivot(job.coverage("legacy"), anchors)
     ii = S.interaction_signals_asof(src.signals, anchors)
     k = ["anchor", "rep"]
     rows = (per_anchor(job.allow.select("rep"), anchors).join(rate, k, "left").join(cm, k, "left")
@@ -275,10 +273,9 @@ def enrich_updates(src: Sources, rules: Rules, anchors: Anchors, snapshots: Data
     """SLA done/total (open rule) and M1-M3 called/total (legacy cohort, org +
     rep match) for every stored row of the dates; absent -> 0."""
     job = job or MetricsJob(src, rules, anchors, "legacy")
-    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open", rows=job.retention_rows)
-    cov = RN.renewal_coverage(job.cohort("legacy"), job.renewal_keys_by_rep,
-                              ("org", "rep"))
-    piv = RN.renewal_pivot(cov, anchors)
+    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="open",
+                           days=rules.sla_window_days, rows=job.retention_rows)
+    piv = RN.renewal_pivot(job.coverage("legacy"), anchors)
     rows = _stored(snapshots, anchors).select(*KEY).withColumn("anchor", F.col("snapshot_date"))
     j = rows.join(sla, ["anchor", "rep"], "left").join(piv, ["anchor", "rep"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
@@ -296,8 +293,9 @@ def recompute_score_updates(src: Sources, rules: Rules, anchors: Anchors, snapsh
     composite from the stored touch rate and stored M2 ratio (counted when
     the ratio is > 0)."""
     job = job or MetricsJob(src, rules, anchors, "names")
-    cm = C.call_metrics(src, job.allow, anchors, days=30, include_anchor_day=False, daily=job.call_days)
-    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="deadline", rows=job.retention_rows)
+    cm = C.call_metrics(src, job.allow, anchors, days=rules.call_window_days, include_anchor_day=False, daily=job.call_days)
+    sla = SL.retention_sla(src.cases, job.allow, job.outreach_keys, anchors, rule="deadline",
+                           days=rules.sla_window_days, rows=job.retention_rows)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
     rows = _stored(snapshots, anchors).select(*KEY, F.col("ars_per_day").alias("_ars"),
                                               F.col("renewal_m2_pct").alias("_m2")).withColumn(
@@ -321,8 +319,7 @@ def recompute_renewal_updates(src: Sources, rules: Rules, anchors: Anchors, snap
     """Current cohort rule without the existence test, org-matched coverage,
     and the composite from stored touch rate, call score / 100 and SLA."""
     job = job or MetricsJob(src, rules, anchors, "names")
-    cov = RN.renewal_coverage(job.cohort("nocheck"), job.renewal_keys)
-    piv = RN.renewal_pivot(cov, anchors)
+    piv = RN.renewal_pivot(job.coverage("nocheck"), anchors)
     seg = _at(job, R.owner_segment(src.book, job.allow, anchors))
     rows = _stored(snapshots, anchors).select(
         *KEY, F.col("ars_per_day").alias("_ars"), (F.col("avg_call_score").cast("double") / 100.0).alias("_call"),
@@ -356,10 +353,8 @@ def backfill_daily_updates(src: Sources, rules: Rules, dates, snapshots: DataFra
     anchors = Anchors.of(*dates)
     job = job or MetricsJob(src, rules, anchors, "names")
     rows = _stored(snapshots, anchors).select(*KEY)
-    daily = D.daily_columns(rows, src, job.allow, rules, days=list(anchors.dates))
-    cov = RN.renewal_coverage(job.cohort("legacy"), job.renewal_keys_by_rep,
-                              ("org", "rep"))
-    piv = RN.renewal_pivot(cov, anchors).withColumnRenamed("anchor", "snapshot_date")
+    daily = D.daily_columns(rows, src, job.allow, rules, days=list(anchors.dates), touch_days=job.daily_touch_days)
+    piv = RN.renewal_pivot(job.coverage("legacy"), anchors).withColumnRenamed("anchor", "snapshot_date")
     j = daily.join(piv, KEY, "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     m2m = [z(f"renewal_m{k}_{f}") for k in (1, 2, 3) for f in ("m2m", "m2m_called")]
@@ -378,31 +373,29 @@ def backfill_snapshots(spark: SparkSession, src: Sources, rules: Rules, start, e
     """Replace the snapshots of [start, end] (delete the range, insert the
     recomputed rows): dates with rows are rewritten by a dynamic partition
     overwrite, dates that produced none are cleared."""
-    a = Anchors.between(start, end)
-    job = MetricsJob(src, rules, a, "legacy")
-    try:
-        rows = backfill_rows(src, rules, a, job).persist()  # one row per rep and day: small
-        # at most one value per anchor date reaches the driver
-        produced = {r[0] for r in rows.select("snapshot_date").distinct().collect()}
-        existed = _exists(spark, path)
-        if produced:
-            snapshot_replace(rows, path)
-        rows.unpersist()
-        empty = [d for d in a.dates if d not in produced]
-        if empty and existed:
-            clear_partitions(spark, path, empty)
-    finally:
-        job.release()
+    for a in _chunks(Anchors.between(start, end).dates):
+        job = MetricsJob(src, rules, a, "legacy")
+        try:
+            snapshot_replace(backfill_rows(src, rules, a, job), path, a.dates)
+        finally:
+            job.release()
+
+
+def _chunks(dates) -> list[Anchors]:
+    """Long date lists are worked off a year at a time, so that one job's scans stay bounded."""
+    return [Anchors.of(*dates[k:k + CHUNK_DAYS]) for k in range(0, len(dates), CHUNK_DAYS)]
 
 
 def _upsert_job(spark, src, rules, dates, path, variant, build, cols) -> int:
-    a = Anchors.of(*dates)
-    job = MetricsJob(src, rules, a, variant)
-    try:
-        snaps = read_snapshots(spark, path)
-        return snapshot_upsert(spark, path, build(src, rules, a, snaps, job), cols, a.dates)
-    finally:
-        job.release()
+    matched = 0
+    for a in _chunks(list(dates)):
+        job = MetricsJob(src, rules, a, variant)
+        try:
+            snaps = read_snapshots(spark, path)
+            matched += snapshot_upsert(spark, path, build(src, rules, a, snaps, job), cols, a.dates)
+        finally:
+            job.release()
+    return matched
 
 
 def enrich_counts(spark, src, rules, start, end, path) -> int:

@@ -7,7 +7,7 @@ partitioning instead of re-shuffling for every join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label
@@ -72,13 +72,12 @@ def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     src, rules, anchors = job.src, job.rules, job.anchors
     ru = rollup(job)
     rate = T.touch_rate_from_days(job.rep_days, anchors, rules.touch_window_days)
-    cm = C.call_metrics(src, job.allow, anchors, daily=job.call_days)
-    cp = C.call_metrics_prev(src, job.allow, anchors, daily=job.call_days)
+    cm = C.call_metrics(src, job.allow, anchors, rules.call_window_days, daily=job.call_days)
+    cp = C.call_metrics_prev(src, job.allow, anchors, rules.call_window_days, rules.call_history_days, daily=job.call_days)
     okeys = job.outreach_keys
-    rs = SL.retention_sla(src.cases, job.allow, okeys, anchors, rows=job.retention_rows)
-    ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules, rows=job.churn_rows)
-    cov = RN.renewal_coverage(job.cohort("current"), job.renewal_keys)
-    piv = RN.renewal_pivot(cov, anchors)
+    rs = SL.retention_sla(src.cases, job.allow, okeys, anchors, days=rules.sla_window_days, rows=job.retention_rows)
+    ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules, rules.churn_window_days, rows=job.churn_rows)
+    piv = RN.renewal_pivot(job.coverage(), anchors)
     oc = SL.open_case_counts(src.cases, rules)
     ii = S.interaction_signals(src.signals)
     a = job.anchors.df(job.spark)
@@ -153,15 +152,9 @@ def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     return j.select(*cols)
 
 
-def hub_top(hub_df: DataFrame, n: int = 10, single_anchor: bool = True) -> DataFrame:
-    """Top ``n`` by composite (nulls last), 12 columns. With one anchor this is
-    a distributed take-ordered; with many, a per-anchor row_number <= n, which
-    Spark evaluates as a partial group limit before the shuffle."""
-    order = [F.col("composite_score").desc_nulls_last(), F.col("rep").asc()]
-    cols = [c for c in TOP_COLUMNS if c in hub_df.columns]
-    if single_anchor:
-        return hub_df.orderBy(*order).limit(n).select(*cols)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("anchor").orderBy(*order)
-    return hub_df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).select(*cols)
+def hub_top(hub_df: DataFrame, n: int = 10) -> DataFrame:
+    """Top ``n`` of each anchor by composite (nulls last), 12 columns: a row_number
+    filter, which Spark evaluates as a partial group limit before the shuffle."""
+    w = Window.partitionBy("anchor").orderBy(F.col("composite_score").desc_nulls_last(), F.col("rep").asc())
+    top = hub_df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    return top.select(*[c for c in TOP_COLUMNS if c in hub_df.columns])

@@ -28,13 +28,19 @@ from ..sources import Sources
 
 
 class MetricsJob:
-    def __init__(self, src: Sources, rules: Rules, anchors: Anchors, variant: str = "current"):
+    def __init__(self, src: Sources, rules: Rules, anchors: Anchors, variant: str = "current",
+                 dedupe: bool = False, every_rep: bool = False):
         """``variant`` picks the allowlist form: "current" (full columns, UNION
         ALL with exceptions), "names" (DISTINCT names + exceptions, recompute
-        scripts) or "legacy" (DISTINCT names, no exceptions, older backfills)."""
+        scripts) or "legacy" (DISTINCT names, no exceptions, older backfills).
+        ``dedupe`` lists a name once where the source counts it per listing.
+        ``every_rep``: the job also needs touches of reps outside the allowlist
+        (always so for "legacy"), so one reduction of all reps serves both."""
         if variant not in ("current", "names", "legacy"):
             raise ValueError(variant)
         self.variant = variant
+        self.dedupe = dedupe
+        self.every_rep = every_rep or variant == "legacy"
         self.src = src
         self.rules = rules
         self.anchors = anchors
@@ -46,8 +52,15 @@ class MetricsJob:
     def touch_lo(self) -> dt.date:
         """Earliest day any windowed touch metric needs (renewal look-back)."""
         first_m1 = add_months_py(self.anchors.lo, 1)
-        return min(first_m1 - dt.timedelta(days=self.rules.renewal_lookback_days),
-                   self.anchors.lo - dt.timedelta(days=self.rules.touch_window_days))
+        r = self.rules
+        window = max(r.touch_window_days, r.sla_window_days, r.churn_window_days)
+        return min(first_m1 - dt.timedelta(days=r.renewal_lookback_days), self.anchors.lo - dt.timedelta(days=window))
+
+    @property
+    def daily_touch_days(self) -> DataFrame:
+        """Touch counts of every rep for the daily columns of the anchors; the job's
+        window holds the day before each and the days its deadlines look back to."""
+        return self.all_touch_days
 
     @property
     def touch_hi(self) -> dt.date:
@@ -60,7 +73,7 @@ class MetricsJob:
             return self.allow_names
         if self.variant == "legacy":
             return self.allow_legacy
-        return self._keep(R.rep_allowlist(self.src.roster, self.rules))
+        return self._keep(R.rep_allowlist(self.src.roster, self.rules, dedupe=self.dedupe))
 
     def _keep(self, df: DataFrame) -> DataFrame:
         """Persist a small relation many metrics of the job read."""
@@ -72,12 +85,13 @@ class MetricsJob:
     def allow_legacy(self) -> DataFrame:
         """Older scripts: DISTINCT names, no exceptions arm."""
         return self._keep(R.rep_allowlist(self.src.roster, self.rules, with_exceptions=False,
-                                          distinct_rule_arm=True, name_only=True))
+                                          distinct_rule_arm=True, name_only=True, dedupe=self.dedupe))
 
     @cached_property
     def allow_names(self) -> DataFrame:
         """Recompute scripts: DISTINCT names of the rule, plus exceptions."""
-        return self._keep(R.rep_allowlist(self.src.roster, self.rules, distinct_rule_arm=True, name_only=True))
+        return self._keep(R.rep_allowlist(self.src.roster, self.rules, distinct_rule_arm=True, name_only=True,
+                                          dedupe=self.dedupe))
 
     # ---- touches ------------------------------------------------------
     @cached_property
@@ -96,10 +110,10 @@ class MetricsJob:
         job (persisted: each source is scanned once however many metrics
         read it; a lost block is recomputed from its lineage).
 
-        Legacy jobs also need every rep's touches, so there the reduction of
-        all reps is joined with the allowlist names (bag join: a name listed
+        Jobs that also need every rep's touches join the reduction of all reps
+        with the allowlist names (bag join: a name listed
         k times carries k copies of its counts, as the row-level join would)."""
-        if self.variant == "legacy":
+        if self.every_rep:
             return self.all_touch_days.join(self.allow.select("rep"), "rep")
         return self._keep(T.touch_days(self.base))
 
@@ -127,7 +141,9 @@ class MetricsJob:
     @cached_property
     def call_days(self) -> DataFrame:
         """Per (rep, day) call-score partials over the longest call window."""
-        lo = self.anchors.lo - dt.timedelta(days=max(self.rules.call_history_days, 90))
+        r = self.rules
+        days = r.backfill_call_window_days if self.variant == "legacy" else max(r.call_window_days, r.call_history_days)
+        lo = self.anchors.lo - dt.timedelta(days=days)
         df = C.daily_partials(self.src, self.allow, lo, self.anchors.hi).persist()
         self._persisted.append(df)
         return df
@@ -136,7 +152,7 @@ class MetricsJob:
     def retention_rows(self) -> DataFrame:
         """Retention cases created in the job's widest window (read once)."""
         cases = self.src.cases.where(ts_bounds(
-            "created_at", self.anchors.lo - dt.timedelta(days=self.rules.touch_window_days),
+            "created_at", self.anchors.lo - dt.timedelta(days=self.rules.sla_window_days),
             self.anchors.hi + dt.timedelta(days=1)))
         return self._keep(SL.retention_case_rows(cases, self.allow))
 
@@ -144,17 +160,22 @@ class MetricsJob:
     def churn_rows(self) -> DataFrame:
         """Churn-risk tasks inserted in the job's widest window (read once)."""
         tasks = self.src.tasks.where(ts_bounds(
-            "inserted_at", self.anchors.lo - dt.timedelta(days=self.rules.touch_window_days),
+            "inserted_at", self.anchors.lo - dt.timedelta(days=self.rules.churn_window_days),
             self.anchors.hi + dt.timedelta(days=1)))
         return self._keep(SL.churn_task_rows(tasks, self.allow, self.rules))
 
     def cohort(self, mode: str = "current") -> DataFrame:
-        """Renewal cohort of the anchors (persisted: coverage reads it three times)."""
+        """Renewal cohort of the anchors' months (persisted: coverage reads it twice)."""
         cache = self.__dict__.setdefault("_cohorts", {})
         if mode not in cache:
-            cache[mode] = self._keep(RN.renewal_cohort(self.src, self.allow, self.anchors, mode))
+            cache[mode] = self._keep(RN.cohort_months(self.src, self.allow, self.anchors, mode))
         return cache[mode]
 
+    def coverage(self, mode: str = "current") -> DataFrame:
+        """Renewal coverage of a cohort form; the legacy one matches on org and rep."""
+        keys, on = (self.renewal_keys_by_rep, ("org", "rep")) if mode == "legacy" else (self.renewal_keys, ("org",))
+        return RN.renewal_coverage(self.cohort(mode), keys, self.anchors, on, self.rules.renewal_lookback_days)
+
     @cached_property
     def book_current(self) -> DataFrame:
         """Book rows of each anchor month (persisted: read by several rollups)."""

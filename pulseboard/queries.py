@@ -8,7 +8,9 @@ anchor_set)``; the oracle select runs on top of the CTEs of
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ from .operators.common import per_anchor
 from .plans import history as HS
 from .plans import hub as H
 from .plans.job import MetricsJob
+from .session import ensure_checkpoint_dir, written
+from .sources import load_table_sources
 from .sources.materialize import fixture_sources as load_fixture_sources
 
 ANCHOR = dt.date(1998, 6, 16)
@@ -41,17 +45,25 @@ def query(name: str, oracle: str, dates: tuple = (ANCHOR,)):
     return deco
 
 
-_JOBS: dict[tuple, MetricsJob] = {}
+_LAST: list[tuple[tuple, MetricsJob]] = []
 
 
-def job_for(spark: SparkSession, sf_dir: str, dates=(ANCHOR,), variant: str = "current") -> MetricsJob:
-    """One job per (tables, anchor set, allowlist form): queries that share it
-    reuse its persisted relations instead of caching new copies per call."""
+def job_for(spark: SparkSession, sf_dir: str, dates=(ANCHOR,), variant: str = "current", **options) -> MetricsJob:
+    """The job of (tables, anchor set, allowlist form). Only the last one is kept:
+    queries in a row that share it reuse its persisted relations, and another
+    one releases them."""
     src = load_fixture_sources(spark, sf_dir)
-    key = (id(src), tuple(dates), variant)
-    if key not in _JOBS:
-        _JOBS[key] = MetricsJob(src, fixture_rules(), Anchors.of(*dates), variant)
-    return _JOBS[key]
+    key = (id(src), tuple(dates), variant, tuple(sorted(options.items())))
+    if not _LAST or _LAST[0][0] != key:
+        release_jobs()
+        _LAST.append((key, MetricsJob(src, fixture_rules(), Anchors.of(*dates), variant, **options)))
+    return _LAST[0][1]
+
+
+def release_jobs() -> None:
+    """Unpersist what the last job keeps."""
+    while _LAST:
+        _LAST.pop()[1].release()
 
 
 def _at_anchor(job: MetricsJob, df: DataFrame) -> DataFrame:
@@ -163,25 +175,25 @@ def q_distinct_touches(spark, sf):
     return _win(j, T.qualified_touches(j.base)).select("anchor", "day", "rep", "org").distinct()
 
 
-@query("active_days", "select * from active_days")
+@query("active_days", "select * from active_days_cur")
 def q_active_days(spark, sf):
     j = job_for(spark, sf)
     return T.active_days(j.base, j.anchors)
 
 
-@query("touch_rate", "select * from touch_rate")
+@query("touch_rate", "select * from touch_rate_cur")
 def q_touch_rate(spark, sf):
     j = job_for(spark, sf)
     return T.touch_rate_from_days(j.rep_days, j.anchors)
 
 
-@query("touch_rate_history", "select * from touch_rate", HISTORY)
+@query("touch_rate_history", "select * from touch_rate_cur", HISTORY)
 def q_touch_rate_history(spark, sf):
     j = job_for(spark, sf, HISTORY)
     return T.touch_rate_from_days(j.rep_days, j.anchors)
 
 
-@query("touch_rate_rows", "select * from touch_rate")
+@query("touch_rate_rows", "select * from touch_rate_cur")
 def q_touch_rate_rows(spark, sf):
     """Same metric from the row-level plan (anti-join + distinct days)."""
     j = job_for(spark, sf)
@@ -248,19 +260,19 @@ def q_retention_cases(spark, sf):
     return SL.retention_cases(j.src.cases, j.allow, j.anchors)
 
 
-@query("retention_sla", "select * from ret_sla")
+@query("retention_sla", "select * from ret_sla_cur")
 def q_retention_sla(spark, sf):
     j = job_for(spark, sf)
     return SL.retention_sla(j.src.cases, j.allow, j.outreach_keys, j.anchors)
 
 
-@query("retention_sla_open", "select * from ret_sla_open")
+@query("retention_sla_open", "select * from ret_sla_open_lg")
 def q_retention_sla_open(spark, sf):
     j = job_for(spark, sf, variant="legacy")
     return SL.retention_sla(j.src.cases, j.allow, j.outreach_keys, j.anchors, rule="open")
 
 
-@query("churn_task_compliance", "select * from churn")
+@query("churn_task_compliance", "select * from churn_cur")
 def q_churn(spark, sf):
     j = job_for(spark, sf)
     return SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules)
@@ -275,57 +287,55 @@ def q_open_cases(spark, sf):
 @query("renewal_cohort", "select * from cohort_cur")
 def q_cohort(spark, sf):
     j = job_for(spark, sf)
-    return j.cohort("current")
+    return RN.at_anchors(j.cohort("current"), j.anchors).select(*RN.COHORT_COLS)
 
 
 @query("renewal_cohort_nocheck", "select * from cohort_nocheck")
 def q_cohort_nc(spark, sf):
     j = job_for(spark, sf)
-    return j.cohort("nocheck")
+    return RN.at_anchors(j.cohort("nocheck"), j.anchors).select(*RN.COHORT_COLS)
 
 
 @query("renewal_cohort_legacy", "select * from cohort_legacy")
 def q_cohort_legacy(spark, sf):
     j = job_for(spark, sf, variant="names")
-    return j.cohort("legacy")
+    return RN.at_anchors(j.cohort("legacy"), j.anchors).select(*RN.COHORT_COLS)
 
 
 @query("renewal_touches", "select * from renewal_touches")
 def q_renewal_touches(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_touches(j.base, j.cohort(), j.anchors)
+    return RN.renewal_touches(j.base, RN.at_anchors(j.cohort(), j.anchors), j.anchors)
 
 
 @query("renewal_contacted_legacy", "select * from contacted_legacy")
 def q_contacted_legacy(spark, sf):
     j = job_for(spark, sf, variant="names")
-    return RN.renewal_contacted(j.cohort("legacy"), j.renewal_keys_by_rep)
+    return RN.renewal_contacted(j.cohort("legacy"), j.renewal_keys_by_rep, j.anchors)
 
 
 @query("renewal_coverage", "select * from coverage_cur")
 def q_coverage(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_coverage(j.cohort(), j.renewal_keys)
+    return j.coverage()
 
 
 @query("renewal_coverage_nocheck", "select * from coverage_nocheck")
 def q_coverage_nc(spark, sf):
     j = job_for(spark, sf)
-    return RN.renewal_coverage(j.cohort("nocheck"), j.renewal_keys)
+    return j.coverage("nocheck")
 
 
 @query("renewal_coverage_legacy", "select * from coverage_legacy")
 def q_coverage_legacy(spark, sf):
     j = job_for(spark, sf, variant="names")
-    cohort = j.cohort("legacy")
-    return RN.renewal_coverage(cohort, j.renewal_keys_by_rep, ("org", "rep"))
+    return j.coverage("legacy")
 
 
 @query("renewal_pivot", "select * from pivot_cur")
 def q_pivot(spark, sf):
     j = job_for(spark, sf)
-    cov = RN.renewal_coverage(j.cohort(), j.renewal_keys)
-    return RN.renewal_pivot(cov, j.anchors)
+    return RN.renewal_pivot(j.coverage(), j.anchors)
 
 
 # ---------------------------------------------------------------- 2.6 score / hub / daily
@@ -344,7 +354,7 @@ def _composite(j: MetricsJob) -> DataFrame:
     src = j.src
     okeys = j.outreach_keys
     ru = _at_anchor(j, _book_parts(j)[3])
-    piv = RN.renewal_pivot(RN.renewal_coverage(j.cohort(), j.renewal_keys), j.anchors)
+    piv = RN.renewal_pivot(j.coverage(), j.anchors)
     return H.composite_frame(j, T.touch_rate_from_days(j.rep_days, j.anchors),
                              C.call_metrics(src, j.allow, j.anchors, daily=j.call_days),
                              SL.retention_sla(src.cases, j.allow, okeys, j.anchors, rows=j.retention_rows), ru, piv)
@@ -365,7 +375,7 @@ def q_band(spark, sf):
 
 @query("churn_gate", """select c.anchor, c.rep, c.composite_score, coalesce(ch.has_unattempted_churn, 0) as has_unattempted_churn,
   case when coalesce(ch.has_unattempted_churn, 0) = 1 and c.composite_score >= 0.80 then true else false end as gated_by_churn
-from composite c left join churn ch on ch.anchor = c.anchor and ch.rep = c.rep""")
+from composite c left join churn_cur ch on ch.anchor = c.anchor and ch.rep = c.rep""")
 def q_gate(spark, sf):
     j = job_for(spark, sf)
     ch = SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules, rows=j.churn_rows)
@@ -402,28 +412,28 @@ def q_hub_top(spark, sf):
     return H.hub_top(H.hub(job_for(spark, sf)), 10)
 
 
-@query("daily_touch_count", "select * from daily_ar")
+@query("daily_touch_count", "select * from daily_ar_cur")
 def q_daily_ar(spark, sf):
     j = job_for(spark, sf)
-    return D.daily_touch_count(j.src, j.allow, j.rules)
+    return D.daily_touch_count(D.touch_day_counts(j.src, j.rules), j.allow)
 
 
-@query("daily_active_flag", "select * from daily_active")
+@query("daily_active_flag", "select * from daily_active_cur")
 def q_daily_active(spark, sf):
     j = job_for(spark, sf)
-    return D.daily_active_flag(j.src, j.allow, j.rules)
+    return D.daily_active_flag(D.touch_day_counts(j.src, j.rules), j.allow)
 
 
-@query("daily_call_score", "select * from daily_calls")
+@query("daily_call_score", "select * from daily_calls_cur")
 def q_daily_calls(spark, sf):
     j = job_for(spark, sf)
     return D.daily_call_score(j.src, j.allow)
 
 
-@query("daily_sla_closed", "select * from daily_ret")
+@query("daily_sla_closed", "select * from daily_ret_cur")
 def q_daily_ret(spark, sf):
     j = job_for(spark, sf)
-    return D.daily_sla_closed(j.src, j.allow, j.rules)
+    return D.daily_sla_closed(j.src, D.touch_day_counts(j.src, j.rules), j.allow)
 
 
 @query("daily_columns", "select * from daily_cols")
@@ -452,6 +462,127 @@ def _merged(spark, sf, updates_fn, cols, variant, dates=HISTORY):
     return HS.merge_updates(current, upd, cols).drop("_matched")
 
 
+# ---------------------------------------------------------------- storage: write to the shared folder, read back
+def _store(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/query-{name}-{uuid.uuid4().hex}"
+
+
+def _stored_snapshots(spark, sf, name) -> tuple[DataFrame, str]:
+    snaps, path = HS.conform(load_fixture_sources(spark, sf).snapshots), _store(spark, name)
+    HS.write_partitions(snaps, path)
+    return snaps, path
+
+
+D0, D1, D2 = (d.isoformat() for d in HISTORY[:3])
+
+
+@query("snapshot_replace", f"""select * replace (case when snapshot_date = date '{D0}' then composite_score + 1
+  else composite_score end as composite_score) from snap_c where snapshot_date <> date '{D1}'""")
+def q_snapshot_replace(spark, sf):
+    """One date replaced by changed rows, one emptied."""
+    snaps, path = _stored_snapshots(spark, sf, "replace")
+    rows = snaps.where(F.col("snapshot_date") == HISTORY[0]).withColumn("composite_score", F.col("composite_score") + 1)
+    HS.snapshot_replace(rows, path, HISTORY[:2])
+    return HS.read_snapshots(spark, path)
+
+
+@query("snapshot_upsert", f"""select * replace (
+  case when snapshot_date = date '{D2}' and composite_score > 0.5 then null else ars_per_day end as ars_per_day,
+  case when snapshot_date = date '{D2}' and composite_score > 0.5 then 7 else ret_sla_done end as ret_sla_done) from snap_c""")
+def q_snapshot_upsert(spark, sf):
+    """Two columns of one date's matched rows (a null overwrites); an unknown rep is not inserted."""
+    snaps, path = _stored_snapshots(spark, sf, "upsert")
+    upd = snaps.where((F.col("snapshot_date") == HISTORY[2]) & (F.col("composite_score") > 0.5)).select("snapshot_date", "rep")
+    upd = upd.unionByName(upd.withColumn("rep", F.concat(F.lit("nobody "), "rep")))
+    upd = upd.withColumn("ars_per_day", F.lit(None).cast("double")).withColumn("ret_sla_done", F.lit(7))
+    HS.snapshot_upsert(spark, path, upd, ["ars_per_day", "ret_sla_done"], [HISTORY[2]])
+    return HS.read_snapshots(spark, path)
+
+
+@query("hub_overwrite", f"select * from hub where anchor = date '{D0}' or overall_status = 'green'", HISTORY[:2])
+def q_hub_overwrite(spark, sf):
+    """Two builds; the second is built again, without its red and yellow rows."""
+    path, h = _store(spark, "hub"), H.hub(job_for(spark, sf, HISTORY[:2]))
+    HS.write_partitions(h, path, "anchor")
+    again = spark.read.parquet(path).where((F.col("anchor") == HISTORY[1]) & (F.col("overall_status") == "green"))
+    HS.write_partitions(written(again, "hub-again"), path, "anchor")
+    return spark.read.schema(h.schema).parquet(path)
+
+
+@query("export_hub_json", "select * from hub")
+def q_export_hub_json(spark, sf):
+    path, h = _store(spark, "json"), H.hub(job_for(spark, sf))
+    HS.export_hub_json(h, path)
+    return spark.read.schema(h.schema).json(path)
+
+
+_GIVEN = ("snapshot_date", "rep", "composite_score", "ars_per_day", "avg_call_score", "ret_sla_pct", "renewal_m2_pct", "daily_ar_count")
+_LACKING = [c for c in HS.SNAPSHOT_COLUMNS if c not in _GIVEN]
+
+
+@query("check_columns", "select column_name, n as rows_to_fill from (select count(*) as n from snapshots), "
+       f"(select unnest({_LACKING}) as column_name)")
+def q_check_columns(spark, sf):
+    """Columns that the stored snapshots lack, and the rows that get a typed null in each."""
+    snaps = load_fixture_sources(spark, sf).snapshots
+    missing = HS.check_columns(snaps, HS.SNAPSHOT_COLUMNS)
+    n = snaps.agg(F.count(F.lit(1)).alias("rows_to_fill"))
+    return n.select(F.explode(F.array(*map(F.lit, missing))).alias("column_name"), "rows_to_fill")
+
+
+_TABLES = ("roster", "actions", "calls_a", "calls_b", "book", "accounts", "contracts", "cases", "scores_1", "scores_2",
+           "scores_3", "scores_4", "tasks", "signals")
+
+
+@query("load_sources", " union all ".join(f"select '{t}' as source, count(*) as n from {t}" for t in _TABLES))
+def q_load_sources(spark, sf):
+    """Rows of every source, loaded by catalog name."""
+    given = load_fixture_sources(spark, sf)
+    frames = {t: getattr(given, t) for t in _TABLES if not t.startswith("scores_")}
+    frames |= {f"scores_{k}": df for k, df in enumerate(given.scores, 1)}
+    names = {t: f"pb_load_{t}" for t in _TABLES}
+    for t, df in frames.items():
+        df.createOrReplaceTempView(names[t])
+    src = load_table_sources(spark, names)
+    loaded = {t: getattr(src, t) for t in _TABLES if not t.startswith("scores_")}
+    loaded |= {f"scores_{k}": df for k, df in enumerate(src.scores, 1)}
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("source"), "n") for t, df in loaded.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("refresh", "select * from snapshot_from_prev_hub", (ANCHOR - dt.timedelta(days=1),))
+def q_refresh(spark, sf):
+    """Two daily refreshes: the second stores the first one's build as its snapshot."""
+    src, hub_path, snap_path = load_fixture_sources(spark, sf), _store(spark, "hub"), _store(spark, "snaps")
+    HS.refresh(spark, src, fixture_rules(), ANCHOR - dt.timedelta(days=1), hub_path, snap_path)
+    HS.refresh(spark, src, fixture_rules(), ANCHOR, hub_path, snap_path)
+    return HS.read_snapshots(spark, snap_path)
+
+
+@query("rep_allowlist_names", "select * from allow_names")
+def q_allow_names(spark, sf):
+    return job_for(spark, sf, variant="names").allow
+
+
+@query("rep_allowlist_legacy", "select * from allow_legacy")
+def q_allow_legacy(spark, sf):
+    return job_for(spark, sf, variant="legacy").allow
+
+
+@query("outreach_org_days", "select distinct anchor, day, org from touch_lg, anchors "
+       "where org is not null and day between anchor - 30 and anchor - 1", HISTORY)
+def q_outreach_org_days(spark, sf):
+    """Set form of the outreach: which orgs were reached on which days (older allowlist)."""
+    j = job_for(spark, sf, HISTORY, "legacy")
+    return T.windowed(j.outreach_keys, j.anchors, j.rules.touch_window_days).select("anchor", "day", "org")
+
+
+@query("hub_deduped", "select distinct * from hub")
+def q_hub_deduped(spark, sf):
+    """The hub with every name listed once."""
+    return H.hub(job_for(spark, sf, dedupe=True))
+
+
 @query("enrich_counts", "select * from enrich_merged", HISTORY)
 def q_enrich(spark, sf):
     return _merged(spark, sf, HS.enrich_updates, HS.ENRICH_COLS, "legacy")

@@ -177,10 +177,10 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
     scored = (
-        lineitem.where(F.col("l_linenumber") <= 4)
+        lineitem
         .join(supplier.select("s_suppkey", "s_name"), F.col("s_suppkey") == F.col("l_suppkey"))
         .select(
-            F.col("l_linenumber").alias("k"),
+            ((F.col("l_linenumber") - 1) % 4 + 1).alias("k"),
             F.col("s_name").alias("rep"),
             F.col("l_shipdate").cast("date").alias("conv_date"),
             F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"), "incomplete")

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,7 +44,8 @@ INPUTS = ("region", "nation", "customer", "supplier", "orders", "lineitem", "eve
 
 def _tag(sf_dir: str) -> str:
     """Folder key: input path and file stats plus the derivation's own source,
-    so changed inputs or a changed derivation never reuse stale tables."""
+    so changed inputs or a changed derivation never reuse stale tables. Where
+    the stats cannot be read (remote storage) nothing is reused."""
     from . import fixtures
 
     h = hashlib.sha1(sf_dir.encode())
@@ -52,8 +54,8 @@ def _tag(sf_dir: str) -> str:
         try:
             st = os.stat(f"{sf_dir}/{name}.parquet")
             h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:  # remote storage: path + code only
-            h.update(name.encode())
+        except OSError:
+            h.update(uuid.uuid4().bytes)
     return h.hexdigest()[:16]
 
 

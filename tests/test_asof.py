@@ -34,7 +34,7 @@ def test_asof_matches_brute_force(spark, seed):
 
 
 @pytest.mark.parametrize("start,end,incl", [(-30, 0, False), (-60, -30, False), (-30, 0, True)])
-def test_in_window_methods_agree(spark, start, end, incl):
+def test_in_window(spark, start, end, incl):
     from pulseboard.functions.dates import Anchors
     from pulseboard.operators.common import in_window
 
@@ -45,6 +45,5 @@ def test_in_window_methods_agree(spark, start, end, incl):
     want = {(i, a) for i, day in rows for a in anchors.dates
             if day >= a + dt.timedelta(days=start) and (day <= a + dt.timedelta(days=end) if incl
                                                          else day < a + dt.timedelta(days=end))}
-    for method in ("range", "enumerate", "auto"):
-        got = {(r.id, r.anchor) for r in in_window(df, anchors, "day", start, end, incl, method).collect()}
-        assert got == want, method
+    got = {(r.id, r.anchor) for r in in_window(df, anchors, "day", start, end, incl).collect()}
+    assert got == want

@@ -169,12 +169,11 @@ def test_anchor_bound_and_rules_file(tmp_path):
     import pytest
 
     from pulseboard.__main__ import _rules
-    from pulseboard.functions.dates import MAX_ANCHORS
-
     a = Anchors.of("1998-06-16", dt.date(1998, 6, 1), "1998-06-16")
     assert a.dates == (dt.date(1998, 6, 1), dt.date(1998, 6, 16))
+    assert len(Anchors.between(dt.date(1990, 1, 1), dt.date(2005, 1, 1)).dates) == 5480
     with pytest.raises(ValueError):
-        Anchors.between(dt.date(1990, 1, 1), dt.date(1990, 1, 1) + dt.timedelta(days=MAX_ANCHORS))
+        Anchors.of()
     f = tmp_path / "rules.json"
     f.write_text(json.dumps({"exclude_names": ["x"], "director_by_manager": [["m", "d"]], "touch_window_days": 30}))
     r = _rules(str(f), fixtures=False)

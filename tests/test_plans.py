@@ -4,14 +4,15 @@ its build side)."""
 
 import pytest
 
-import __spark_entry__ as E
-from pulseboard.plans.scans import join_report
+from pulseboard.queries import QUERIES
+
+from .scans import join_report
 
 from .conftest import SF01
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_guards(spark, name):
-    rep = join_report(E.queries()[name](spark, SF01))
+    rep = join_report(QUERIES[name][0](spark, SF01))
     assert rep["joins"].get("CartesianProductExec", 0) == 0, rep
     assert not any(rep["nested_loop_build_reads_files"]), rep

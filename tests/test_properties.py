@@ -22,7 +22,7 @@ def test_unlogged_plus_matched_is_long_calls(spark):
 
 def test_covered_never_exceeds_total(spark):
     j = job_for(spark, SF01, HISTORY)
-    cov = RN.renewal_coverage(RN.renewal_cohort(j.src, j.allow, j.anchors), j.renewal_keys)
+    cov = j.coverage()
     bad = cov.where((F.col("cohort_called") > F.col("cohort_total")) | (F.col("m2m_called") > F.col("m2m_orgs"))
                     | (F.col("m2m_orgs") + F.col("annual_orgs") < F.col("cohort_total"))
                     | (F.col("coverage_pct") > 1) | (F.col("coverage_pct") < 0))
