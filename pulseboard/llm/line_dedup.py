@@ -111,8 +111,9 @@ def references(docs: DataFrame, min_chars: int) -> DataFrame:
     return rows.mapInArrow(run, f"key binary, id {id_type}")
 
 
-def drop_lists(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
+def drop_lists(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None) -> DataFrame:
     """(id, drop): the hashes whose lines a document loses."""
+    batches = batches or BATCHES
     refs = written(references(docs, min_chars).distinct(), "line-refs")
     cuts = refs.approxQuantile("id", [k / batches for k in range(batches - 1, 0, -1)], 0.01) if batches > 1 else []
     runs, above = LineRuns(docs.sparkSession, refs.schema["id"].dataType.simpleString()), None

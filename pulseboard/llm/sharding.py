@@ -68,9 +68,10 @@ def rebalance(slot_bytes: list[int], shard_of: list[int], shards: int) -> list[i
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({
-        "size": text_bytes(F.col("text")) + 1, "text_crc32": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")),
-        "_rec": F.xxhash64("doc_id", "text"), "_at": F.monotonically_increasing_id()})
+    """``docs`` under the prefix _doc_, with size, checksum, hash and place in the input."""
+    return docs.select(*[F.col(c).alias(f"_doc_{c}") for c in docs.columns]).withColumns({
+        "size": text_bytes(F.col("_doc_text")) + 1, "text_crc32": F.crc32(F.coalesce(F.col("_doc_text"), F.lit("")).cast("binary")),
+        "_rec": F.xxhash64("_doc_doc_id", "_doc_text"), "_at": F.monotonically_increasing_id()})
 
 
 def _slotted(rows: DataFrame, hot: DataFrame, slots: int) -> DataFrame:
@@ -80,10 +81,6 @@ def _slotted(rows: DataFrame, hot: DataFrame, slots: int) -> DataFrame:
     return salted.withColumn("virtual_slot", F.pmod(F.xxhash64("_rec", salt), F.lit(slots)).cast("int")).drop("_hot")
 
 
-def _map_column(values: list[int], index) -> F.Column:
-    return F.get(F.from_json(F.lit(json.dumps(values)), "array<bigint>"), index)
-
-
 def slot_map(numbers: DataFrame, hot: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """Stored map, one row per (version, virtual_slot): shard, bytes, rows and first_place."""
     per = {r["virtual_slot"]: (r["b"], r["n"]) for r in
@@ -96,10 +93,10 @@ def slot_map(numbers: DataFrame, hot: DataFrame, shards: int = SHARDS, slots: in
         first, seen = [0] * slots, [0] * shards
         for v, s in enumerate(shard_of):
             first[v], seen[s] = seen[s], seen[s] + count[v]
-        part = spark.range(slots, numPartitions=1).select(
-            F.lit(version).alias("version"), F.col("id").cast("int").alias("virtual_slot"),
-            *[_map_column(x, F.col("id").cast("int")).alias(n) for n, x in
-              (("shard", shard_of), ("bytes", size), ("rows", count), ("first_place", first))])
+        values = json.dumps([list(v) for v in zip(shard_of, size, count, first)])
+        part = spark.range(1).select(
+            F.lit(version).alias("version"), F.posexplode(F.from_json(F.lit(values), "array<array<bigint>>")).alias("virtual_slot", "_v"))
+        part = part.select("version", "virtual_slot", *[F.col("_v")[k].alias(n) for k, n in enumerate(("shard", "bytes", "rows", "first_place"))])
         out = part if out is None else out.unionByName(part)
     return written(out, "slot-map")
 
@@ -112,16 +109,16 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, dig
     own = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "map_version"]
     keep = ["doc_id"] if digest_only else [c for c in docs.columns if c.lower() not in own]
     keyed = _keyed(docs)
-    numbers = written(keyed.select("doc_id", "size", "text_crc32", "_rec", "_at"), "shard-sizes")
+    numbers = written(keyed.select("_doc_doc_id", "size", "text_crc32", "_rec", "_at"), "shard-sizes")
     n = numbers.count()
     hot = written(numbers.groupBy("_rec").count().where(F.col("count") * slots > n).where("count > 1"), "shard-hot")
     slot_of = slot_map(numbers, hot, shards, slots)
     current = slot_of.where(F.col("version") == 2).select("virtual_slot", F.col("shard").cast("int").alias("shard"), "first_place")
-    rows = numbers if digest_only else keyed.select(*keep, "size", "text_crc32", "_rec", "_at")
+    rows = numbers if digest_only else keyed
     placed = _slotted(rows, hot, slots).withColumn(
-        "_row", F.row_number().over(W.partitionBy("virtual_slot").orderBy("doc_id", "_rec", "_at")) - 1)
+        "_row", F.row_number().over(W.partitionBy("virtual_slot").orderBy("_doc_doc_id", "_rec", "_at")) - 1)
     return placed.join(current, "virtual_slot").select(
-        *keep, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_place") + F.col("_row")).alias("slot"),
+        *[F.col(f"_doc_{c}").alias(c) for c in keep], "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_place") + F.col("_row")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(2).alias("map_version"))
 
 

@@ -14,7 +14,9 @@ A histogram has at most ``2 ** BITS`` rows per source whatever the data hold,
 and is summed map-side, so a source with a third of all rows is no hot group.
 The order is by hash of (id, text), so reruns agree; copies of one row (same id
 and text) are told apart by a second hash of their place in the input, which
-cannot change what the result holds, as they are alike. Source tables (one
+cannot change what the result holds, as they are alike. (``mix`` reads its input
+twice; where one row fills a boundary by its copies, the input must give the
+same order both times, as a stored table does.) Source tables (one
 row per source) are small by nature.
 
 Cases: a null text has size 0; a null source is a source and ranks last; empty
@@ -88,8 +90,9 @@ def thresholds(rows: DataFrame, budget: DataFrame) -> DataFrame:
         edge = met.groupBy("_src").agg(F.min_by(F.struct("_d", "_b", "_n", "_th", "_ts", "_cum", "_rest"), "_d").alias("e"))
         edge = written(edge.select("_src", "e.*").withColumn("_rest", F.col("_rest") - (F.col("_cum") - F.col("_b"))), f"mix-level{level}")
         last = level == LEVELS - 1
+        alone = F.lit(2 * level < LEVELS)  # one row by its first hash: the second takes no part
         settled = edge.where(F.lit(last) | (F.col("_n") == 1)).select(
-            "_src", "_th", "_ts", (F.col("_rest") * 2 >= F.col("_b")).alias("_in"))
+            "_src", "_th", F.when(~alone, F.col("_ts")).alias("_ts"), (F.col("_rest") * 2 >= F.col("_b")).alias("_in"))
         done = settled if done is None else done.unionByName(settled)
         open_ = edge.where(F.col("_n") > 1)
         if last or open_.isEmpty():
@@ -103,9 +106,10 @@ def thresholds(rows: DataFrame, budget: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({
-        "_src": F.col("source"), "_size": n_words(F.col("text")),
-        "_h": F.xxhash64("doc_id", "text"), "_s": F.xxhash64(F.monotonically_increasing_id())})
+    """``docs`` under the prefix _doc_, with source, size and the two hashes."""
+    return docs.select(*[F.col(c).alias(f"_doc_{c}") for c in docs.columns]).withColumns({
+        "_src": F.col("_doc_source"), "_size": n_words(F.col("_doc_text")),
+        "_h": F.xxhash64("_doc_doc_id", "_doc_text"), "_s": F.xxhash64(F.monotonically_increasing_id())})
 
 
 def _copies(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -117,14 +121,15 @@ def _copies(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     plan = plan.join(edge.withColumnRenamed("_src", "_k"), F.col("_src").eqNullSafe(F.col("_k")), "left").drop("_k")
     plan = plan.select(F.col("_src").alias("_k"), "source_size", "target", "_q", "_th", "_ts", "_in")
     below = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & (
-        (F.col("_s") < F.col("_ts")) | ((F.col("_s") == F.col("_ts")) & F.col("_in"))))
+        F.when(F.col("_ts").isNull(), F.col("_in")).otherwise((F.col("_s") < F.col("_ts")) | ((F.col("_s") == F.col("_ts")) & F.col("_in")))))
     out = rows.join(plan, F.col("_src").eqNullSafe(F.col("_k")))
     return out.withColumn("_copies", F.col("_q") + F.coalesce(below, F.lit(False)).cast("long"))
 
 
 def mix_sizes(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of every document."""
-    sizes = written(_keyed(docs.select("doc_id", "source", "text")).select("doc_id", "_src", "_size", "_h", "_s"), "mix-sizes")
+    keyed = _keyed(docs.select("doc_id", "source", "text"))
+    sizes = written(keyed.select(F.col("_doc_doc_id").alias("doc_id"), "_src", "_size", "_h", "_s"), "mix-sizes")
     return _copies(sizes, sizes).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken"))
 
@@ -133,7 +138,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it."""
     keyed = _keyed(docs)
     sizes = written(keyed.select("_src", "_size", "_h", "_s"), "mix-sizes")
-    out = _copies(keyed.withColumnsRenamed({c: f"_doc_{c}" for c in docs.columns}), sizes).where("_copies > 0")
+    out = _copies(keyed, sizes).where("_copies > 0")
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select(*[F.col(f"_doc_{c}").alias(c) for c in docs.columns])
 

@@ -83,10 +83,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     )
     name = F.concat("rule_host", "rule_path")
     rank = F.struct(F.length(name), F.length("rule_host"), (F.col("action") == "block").cast("int"), name)
-    best = found.groupBy("host", "path").agg(F.max_by(F.struct(name.alias("rule"), "action"), rank).alias("best"))
+    best = found.groupBy("host", "path").agg(F.max_by(F.struct(name.alias("rule"), "action"), rank).alias("_best"))
     return rows.join(best, ["host", "path"], "left").select(
-        *keep, "host", "path", F.col("best.rule").alias("rule"),
-        F.coalesce("best.action", F.lit(default)).alias("verdict"))
+        *keep, "host", "path", F.col("_best.rule").alias("rule"),
+        F.coalesce("_best.action", F.lit(default)).alias("verdict"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
