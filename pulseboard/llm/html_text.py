@@ -55,6 +55,7 @@ MARKS = frozenset(
     "pagination pager copyright legal hidden".split())
 _WORDS = re.compile(r"[A-Za-z]+")
 _BLANK = re.compile(r"\s+")
+_CUT_TAG = re.compile(r"<[A-Za-z/!?][^<>]*\Z")  # a tag that the page's end cuts off is no text
 SIGMA = 2.0
 
 
@@ -177,7 +178,7 @@ def content_cut(values: np.ndarray) -> float:
 
 def main_text(html: str) -> str:
     page = _Lines()
-    page.feed(html)
+    page.feed(_CUT_TAG.sub("", html))
     page.finish()
     if not page.lines:
         return ""
