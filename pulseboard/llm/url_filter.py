@@ -63,7 +63,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
 
     host, path = url_parts(F.col(url))
     keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    rows = pages.withColumns({"host": host, "path": path}).select(*keep, "host", "path")
+    rows = pages.select(*[F.col(c).alias(f"_page_{c}") for c in keep], host.alias("host"), path.alias("path"))
 
     parts = F.split("host", r"\.")
     n = F.size(parts)
@@ -85,7 +85,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     rank = F.struct(F.length(name), F.length("rule_host"), (F.col("action") == "block").cast("int"), name)
     best = found.groupBy("host", "path").agg(F.max_by(F.struct(name.alias("rule"), "action"), rank).alias("_best"))
     return rows.join(best, ["host", "path"], "left").select(
-        *keep, "host", "path", F.col("_best.rule").alias("rule"),
+        *[F.col(f"_page_{c}").alias(c) for c in keep], "host", "path", F.col("_best.rule").alias("rule"),
         F.coalesce("_best.action", F.lit(default)).alias("verdict"))
 
 
