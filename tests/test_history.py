@@ -159,3 +159,67 @@ def test_snapshots_with_older_partitions(spark, folder):
     assert HS.snapshot_upsert(spark, path, spark.createDataFrame([(D1, "a", 9)],
                               "snapshot_date date, rep string, ret_sla_done long"), ["ret_sla_done"], [D1]) == 1
     assert {r.rep: r.ret_sla_done for r in HS.read_snapshots(spark, path).collect()} == {"a": 9, "b": 3}
+
+
+def test_replace_can_empty_a_date(spark, folder):
+    path = os.path.join(folder, "snaps")
+    HS.snapshot_replace(_rows(spark, D1, ["a"], 0.1).unionByName(_rows(spark, D2, ["a"], 0.2)), path)
+    HS.snapshot_replace(_rows(spark, D1, [], 0.0), path, [D1])
+    assert {r.snapshot_date for r in HS.read_snapshots(spark, path).collect()} == {D2}
+
+
+def test_only_a_missing_table_counts_as_missing(spark, folder):
+    assert not HS.exists(spark, os.path.join(folder, "nothing"))
+    os.makedirs(os.path.join(folder, "empty"))
+    assert not HS.exists(spark, os.path.join(folder, "empty"))
+    broken = os.path.join(folder, "broken")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "part-0.parquet"), "wb") as f:
+        f.write(b"not a parquet file")
+    with pytest.raises(Exception) as e:
+        HS.exists(spark, broken)
+    assert "PATH_NOT_FOUND" not in str(e.value)
+
+
+def test_files_per_date_are_bounded(spark, folder):
+    path = os.path.join(folder, "snaps")
+    days = [dt.date(1998, 6, 1) + dt.timedelta(days=k) for k in range(10)]
+    rows = spark.createDataFrame([(d, f"r{k}", 0.5) for d in days for k in range(40)],
+                                 "snapshot_date date, rep string, composite_score double").repartition(16)
+    HS.snapshot_replace(rows, path)
+    for d in days:
+        files = [f for f in os.listdir(os.path.join(path, f"snapshot_date={d}")) if f.endswith(".parquet")]
+        assert len(files) <= HS.FILES_PER_DATE
+    assert HS.read_snapshots(spark, path).count() == 400
+
+
+def test_long_ranges_run_in_chunks(spark, folder, monkeypatch):
+    src, rules = load_fixture_sources(spark, SF001), fixture_rules()
+    whole, parts = os.path.join(folder, "whole"), os.path.join(folder, "parts")
+    start, end = dt.date(1998, 6, 8), dt.date(1998, 6, 12)
+    HS.backfill_snapshots(spark, src, rules, start, end, whole)
+    monkeypatch.setattr(HS, "CHUNK_DAYS", 2)
+    HS.backfill_snapshots(spark, src, rules, start, end, parts)
+    a, b = (sorted(map(str, HS.read_snapshots(spark, p).collect())) for p in (whole, parts))
+    assert a == b and len(a) > 0
+
+
+def test_coverage_report_prints_every_date(spark, folder, capsys):
+    from pulseboard.__main__ import main
+
+    path = os.path.join(folder, "snaps")
+    days = [dt.date(1995, 1, 1) + dt.timedelta(days=k) for k in range(1200)]
+    spark.createDataFrame([(d, "a", 0.5) for d in days], "snapshot_date date, rep string, composite_score double").write.parquet(path)
+    main(["coverage-report", "--snapshots", path, "--fixtures", SF001])
+    assert sum(line.startswith("199") for line in capsys.readouterr().out.splitlines()) == 1200
+
+
+def test_a_shared_folder_is_needed_off_local_masters(monkeypatch):
+    from types import SimpleNamespace
+
+    from pulseboard.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(cluster)

@@ -6,7 +6,7 @@ import pytest
 
 from pulseboard.queries import QUERIES
 
-from .scans import join_report
+from .scans import join_report, table_scans
 
 from .conftest import SF01
 
@@ -16,3 +16,17 @@ def test_plan_guards(spark, name):
     rep = join_report(QUERIES[name][0](spark, SF01))
     assert rep["joins"].get("CartesianProductExec", 0) == 0, rep
     assert not any(rep["nested_loop_build_reads_files"]), rep
+
+
+@pytest.mark.parametrize("name", ["daily_columns", "backfill_daily", "refresh_snapshot", "hub", "hub_history"])
+def test_touch_tables_are_read_once(spark, name):
+    from pulseboard.queries import release_jobs
+
+    release_jobs()
+    scans = table_scans(QUERIES[name][0](spark, SF01))
+    assert all(scans.get(t, 0) <= 1 for t in ("actions", "calls_a", "calls_b")), scans
+
+
+@pytest.mark.parametrize("name", ["hub_history", "renewal_coverage", "renewal_coverage_legacy", "backfill_snapshots"])
+def test_no_nested_loops_over_anchors(spark, name):
+    assert join_report(QUERIES[name][0](spark, SF01))["joins"].get("BroadcastNestedLoopJoinExec", 0) == 0
