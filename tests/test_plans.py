@@ -8,12 +8,12 @@ from pulseboard.queries import QUERIES
 
 from .scans import join_report, table_scans
 
-from .conftest import SF01
+from .conftest import SF001
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_guards(spark, name):
-    rep = join_report(QUERIES[name][0](spark, SF01))
+    rep = join_report(QUERIES[name][0](spark, SF001))
     assert rep["joins"].get("CartesianProductExec", 0) == 0, rep
     assert not any(rep["nested_loop_build_reads_files"]), rep
 
@@ -23,10 +23,10 @@ def test_touch_tables_are_read_once(spark, name):
     from pulseboard.queries import release_jobs
 
     release_jobs()
-    scans = table_scans(QUERIES[name][0](spark, SF01))
+    scans = table_scans(QUERIES[name][0](spark, SF001))
     assert all(scans.get(t, 0) <= 1 for t in ("actions", "calls_a", "calls_b")), scans
 
 
 @pytest.mark.parametrize("name", ["hub_history", "renewal_coverage", "renewal_coverage_legacy", "backfill_snapshots"])
 def test_no_nested_loops_over_anchors(spark, name):
-    assert join_report(QUERIES[name][0](spark, SF01))["joins"].get("BroadcastNestedLoopJoinExec", 0) == 0
+    assert join_report(QUERIES[name][0](spark, SF001))["joins"].get("BroadcastNestedLoopJoinExec", 0) == 0
