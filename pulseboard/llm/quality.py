@@ -9,8 +9,8 @@ rejected comes from the scores of all labelled rows: of the cuts that keep at
 least ``KEEP`` of the good rows, the one that rejects most bad rows.
 
 Rows that fail a base rule take no part in the forest or its calibration. The
-forest is fitted on at most ``FIT_ROWS`` labelled rows, those of the
-smallest id hash; this bound is the only sample. Statistics, scores and the
+forest is fitted on at most ``FIT_ROWS`` distinct labelled good rows, those
+whose hash is below a threshold; this bound is the only sample. Statistics, scores and the
 calibration histogram (``BINS`` rows per label) cover all rows. The fitted
 trees are ``TREES`` x 1023 nodes whatever the input, and go to the tasks with
 the function that uses them.
@@ -161,13 +161,17 @@ def fit(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[
     truth = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     passed = (F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("n_words"))
     known = written(stats.where(passed).join(truth, "doc_id").select("doc_id", "quality", *FEATURES), "quality-labelled")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), *[F.col(f) for f in FEATURES]]
-    good = known.where("quality = 1").orderBy(*order).limit(fit_rows).select(*FEATURES).collect()
-    if not good:
+    good = written(known.where("quality = 1").select("doc_id", *FEATURES).distinct().withColumn(
+        "_at", F.shiftrightunsigned(F.xxhash64("doc_id", *FEATURES), 11) / F.lit(2.0 ** 53)), "quality-good")
+    n = good.count()
+    if not n:
         return None, 1.0
+    # a hash threshold picks the sample where the rows are: no sort, and no more than the sample leaves the tasks
+    good = sorted(tuple(r) for r in good.where(F.col("_at") * n < 0.95 * fit_rows if n > fit_rows else F.lit(True)).select("_at", *FEATURES).collect())
+    good = [r[1:] for r in good[:fit_rows]]
     edges = known.agg(*[F.min(f) for f in FEATURES], *[F.max(f) for f in FEATURES]).first()
     low, high = np.array(edges, dtype=np.float64).reshape(2, -1)
-    forest = grow(np.array([tuple(r) for r in good], dtype=np.float64), low, high)
+    forest = grow(np.array(good, dtype=np.float64), low, high)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
