@@ -206,11 +206,12 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Data
     """
     rows = written(linked(docs, shingle, radius), "simhash-linked")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_th")
-    keys = rows.groupBy("_root", "doc_id", "_th").count()
-    keeper = rows.groupBy("_root").agg(F.min(order).alias("k")).select(F.col("_root").alias("_r"), F.col("k.doc_id").alias("_kid"), F.col("k._th").alias("_kth"))
-    judged = keys.join(keeper, F.col("_root") == F.col("_r"))
-    judged = judged.withColumn("_stays", F.col("doc_id").eqNullSafe(F.col("_kid")) & (F.col("_th") == F.col("_kth")))
-    judged = written(judged.select(F.col("doc_id").alias("_jid"), F.col("_th").alias("_jth"), "_stays", "count"), "simhash-judged")
+    keys = rows.groupBy("doc_id", "_th").count()
+    keeper = rows.groupBy("_root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_kid"), F.col("k._th").alias("_kth"))
+    # id and text hash name the component too, so no join has to bring a large component together
+    judged = keys.join(keeper, F.col("doc_id").eqNullSafe(F.col("_kid")) & (F.col("_th") == F.col("_kth")), "left")
+    judged = written(judged.select(
+        F.col("doc_id").alias("_jid"), F.col("_th").alias("_jth"), F.col("_kth").isNotNull().alias("_stays"), "count"), "simhash-judged")
 
     named = docs.select(*[F.col(c).alias(f"_doc_{c}") for c in docs.columns]).withColumn("_th", F.xxhash64("_doc_text"))
     match = F.col("_doc_doc_id").eqNullSafe(F.col("_jid")) & (F.col("_th") == F.col("_jth"))
