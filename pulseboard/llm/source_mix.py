@@ -119,7 +119,8 @@ def _copies(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     plan = plan.withColumn("_q", q.cast("long")).withColumn("_rest", F.col("target") - F.col("_q") * F.col("source_size"))
     edge = thresholds(sizes, plan.where("_rest > 0").select("_src", "_rest"))
     plan = plan.join(edge.withColumnRenamed("_src", "_k"), F.col("_src").eqNullSafe(F.col("_k")), "left").drop("_k")
-    plan = plan.select(F.col("_src").alias("_k"), "source_size", "target", "_q", "_th", "_ts", "_in")
+    # one row per source: as a stored table its size is known, so texts need no shuffle to meet it
+    plan = written(plan.select(F.col("_src").alias("_k"), "source_size", "target", "_q", "_th", "_ts", "_in"), "mix-plan")
     below = (F.col("_h") < F.col("_th")) | ((F.col("_h") == F.col("_th")) & (
         F.when(F.col("_ts").isNull(), F.col("_in")).otherwise((F.col("_s") < F.col("_ts")) | ((F.col("_s") == F.col("_ts")) & F.col("_in")))))
     out = rows.join(plan, F.col("_src").eqNullSafe(F.col("_k")))
