@@ -78,6 +78,23 @@ def test_html_density_without_markup_hints():
     assert text.startswith("a real") and "\nshort\n" in text and "home" not in text
 
 
+def test_html_marks_are_evidence():
+    prose = [f"Paragraph {k} of the text, long enough to be read as such. " * 4 for k in range(4)]
+    body, want = "".join(f"<p>{p}</p>" for p in prose), "\n".join(p.strip() for p in prose)
+    menu = "<nav><a href=1>home</a> <a href=2>news</a></nav>"
+    for name in ("layout has-sidebar", "no-sidebar", "header-fixed", "with-menu", "sidebar", "content-sidebar-wrap"):
+        assert html_text.main_text(f"<body>{menu}<div class='{name}'>{body}</div><footer>f</footer>") == want
+    assert html_text.main_text(f"<body><form action=x><input type=hidden>{menu}<div>{body}</div><footer>f</footer></form>") == want
+    assert html_text.main_text(f"<body><form>{menu}<div id=main class=no-sidebar>{body}<div class=comments><p>{prose[0]}</p></div></div></form>") == want
+    inside = "<pre>x = 1 <span class='comment'># one</span></pre><section id='related-work'><h2>Related</h2><p>Others</p></section><p class='notice'>Note</p>"
+    assert html_text.main_text(f"<article>{body}{inside}</article>") == want + "\nx = 1 # one\nRelated\nOthers\nNote"
+    said = f"<article class='comment'><p>{prose[0] * 9}</p></article>"
+    for page in (f"<article>{body}{said}</article>", f"<article>{body}</article>{said}", f"<main>{body}<div class='related-posts'><p>{prose[1]}</p></div></main>{said}"):
+        assert html_text.main_text(page) == want
+    assert html_text.main_text(f"{menu}<article><h1>T</h1></article><footer>{prose[0]}</footer>") == "T"
+    assert html_text.main_text(f"<div class=cookie-consent>{body * 3}</div><article>{body}</article>") == want
+
+
 # ------------------------------------------------------------------ decontamination
 def edit_infix(item, text):
     row = [0] * (len(text) + 1)
