@@ -9,7 +9,10 @@ regions, and a region grows to the container (article, main, section, body)
 that holds its text. All lines of the chosen container are kept, short ones too. Lines within elements that never
 hold text to read (scripts, styles, controls, hidden ones) are left out before.
 An article or main element with over half of the content regions is such a
-container; without one it is the deepest element that holds them all.
+container; without one it is the deepest element that holds them all, and it
+grows to the neighbours of that element and of its ancestors that are running
+text (paragraphs, or long lines, with few links), whatever their density, so
+that a section of shorter paragraphs is kept beside one of longer ones.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and reader comments
 are marked, by tag, role or class and id tokens, and left out before too, nested articles
@@ -33,6 +36,8 @@ import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -278,6 +283,44 @@ def _lifted(page: _Lines) -> list[bool]:
     return lifted
 
 
+def _counts(line: tuple[str, int, int, int, int, str]) -> tuple[int, int, int, int]:
+    """Headings; characters of other lines; those of prose; and those of prose or of short lines with few links."""
+    n = len(line[0])
+    if line[5] in HEADING:
+        return 1, 0, 0, 0
+    prose = _prose(line)
+    return 0, n, n * prose, n * (prose or 3 * line[4] < n and n >= SHORT)
+
+
+def _is_text(headings: int, size: int, prose: int, short: int) -> bool:
+    """Is a region running text: over half of its characters are prose; under a heading, short lines count too."""
+    return 2 * (short if headings else prose) > size
+
+
+def _grow(page: _Lines, best: int, kept: list[bool]) -> None:
+    """Keeps the regions beside ``best`` and its ancestors that are running text; of others, those within them."""
+    counts = [(0, 0, 0, 0)] * len(page.parents)
+    for line in page.lines:
+        counts[line[2]] = tuple(map(add, counts[line[2]], _counts(line)))
+    for c in range(len(counts) - 1, 0, -1):
+        counts[page.parents[c]] = tuple(map(add, counts[page.parents[c]], counts[c]))
+    path, c = set(), best
+    while c >= 0:
+        path.add(c)
+        c = page.parents[c]
+    whole = [False] * len(counts)
+    for c in range(1, len(counts)):
+        whole[c] = c not in path and (whole[page.parents[c]] or _is_text(*counts[c]))
+    for c, run in groupby(range(len(kept)), key=lambda k: page.lines[k][2]):
+        run = list(run)
+        if not kept[run[0]]:
+            text = whole[c] or _is_text(*map(sum, zip(*(_counts(page.lines[k]) for k in run))))
+            for k in run:  # a line between regions stands for itself
+                kept[k] = text or _prose(page.lines[k])
+    for k in range(len(kept) - 2, -1, -1):  # a heading goes with what follows it
+        kept[k] = kept[k] or page.lines[k][5] in HEADING and kept[k + 1]
+
+
 def main_text(html: str) -> str:
     page = _Lines()
     page.feed(_CUT_TAG.sub("", html))
@@ -302,12 +345,13 @@ def main_text(html: str) -> str:
     named = [c for c, kind in enumerate(page.kinds) if kind in NAMED and gain[c] > whole / 2]
     best = min(named or (c for c in range(len(gain)) if gain[c] == whole), key=lambda c: (-depth[c], c))
 
-    def inside(c: int) -> bool:
-        while c > best:
-            c = page.parents[c]
-        return c == best
-
-    return "\n".join(t for t, _, c, *_ in page.lines if inside(c))
+    inside = [c == best for c in range(len(page.parents))]
+    for c in range(best + 1, len(inside)):
+        inside[c] = inside[page.parents[c]]
+    kept = [inside[line[2]] for line in page.lines]
+    if best and not named:
+        _grow(page, best, kept)
+    return "\n".join(line[0] for line, k in zip(page.lines, kept) if k)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

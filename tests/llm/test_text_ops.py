@@ -95,6 +95,31 @@ def test_html_marks_are_evidence():
     assert html_text.main_text(f"<div class=cookie-consent>{body * 3}</div><article>{body}</article>") == want
 
 
+@pytest.mark.parametrize("sizes", [
+    [[300] * 3 + [5000] + [300] * 3, [300] * 8], [[400] * 8, [100] * 7], [[100] * 7, [400] * 8, [100] * 7], [[60] * 5, [2000] * 3, [45, 200, 60], [900] * 4]])
+@pytest.mark.parametrize("wrap", ["{}", "<div>{}</div>", "<div><div>{}</div></div>"])
+def test_html_sections_of_uneven_paragraphs(sizes, wrap):
+    text = lambda n, k: (f"word{k} of a sentence here. " * (n // 20 + 1))[:n - 1] + "."
+    sections, want = "", []
+    for k, own in enumerate(sizes):
+        lines = [f"Heading {k}", *(text(n, k) for n in own)]
+        want += lines
+        sections += f"<div><h2>{lines[0]}</h2>" + "".join(f"<p>{x}</p>" for x in lines[1:]) + "</div>"
+    links = "".join(f"<li><a href={k}>Entry number {k} of a long menu</a></li>" for k in range(9))
+    got = html_text.main_text(f"<body><nav>{links}</nav>{wrap.format(sections)}<footer>end</footer></body>")
+    assert got == "\n".join(want)
+
+
+def test_html_grows_to_prose_only():
+    long = "<div>" + "<p>a real sentence of text, over and over</p>" * 2 + ("<p>" + "a real sentence of text " * 40 + "</p>") * 5 + "<p>one of the shorter sentences again</p>" * 9 + "</div>"
+    menu = "<div><h3>More</h3><ul>" + "".join(f"<li><a href={k}>Entry number {k} of quite a long menu</a></li>" for k in range(9)) + "</ul></div>"
+    items = "<div><h2>List</h2><ul><li>an item of the list that has no link at all</ul></div>"
+    last = "<h2>Last</h2><p>A shorter closing sentence of the page.</p>"
+    text = html_text.main_text(f"<body>{menu}{items}{menu}{long}{menu}{last}{menu}<div><a href=1>About</a> <a href=2>Contact</a></div></body>")
+    assert "an item of the list" in text and text.startswith("List\n") and text.endswith("Last\nA shorter closing sentence of the page.")
+    assert "Entry" not in text and "About" not in text
+
+
 # ------------------------------------------------------------------ decontamination
 def edit_infix(item, text):
     row = [0] * (len(text) + 1)
