@@ -160,6 +160,36 @@ def test_license_scan(spark):
     assert license_scan.scan(data.frame(spark, rows), license_scan.template_table(spark, ())).count() == 0
 
 
+def test_license_report_names_versions(spark):
+    from pulseboard.llm import license_table
+
+    free = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    cases = [
+        ("Licensed under the MIT License", {"MIT"}), ("Released under the MIT License.", {"MIT"}),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", {"CC-BY-NC-4.0"}),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", {"CC-BY-4.0"}),
+        ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}), ("Licensed under the Apache License, Version 2.0.", {"Apache-2.0"}),
+        ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+        ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+        ("Licensed under the GNU Lesser General Public License, version 2.1", {"LGPL-2.1"}),
+        (free.format("General Public License", 2), {"GPL-2.0"}), (free.format("General Public License", 3), {"GPL-3.0"}),
+        (free.format("Affero General Public License", 3), {"AGPL-3.0"}), (free.format("Lesser General Public License", 3), {"LGPL-3.0"}),
+        (free.replace("program", "library").format("Lesser General Public License", "2.1"), {"LGPL-2.1"}),
+        ("Licensed under the ISC License", {"ISC"}), ("Released under CC0 1.0 Universal", {"CC0-1.0"}), ("Licensed under the zlib License", {"Zlib"}),
+        ("nothing of the kind " * 40, set()), ("", set()), (None, set()),
+        ("Licensed under the MIT License. " + "word " * 30 + free.format("General Public License", 2), {"MIT", "GPL-2.0"}),
+    ]
+    cases += [(f"{'intro ' * 33}{f.read_text()}{' tail' * 50}", {f.stem}) for f in sorted(license_table.FOLDER.glob("*.txt"))]
+    rows = [(k, t, "en", "s", 1) for k, (t, _) in enumerate(cases)]
+    df = license_scan.report(data.clashing(data.frame(spark, rows + rows[:5])), license_scan.named_table(spark))
+    assert not any(x in plan(df) for x in NATIVE_BAN)
+    got = defaultdict(set)
+    for r in df.collect():
+        got[r.doc_id].add(r.license)
+    assert {k: (cases[k][0] or "")[:90] + str(got[k]) for k in range(len(cases)) if got[k] != cases[k][1]} == {}
+
+
 # ------------------------------------------------------------------ urls
 def brute_url(url, rules):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
