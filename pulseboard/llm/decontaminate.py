@@ -1,7 +1,10 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
-Texts and benchmark items are sequences of words (lower case, ASCII marks as
-white space). A document holds an item if some passage of it is within
+Texts and benchmark items are sequences of words (lower case, ASCII marks and Unicode
+punctuation as white space). Items mostly in scripts written without spaces, and items of
+under ``MIN_WORDS`` words but many code points, are sequences of characters
+instead; they have an index of their own, for which documents are read by character too
+(item_words, distance and end_word then count characters). A document holds an item if some passage of it is within
 ``1 - SIMILARITY`` of the item's length in word edits (insertions, deletions,
 replacements). To find such passages, items are classed by length; a class has
 a window a little shorter than its items and a stride, so that any passage of
@@ -26,7 +29,8 @@ is what goes to the tasks. A larger benchmark takes more passes over the
 documents, one per block. Texts never move: each is judged where it is read.
 
 Cases: a null or empty text holds nothing; items of fewer than ``MIN_WORDS``
-words are no evidence and are ignored, null items too; items that repeat are
+words and ``MIN_CHARS`` characters (``MIN_UNSPACED`` in scripts without spaces)
+are no evidence and are ignored, null items too; items that repeat are
 each reported; repeated rows and ids, empty tables and extra columns are
 ordinary.
 """
@@ -34,6 +38,8 @@ ordinary.
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
@@ -45,6 +51,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 SIMILARITY, MIN_WORDS = 0.8, 5
+#: Least characters of an item that is searched by character.
+MIN_CHARS, MIN_UNSPACED = 20, 10
 #: Ratio of item lengths within a class; walks, samples of a walk, steps of a sample, seed.
 GROWTH, WALKS, SAMPLES, TAKE, SEED = 1.2, 4, 6, 4, 42
 #: Benchmark words in a block; document words handled at once in a task.
@@ -54,10 +62,29 @@ _PAIRS = 1 << 22
 _MARKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
+_SPACED = re.compile("[" + "".join(re.escape(chr(c)) for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PZ") + "]")
+#: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def words_of(text: str) -> list[bytes]:
+    if not text.isascii():
+        text = _SPACED.sub(" ", text)
     return text.lower().encode().translate(_MARKS).split()
 
 
+def chars_of(text: str) -> list[str]:
+    return list(b"".join(words_of(text)).decode())
+
+
+def by_character(text: str) -> bool:
+    """Is an item searched by character: few words, or mostly in a script without spaces."""
+    n, unspaced = len(chars_of(text)), len(_UNSPACED.findall(text))
+    if 2 * unspaced > n:
+        return n >= MIN_UNSPACED
+    return n >= MIN_CHARS and len(words_of(text)) < MIN_WORDS
+
+
 def edits_allowed(n: int) -> int:
     return math.floor((1 - SIMILARITY) * n + 1e-9)
 
@@ -97,12 +124,13 @@ class _Class:
 class Index:
     """Vocabulary, items and length classes of one block of the benchmark."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.vocab: dict[bytes, int] = {}
+    def __init__(self, rows: list[tuple[int, str]], chars: bool = False):
+        self.units = chars_of if chars else words_of
+        self.vocab: dict[bytes | str, int] = {}
         self.items: list[tuple[int, np.ndarray, dict[int, int]]] = []
         for item_id, text in rows:
-            w = words_of(text or "")
-            if len(w) >= MIN_WORDS:
+            w = self.units(text or "")
+            if by_character(text or "") == chars and len(w) >= MIN_WORDS:
                 seq = np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in w], dtype=np.int64)
                 masks: dict[int, int] = {}
                 for k, sym in enumerate(seq.tolist()):
@@ -202,7 +230,7 @@ class Index:
             yield t, item, distance, end
 
     def encode(self, text: str) -> np.ndarray:
-        w = words_of(text)
+        w = self.units(text)
         return np.fromiter(map(self.vocab.get, w, repeat(0)), dtype=np.int64, count=len(w))
 
 
@@ -222,11 +250,14 @@ def _chunks(texts: pa.Array, index: Index) -> Iterator[tuple[int, list[np.ndarra
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Index]:
     """Indexes of the benchmark's blocks, one at a time."""
     items = benchmark.select("item_id", "text").where("text is not null")
-    total = items.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    total = items.agg(F.sum(F.greatest(F.size(F.split("text", " ")), (F.length("text") / 6).cast("int")))).first()[0] or 0
     n = max(1, math.ceil(total / block_words))
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield Index(sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        rows = sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield Index(rows)
+        if any(by_character(text) for _, text in rows):
+            yield Index(rows, chars=True)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -195,6 +195,18 @@ def test_decontaminate_odd_rows(spark):
     assert decontaminate.contaminated(data.frame(spark, []), bench).count() == 0
 
 
+def test_items_without_spaces_and_short_items(spark):
+    items = [(1, "中国的首都是哪一座城市，它有多少人口？"), (2, "日本で一番高い山は何という名前ですか。"), (3, "ประเทศไทยมีกี่จังหวัดในปัจจุบัน"),
+             (4, "Donaudampfschifffahrtsgesellschaft heißt was?"), (5, "zu kurz"), (6, "one two three\u2014four \u201cfive\u201d six seven")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["前面的文字" * 9 + items[0][1] + "后面的文字" * 9, "x" + items[1][1].replace("高い", "高") + "はい", "ก" * 30 + items[2][1], "so: " + items[3][1].upper(),
+             "zu kurz", "a one two three four five six seven b", "完全不同的一段文字，" * 20, "plain english words " * 30, None, ""]
+    df = data.frame(spark, [(k, t, "zh", "s", 1) for k, t in enumerate(texts)])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got == {(0, 1), (1, 2), (2, 3), (3, 4), (5, 6)}
+    assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {4, 6, 7, 8, 9}
+
+
 def test_chunked_texts_keep_their_rows(monkeypatch):
     items, docs, planted = contamination_case()
     index = decontaminate.Index(items)
