@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, license_scan, line_dedup, quality, sharding, simhash, source_mix, token_count, url_filter
+from . import (
+    decontaminate, fill_middle, html_text, license_scan, line_dedup, quality, sharding, simhash, source_mix, token_count, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality.query,
@@ -19,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": decontaminate.query,
     "op9_html_text": html_text.query,
     "op10_line_dedup": line_dedup.query,
+    "op11_fill_middle": fill_middle.query,
 }
 
 #: The others rest on hashes, trees, merges or a parser that DuckDB has no form for; tests/llm holds brute-force versions.
 ORACLES: dict[str, str] = {
     "op6_url_filter": url_filter.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op11_fill_middle": fill_middle.ORACLE,
 }
