@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontaminate, fill_middle, html_text, license_scan, line_dedup, quality, sharding, simhash, source_mix, token_count, url_filter,
+    vector_code,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": html_text.query,
     "op10_line_dedup": line_dedup.query,
     "op11_fill_middle": fill_middle.query,
+    "op12_vector_codes": vector_code.query,
 }
 
 #: The others rest on hashes, trees, merges or a parser that DuckDB has no form for; tests/llm holds brute-force versions.
