@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontaminate, fill_middle, html_text, license_scan, line_dedup, quality, sharding, simhash, source_mix, token_count, url_filter,
-    vector_code,
+    vector_code, vector_dedup,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": line_dedup.query,
     "op11_fill_middle": fill_middle.query,
     "op12_vector_codes": vector_code.query,
+    "op13_embedding_dedup": vector_dedup.query,
 }
 
 #: The others rest on hashes, trees, merges or a parser that DuckDB has no form for; tests/llm holds brute-force versions.
