@@ -7,7 +7,7 @@ vectors whatever the number of vectors; a vector lies in its own bucket of each
 table and also looks into the ``2 ** depth - 1`` buckets that are nearest by
 the gaps to the next axes (multiprobe). The number of tables follows from
 simulated pairs at exactly the threshold, for a recall of ``RECALL`` there.
-Candidates must also agree in most of 64 random hyperplane signs (of pairs at the
+Candidates must also agree in most of 128 random hyperplane signs (of pairs at the
 threshold, one in ten thousand does not). The rest are verified by their cosines in doubles.
 
 Near copies are not compared in pairs. Equal vectors are one (with a count), and
@@ -16,8 +16,8 @@ threshold's, whose members all link by the triangle inequality. Vectors are
 hashed one by one, but buckets hold balls; a candidate pair of balls links
 wholly, or not at all, by the angle of the centres and the two radii, or its
 members are compared block by block. Links are counted, not listed, and the
-components are those of the balls. A bucket's vectors are dealt to ``SALTS`` tasks, so a hot
-bucket costs a few balls per task.
+components are those of the balls. A bucket over ``HOT`` vectors is dealt to
+several tasks and costs a few balls in each.
 
 Cases: vectors that are null, empty or zero, or hold null, NaN or infinite
 components, link with nothing and stand for themselves; vectors link with those of the same
@@ -48,9 +48,9 @@ from .simhash import components
 THRESHOLD, RECALL = 0.9, 0.995
 #: Vectors that a bucket holds on average at most; with more vectors, tables join one more hash.
 PER = 16
-#: Tasks that a bucket's vectors are dealt to while balls are made, and members of a ball in one row.
-SALTS, BLOCK = 32, 512
-SEED, ROUNDS, AXES, SIGNS = 42, 3, 4, 64
+#: Vectors of a bucket that one task makes balls of, and members of a ball in one row.
+HOT, BLOCK = 65_536, 256
+SEED, ROUNDS, AXES, SIGNS = 42, 3, 4, 128
 #: Angles within this of the threshold's are left to the cosines themselves.
 MARGIN = 1e-6
 
@@ -149,7 +149,8 @@ class Hasher:
         return out.view(np.int64)
 
     def sketch(self, x: np.ndarray) -> np.ndarray:
-        return np.packbits(x @ self.planes >= 0, axis=1).view(np.int64)[:, 0]
+        """Signs of the unit vectors' products with random planes, in two longs."""
+        return np.packbits(x @ self.planes >= 0, axis=1).view(np.int64)
 
 
 @lru_cache(maxsize=16)
@@ -234,7 +235,10 @@ def cells(distinct: DataFrame, n: int, threshold: float) -> DataFrame:
     plain = {"ball": "long", "block": "int", "size": "long", "radius": "double", "width": "int", "centre": "binary", "raw": "binary"}
     schema = T.StructType([*[T.StructField(c, T._parse_datatype_string(t)) for c, t in plain.items()], *sides])
     known = distinct.mapInArrow(_bucketed(n, threshold), T.StructType([*distinct.schema.fields, T.StructField("_bucket", T.LongType())]))
-    dealt = known.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS))).repartition("_bucket", "_salt")
+    # a row per hot bucket; as a stored table its size is known, so vectors need no shuffle to meet it
+    hot = written(known.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("_deal")).where("_deal > 1"), "vectors-hot")
+    salt = F.pmod(F.xxhash64("_key"), F.coalesce("_deal", F.lit(1)))
+    dealt = known.join(hot, "_bucket", "left").withColumn("_salt", salt).drop("_deal").repartition("_bucket", "_salt")
     return written(dealt.sortWithinPartitions("_bucket", "_key").mapInArrow(_cells(KINDS, threshold), schema), "vectors-balls")
 
 
@@ -242,6 +246,16 @@ def matrix(raw: bytes, width: int, real: str) -> np.ndarray:
     return units(np.frombuffer(raw, real).reshape(-1, width))
 
 
+def middles(centres: list[bytes | None], singles: list[bytes | None], width: int, real: str) -> np.ndarray:
+    """Centres of balls; a single is its own."""
+    out, ball = np.empty((len(centres), width)), np.array([c is not None for c in centres])
+    if ball.any():
+        out[ball] = np.frombuffer(b"".join(c for c in centres if c is not None), float).reshape(-1, width)
+    if not ball.all():
+        out[~ball] = matrix(b"".join(r for r, c in zip(singles, centres) if c is None), width, real)
+    return out
+
+
 def _entries(n: int, threshold: float, real: str, probe: bool) -> Callable:
     base = sketch_limit(math.acos(threshold))
 
@@ -249,16 +263,15 @@ def _entries(n: int, threshold: float, real: str, probe: bool) -> Callable:
         for b in batches:
             width = b.column("width").to_numpy()
             radius, ball = b.column("radius").to_numpy(), b.column("ball").to_numpy()
-            slack = np.array([sketch_limit(math.acos(threshold) + 2 * r) - base if r else 0 for r in radius], np.int32)
+            slack = np.array([sketch_limit(math.acos(threshold) + r) - base if r else 0 for r in radius], np.int32)
             for d in np.unique(width):
                 at = np.flatnonzero(width == d)
                 h = hasher(int(d), n, threshold)
-                parts = [matrix(b.column("raw")[i].as_py(), d, real) for i in at]
-                x = np.concatenate(parts)
-                row = np.repeat(at, [len(p) for p in parts])
-                middle = np.stack([np.frombuffer(c, float) if (c := b.column("centre")[i].as_py()) else p[0] for i, p in zip(at, parts)])
-                sketch = np.zeros(b.num_rows, np.int64)
-                sketch[at] = h.sketch(middle)
+                raw, centre = (b.column(c).take(pa.array(at)).to_pylist() for c in ("raw", "centre"))
+                x = matrix(b"".join(raw), d, real)
+                row = np.repeat(at, [len(r) // (d * np.dtype(real).itemsize) for r in raw])
+                sketch = np.zeros((b.num_rows, 2), np.int64)
+                sketch[at] = h.sketch(middles(centre, raw, d, real))
                 for t in range(h.tables):
                     own, others = h.codes(x, t, probe)
                     code = np.concatenate([own[:, None], others], axis=1)
@@ -269,19 +282,20 @@ def _entries(n: int, threshold: float, real: str, probe: bool) -> Callable:
                     e = e[np.lexsort((e[:, 1], e[:, 2], e[:, 0]))]
                     e = e[np.r_[True, (e[1:, 0] != e[:-1, 0]) | (e[1:, 2] != e[:-1, 2])]]
                     i = e[:, 0]
-                    yield pa.RecordBatch.from_arrays([pa.array(e[:, 2]), pa.array(ball[i]), pa.array(e[:, 1] == 0), pa.array(sketch[i]), pa.array(slack[i])],
-                                                     names=["bucket", "ball", "home", "sketch", "slack"])
+                    yield pa.RecordBatch.from_arrays([pa.array(e[:, 2]), pa.array(ball[i]), pa.array(e[:, 1] == 0),
+                                                      *[pa.array(sketch[i, k]) for k in (0, 1)], pa.array(slack[i])],
+                                                     names=["bucket", "ball", "home", "signs", "more", "slack"])
     return run
 
 
 def candidates(packed: DataFrame, n: int, threshold: float, real: str) -> DataFrame:
     """Distinct pairs of balls (a < b) that meet: the own bucket of one is an own or probed bucket of the other."""
     rows = packed.select("ball", "radius", "width", "centre", "raw")
-    schema = "bucket long, ball long, home boolean, sketch long, slack int"
+    schema = "bucket long, ball long, home boolean, signs long, more long, slack int"
     own = rows.mapInArrow(_entries(n, threshold, real, False), schema).alias("h")
     all_ = rows.mapInArrow(_entries(n, threshold, real, True), schema).alias("e")
     once = (F.col("h.ball") < F.col("e.ball")) | (~F.col("e.home") & (F.col("h.ball") > F.col("e.ball")))
-    apart = F.bit_count(F.col("h.sketch").bitwiseXOR(F.col("e.sketch")))
+    apart = sum(F.bit_count(F.col(f"h.{c}").bitwiseXOR(F.col(f"e.{c}"))) for c in ("signs", "more"))
     close = apart <= sketch_limit(math.acos(threshold)) + F.col("h.slack") + F.col("e.slack")
     met = own.join(all_, (F.col("h.bucket") == F.col("e.bucket")) & once & close)
     return met.select(F.least("h.ball", "e.ball").alias("a"), F.greatest("h.ball", "e.ball").alias("b")).distinct()
@@ -290,10 +304,6 @@ def candidates(packed: DataFrame, n: int, threshold: float, real: str) -> DataFr
 def _judge(threshold: float, real: str) -> Callable:
     angle = math.acos(threshold)
 
-    def middle(centre: pa.Scalar, raw: pa.Scalar, d: int) -> np.ndarray:
-        c = centre.as_py()
-        return np.frombuffer(c, float) if c else matrix(raw.as_py(), d, real)[0]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of balls that link wholly, or may link in part."""
         for b in batches:
@@ -301,7 +311,7 @@ def _judge(threshold: float, real: str) -> Callable:
             verdict = np.zeros(b.num_rows, np.int8)
             for d in np.unique(width):
                 at = np.flatnonzero(width == d)
-                x, y = (np.stack([middle(b.column(f"centre_{s}")[i], b.column(f"raw_{s}")[i], d) for i in at]) for s in "ab")
+                x, y = (middles(*[b.column(f"{c}_{s}").take(pa.array(at)).to_pylist() for c in ("centre", "single")], d, real) for s in "ab")
                 cos = (x * y).sum(axis=1)
                 reach = b.column("radius_a").to_numpy()[at] + b.column("radius_b").to_numpy()[at]
                 between = np.arccos(np.clip(cos, -1, 1))
@@ -340,8 +350,8 @@ def _side(packed: DataFrame, side: str, *columns: str) -> DataFrame:
 def links(packed: DataFrame, n: int, threshold: float, real: str) -> tuple[DataFrame, DataFrame]:
     """Pairs of balls that link wholly (a, b, size_a, size_b), and the members' links where only some do (a, b, _key, n)."""
     pairs = candidates(packed, n, threshold, real)
-    heads = packed.where("block = 0")
-    facts = "size", "radius", "centre", "raw"
+    heads = packed.where("block = 0").withColumn("single", F.when(F.col("centre").isNull(), F.col("raw")))
+    facts = "size", "radius", "centre", "single"
     given = pairs.join(_side(heads, "a", "width", *facts), "a").join(_side(heads, "b", *facts), "b")
     judged = written(given.mapInArrow(_judge(threshold, real), "a long, b long, size_a long, size_b long, part boolean"), "vectors-links")
     blocks = "raw", "keys", "counts"

@@ -137,7 +137,8 @@ def test_sketch_loses_one_in_ten_thousand():
     angle = math.acos(0.9)
     limit = vd.sketch_limit(angle)
     p = angle / math.pi
-    assert sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(limit + 1, 65)) < 1e-4
+    n = vd.SIGNS
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(limit + 1, n + 1)) < 1e-4
 
 
 def test_other_threshold(spark):
