@@ -41,7 +41,7 @@ def _sources(spark, args):
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="pulseboard")
     p.add_argument("job", choices=["refresh", "backfill", "enrich", "recompute-scores", "recompute-renewals",
-                                   "backfill-daily", "coverage-report", "hub-top", "export-hub"])
+                                   "backfill-daily", "coverage-report", "hub-top", "export-hub", "vacuum"])
     p.add_argument("--snapshots", required=True, help="snapshot table folder (partitioned by snapshot_date)")
     p.add_argument("--hub", help="hub folder (partitioned by anchor)")
     p.add_argument("--anchor", help="as-of date for refresh / hub-top")
@@ -57,9 +57,13 @@ def main(argv=None) -> None:
     # the session as it is: its settings, and the shared folder, are the cluster's own
     builder = SparkSession.builder.appName("pulseboard")
     spark = (builder.master(args.master) if args.master else builder).getOrCreate()
+    path = args.snapshots
+    if args.job == "vacuum":
+        tables = [HS.snapshot_table(spark, path), *([HS.hub_table(spark, args.hub)] if args.hub else [])]
+        print(sum(t.vacuum() for t in tables), "files of lost writers deleted")
+        return
     rules = _rules(args.rules, bool(args.fixtures))
     src = _sources(spark, args)
-    path = args.snapshots
     if args.job == "refresh":
         HS.refresh(spark, src, rules, as_date(args.anchor), args.hub, path)
     elif args.job == "backfill":
@@ -73,7 +77,7 @@ def main(argv=None) -> None:
     elif args.job == "backfill-daily":
         print(HS.backfill_daily(spark, src, rules, path), "rows filled")
     elif args.job == "coverage-report":
-        report = HS.coverage_report(HS.read_snapshots(spark, path))
+        report = HS.stored_coverage_report(spark, path)
         if args.out:
             report.write.mode("overwrite").option("header", "true").csv(args.out)
         else:  # every date, fetched part by part

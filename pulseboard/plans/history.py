@@ -2,19 +2,18 @@
 
 The source scripts loop over days (one query + one MERGE per day). Here every
 job computes all requested days in one Spark job (metrics keyed by
-(anchor, rep)) and then rewrites only the touched ``snapshot_date``
-partitions. Parquet has no row-level MERGE/DELETE, so an upsert is a left
-join of the stored rows with the updates, written to a staging folder under
-the session's shared checkpoint directory, then swapped in by a dynamic
-partition overwrite (only the partitions present in the staging data are
-replaced; a lost executor just recomputes its tasks).
+(anchor, rep)) and then rewrites only the touched days. Plain Parquet has no
+row-level MERGE or DELETE, so an upsert joins the stored rows of the days with
+the updates and writes those days anew; ``sources.daytable`` publishes all days
+of a job as one version, so a job that is lost changes nothing and one that
+ends is seen whole. A day's summary is kept with the version, so the coverage
+report and the list of days to fill read no rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +31,7 @@ from ..operators import touches as TC
 from ..operators.common import per_anchor
 from ..session import written
 from ..sources import Sources
+from ..sources.daytable import FILES_PER_DAY, Day, DayTable, Version
 from . import hub as H
 from .job import MetricsJob
 
@@ -56,7 +56,15 @@ KEY = ["snapshot_date", "rep"]
 #: Dates that one history job takes at a time.
 CHUNK_DAYS = 366
 #: Files that a date's rows are spread over when written.
-FILES_PER_DATE = 4
+FILES_PER_DATE = FILES_PER_DAY
+#: What the snapshot table keeps of each date beside its rows.
+SNAPSHOT_SUMMARY = {
+    "missing": "count_if(daily_ar_count is null)",
+    "rates": "count(ars_per_day)",
+    "rate_sum": "sum(ars_per_day)",
+}
+#: Versions whose files are kept; more than one lets long reads of an older version end.
+KEEP_VERSIONS = 1
 
 
 # ---------------------------------------------------------------- schema
@@ -81,33 +89,32 @@ def conform(df: DataFrame, spec=SNAPSHOT_SPEC) -> DataFrame:
 
 
 # ---------------------------------------------------------------- storage
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """The snapshot table with the full column set: read with the known schema, so
-    columns added after a partition was written come back as typed nulls."""
-    return conform(spark.read.schema(SNAPSHOT_SCHEMA).parquet(path))
+def snapshot_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, "snapshot_date", "rep", SNAPSHOT_SUMMARY, KEEP_VERSIONS)
+
+
+def hub_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, "anchor", "rep", keep=KEEP_VERSIONS)
+
+
+def read_snapshots(spark: SparkSession, path: str, dates=None, version: Version | None = None) -> DataFrame:
+    """The snapshot table (all of it, or the given dates) with the full column set: read with the known
+    schema, so columns added after a partition was written come back as typed nulls."""
+    return conform(snapshot_table(spark, path).read(SNAPSHOT_SCHEMA, dates, version))
 
 
 def write_partitions(df: DataFrame, path: str, partition_col: str = "snapshot_date", key: str = "rep") -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite), in a
-    few files per date whatever the number of tasks."""
-    salt = F.pmod(F.xxhash64(key), F.lit(FILES_PER_DATE))
-    (df.repartition(partition_col, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    """Replace exactly the days present in ``df``, in a few files per day whatever the number of tasks."""
+    table = snapshot_table(df.sparkSession, path) if partition_col == "snapshot_date" else DayTable(
+        df.sparkSession, path, partition_col, key, keep=KEEP_VERSIONS)
+    table.replace(df)
 
 
 def snapshot_replace(rows: DataFrame, path: str, dates=None) -> None:
     """Delete-then-insert of whole snapshot dates: ``dates`` (default: those present
     in ``rows``) are replaced, every other date is left as it is. A date of
     ``dates`` without rows is emptied."""
-    spark = rows.sparkSession
-    rows = conform(rows)
-    if dates is not None:
-        rows = written(rows.where(F.col("snapshot_date").isin(*dates)), "replace")
-        produced = {r[0] for r in rows.select("snapshot_date").distinct().collect()}  # one value per date at most
-        empty = sorted(set(dates) - produced)
-        if empty and exists(spark, path):
-            clear_partitions(spark, path, empty)
-    write_partitions(rows, path)
+    snapshot_table(rows.sparkSession, path).replace(conform(rows), dates)
 
 
 def merge_updates(current: DataFrame, updates: DataFrame, cols) -> DataFrame:
@@ -134,29 +141,22 @@ def assert_unique_keys(updates: DataFrame) -> None:
         raise ValueError("updates hold the same (snapshot_date, rep) twice")
 
 
-def clear_partitions(spark: SparkSession, path: str, dates, partition_col: str = "snapshot_date") -> None:
-    """Delete the given date partitions of a Parquet table folder.
-
-    Plain Parquet has no DELETE and a dynamic overwrite cannot empty a
-    partition, so the dates' folders are removed through the table's own file
-    system: no job runs, whatever the number of dates."""
-    wanted = [d.isoformat() for d in dates]
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for d in wanted:
-        folder = hadoop.Path(f"{path.rstrip('/')}/{partition_col}={d}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    spark.catalog.refreshByPath(path)
+def _stage_upsert(table: DayTable, base: Version | None, updates: DataFrame, cols, dates) -> tuple[dict[str, Day], int]:
+    """Write the merged rows of ``dates``, unpublished; returns them and the number of matched rows."""
+    updates = written(updates.select(*KEY, *cols), "updates")  # one narrow row per key: computed once, used three times
+    assert_unique_keys(updates)
+    current = conform(table.read(SNAPSHOT_SCHEMA, dates, base))
+    matched = current.select(*KEY).join(updates.select(*KEY), KEY, "left_semi").count()
+    return table.stage(conform(merge_updates(current, updates, cols).drop("_matched"))), matched
 
 
 def snapshot_upsert(spark: SparkSession, path: str, updates: DataFrame, cols, dates) -> int:
-    """Apply ``merge_updates`` to the stored partitions of ``dates``; returns the
-    number of matched rows. Writes to staging first, so the table is never
-    read and overwritten by the same job."""
-    assert_unique_keys(updates)
-    current = read_snapshots(spark, path).where(F.col("snapshot_date").isin(*dates))
-    staged = written(merge_updates(current, updates, cols), "upsert")
-    write_partitions(conform(staged.drop("_matched")), path)
-    return staged.where(F.col("_matched")).count()
+    """Apply ``merge_updates`` to the stored rows of ``dates``; returns the number of matched rows."""
+    table = snapshot_table(spark, path)
+    base = table.version()
+    staged, matched = _stage_upsert(table, base, updates, list(cols), dates)
+    table.publish(staged, base=base)
+    return matched
 
 
 # ---------------------------------------------------------------- hub -> snapshot
@@ -187,10 +187,11 @@ def refresh_rows(src: Sources, rules: Rules, anchor: dt.date, hub_df: DataFrame,
 
 
 def latest_hub(spark: SparkSession, hub_path: str, anchor: dt.date) -> DataFrame:
-    """Hub rows of the most recent build on or before ``anchor`` (scalar subquery)."""
-    h = spark.read.parquet(hub_path)
-    last = h.where(F.col("anchor") <= F.lit(anchor)).select(F.max("anchor")).scalar()
-    return h.where(F.col("anchor") == last)
+    """Hub rows of the most recent build on or before ``anchor``; only that build's files are read."""
+    table = hub_table(spark, hub_path)
+    version = table.version()
+    builds = [d for d in version.days if d <= anchor.isoformat()] if version else []
+    return table.read(None, [max(builds)] if builds else [], version)
 
 
 def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: str,
@@ -199,34 +200,29 @@ def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: s
     stands (the previous build: a second run on the same day stores that
     day's rebuild) plus yesterday's daily columns; (2) rebuild the hub.
 
-    The hub is stored partitioned by ``anchor``, so each build replaces only
-    its own partition and older builds stay readable."""
+    The hub is stored by ``anchor``, so each build replaces only its own
+    day and older builds stay readable. Each table changes in one step;
+    a refresh lost between the two is completed by running it again."""
     from ..functions.dates import as_date
 
     anchor = as_date(anchor)
+    hubs, snapshots = hub_table(spark, hub_path), snapshot_table(spark, snapshots_path)
     job = MetricsJob(src, rules, Anchors.of(anchor), every_rep=True)  # both steps read each source once
     try:
-        if exists(spark, hub_path):
+        if hubs.exists():
             prev = latest_hub(spark, hub_path, anchor).drop("anchor")
             snapshot_replace(refresh_rows(src, rules, anchor, prev, job), snapshots_path, [anchor])
-        if exists(spark, snapshots_path):
+        if snapshots.exists():
             job.src = src.with_snapshots(read_snapshots(spark, snapshots_path))
-        write_partitions(H.hub(job, include_refresh_time=True), hub_path, "anchor")
+        hubs.replace(H.hub(job, include_refresh_time=True))
     finally:
         job.release()
-    return spark.read.parquet(hub_path).where(F.col("anchor") == F.lit(anchor))
+    return hubs.read(days=[anchor])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written at ``path``. Only a missing path, or one without
-    data files, counts as no table; any other error is raised."""
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    """Whether a snapshot table was written at ``path``."""
+    return snapshot_table(spark, path).exists()
 
 
 # ---------------------------------------------------------------- set-based jobs
@@ -346,6 +342,26 @@ def missing_dates(snapshots: DataFrame) -> DataFrame:
             .orderBy("snapshot_date"))
 
 
+def stored_missing_dates(spark: SparkSession, path: str) -> DataFrame:
+    """``missing_dates`` of the stored table, from its log."""
+    table = snapshot_table(spark, path)
+    if table.version() is None:
+        return missing_dates(read_snapshots(spark, path))
+    dates = sorted(d for d, s in table.summaries().items() if s["missing"])
+    return spark.createDataFrame([(dt.date.fromisoformat(d),) for d in dates], "snapshot_date date").orderBy("snapshot_date")
+
+
+def stored_coverage_report(spark: SparkSession, path: str) -> DataFrame:
+    """``coverage_report`` of the stored table, from its log."""
+    table = snapshot_table(spark, path)
+    if table.version() is None:
+        return coverage_report(read_snapshots(spark, path))
+    rows = [(dt.date.fromisoformat(d), s["rows"], s["rate_sum"], s["rates"]) for d, s in table.summaries().items()]
+    days = spark.createDataFrame(rows, "snapshot_date date, reps long, rate_sum double, rates long")
+    mean = F.when(F.col("rates") > 0, F.col("rate_sum") / F.col("rates"))
+    return days.select("snapshot_date", "reps", round_half_up(mean, 2).alias("avg_ars_per_day")).orderBy("snapshot_date")
+
+
 def backfill_daily_updates(src: Sources, rules: Rules, dates, snapshots: DataFrame,
                            job: MetricsJob | None = None) -> DataFrame:
     """For every stored row of each date: daily columns of the day before and
@@ -371,14 +387,15 @@ def coverage_report(snapshots: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- job wrappers (write)
 def backfill_snapshots(spark: SparkSession, src: Sources, rules: Rules, start, end, path: str) -> None:
     """Replace the snapshots of [start, end] (delete the range, insert the
-    recomputed rows): dates with rows are rewritten by a dynamic partition
-    overwrite, dates that produced none are cleared."""
-    for a in _chunks(Anchors.between(start, end).dates):
+    recomputed rows) in one version: dates that produced no rows are emptied."""
+    table, staged, dates = snapshot_table(spark, path), {}, Anchors.between(start, end).dates
+    for a in _chunks(dates):
         job = MetricsJob(src, rules, a, "legacy")
         try:
-            snapshot_replace(backfill_rows(src, rules, a, job), path, a.dates)
+            staged |= table.stage(conform(backfill_rows(src, rules, a, job)))
         finally:
             job.release()
+    table.publish(staged, {str(d) for d in dates} - set(staged))
 
 
 def _chunks(dates) -> list[Anchors]:
@@ -387,14 +404,18 @@ def _chunks(dates) -> list[Anchors]:
 
 
 def _upsert_job(spark, src, rules, dates, path, variant, build, cols) -> int:
-    matched = 0
+    """All dates of the job in one version, computed from the version that it started with."""
+    table, staged, matched = snapshot_table(spark, path), {}, 0
+    base = table.version()
     for a in _chunks(list(dates)):
         job = MetricsJob(src, rules, a, variant)
         try:
-            snaps = read_snapshots(spark, path)
-            matched += snapshot_upsert(spark, path, build(src, rules, a, snaps, job), cols, a.dates)
+            snaps = read_snapshots(spark, path, a.dates, base)
+            made, n = _stage_upsert(table, base, build(src, rules, a, snaps, job), cols, a.dates)
         finally:
             job.release()
+        staged, matched = staged | made, matched + n
+    table.publish(staged, base=base)
     return matched
 
 
@@ -414,9 +435,8 @@ def recompute_renewals(spark, src, rules, start, end, path) -> int:
 
 
 def backfill_daily(spark, src, rules, path) -> int:
-    snaps = read_snapshots(spark, path)
     # the list of dates is bounded by the calendar (one value per day)
-    dates = [r[0] for r in missing_dates(snaps).collect()]
+    dates = [r[0] for r in stored_missing_dates(spark, path).collect()]
     if not dates:
         return 0
 

@@ -28,7 +28,7 @@ from .operators.common import per_anchor
 from .plans import history as HS
 from .plans import hub as H
 from .plans.job import MetricsJob
-from .session import ensure_checkpoint_dir, written
+from .session import ensure_checkpoint_dir
 from .sources import load_table_sources
 from .sources.materialize import fixture_sources as load_fixture_sources
 
@@ -504,9 +504,9 @@ def q_hub_overwrite(spark, sf):
     """Two builds; the second is built again, without its red and yellow rows."""
     path, h = _store(spark, "hub"), H.hub(job_for(spark, sf, HISTORY[:2]))
     HS.write_partitions(h, path, "anchor")
-    again = spark.read.parquet(path).where((F.col("anchor") == HISTORY[1]) & (F.col("overall_status") == "green"))
-    HS.write_partitions(written(again, "hub-again"), path, "anchor")
-    return spark.read.schema(h.schema).parquet(path)
+    hubs = HS.hub_table(spark, path)
+    hubs.replace(hubs.read(h.schema, HISTORY[1:2]).where(F.col("overall_status") == "green"))
+    return hubs.read(h.schema)
 
 
 @query("export_hub_json", "select * from hub")
@@ -620,6 +620,29 @@ def q_coverage_report(spark, sf):
     return HS.coverage_report(load_fixture_sources(spark, sf).snapshots)
 
 
+def _stored_in_steps(spark: SparkSession, sf: str, name: str) -> str:
+    """The given snapshots, stored by a replace without one date, an upsert that clears its counts, and a second replace."""
+    snaps, path = HS.conform(load_fixture_sources(spark, sf).snapshots), _store(spark, name)
+    HS.snapshot_replace(snaps.where(F.col("snapshot_date") != HISTORY[0]), path)
+    cleared = snaps.where(F.col("snapshot_date") == HISTORY[1]).select("snapshot_date", "rep", F.lit(None).cast("long").alias("daily_ar_count"))
+    HS.snapshot_upsert(spark, path, cleared, ["daily_ar_count"], [HISTORY[1]])
+    HS.snapshot_replace(snaps.where(F.col("snapshot_date") == HISTORY[0]), path)
+    return path
+
+
+@query("stored_missing_dates", f"""select distinct snapshot_date from snap_c
+where daily_ar_count is null or snapshot_date = date '{D1}'""")
+def q_stored_missing_dates(spark, sf):
+    """From the stored table's log, after three writers."""
+    return HS.stored_missing_dates(spark, _stored_in_steps(spark, sf, "missing"))
+
+
+@query("stored_coverage_report", "select * from coverage_report")
+def q_stored_coverage_report(spark, sf):
+    """From the stored table's log, after three writers."""
+    return HS.stored_coverage_report(spark, _stored_in_steps(spark, sf, "coverage"))
+
+
 @query("refresh_snapshot", "select * from snapshot_from_hub")
 def q_refresh_snapshot(spark, sf):
     j = job_for(spark, sf)
