@@ -18,6 +18,7 @@ from ..functions.dates import Anchors
 from ..functions.numeric import round_half_up
 from ..sources import Sources
 from .common import in_window
+from .partials import Partials
 
 SUBS = ("sub_1", "sub_2", "sub_3", "sub_4")
 METRICS = ("score",) + SUBS
@@ -57,27 +58,27 @@ def call_metrics(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 3
     score and of four sub-scores (1 dp), and avg / 100 (4 dp)."""
     if daily is None:
         daily = daily_partials(src, allow, anchors.lo - dt.timedelta(days=days), anchors.hi)
-    w = in_window(daily, anchors, "conv_date", -days, 0, end_inclusive=include_anchor_day)
-    aggs = [F.sum("n").alias("_n")]
+    return call_partials(daily, anchors, days, include_anchor_day).table()
+
+
+def call_partials(daily: DataFrame, anchors: Anchors, days: int = 30, include_anchor_day: bool = True) -> Partials:
+    """``call_metrics`` from ``daily_partials``."""
+    merge, finish = {"_call_n": "sum"}, {}
+    columns = [F.col("n").alias("_call_n")]
     for m in METRICS:
-        aggs += [F.sum(f"s_{m}").alias(f"_s_{m}"), F.min(f"lo_{m}").alias(f"_lo_{m}"),
-                 F.max(f"hi_{m}").alias(f"_hi_{m}")]
-    g = w.groupBy("anchor", "rep").agg(*aggs)
-    avg = lambda m: F.col(f"_s_{m}").cast("double") / F.col("_n")
-    cols = [
-        F.col("anchor"), F.col("rep"), F.col("_n").cast("long").alias("total_calls_l30"),
-        round_half_up(avg("score"), 1).alias("avg_call_score"),
-        round_half_up(F.col("_lo_score"), 1).alias("min_call_score"),
-        round_half_up(F.col("_hi_score"), 1).alias("max_call_score"),
-        round_half_up(avg("score") / 100.0, 4).alias("call_score_norm"),
-    ]
-    for m in SUBS:
-        cols += [
-            round_half_up(avg(m), 1).alias(f"avg_{m}"),
-            round_half_up(F.col(f"_lo_{m}"), 1).alias(f"min_{m}"),
-            round_half_up(F.col(f"_hi_{m}"), 1).alias(f"max_{m}"),
-        ]
-    return g.select(*cols)
+        avg = F.col(f"_call_s_{m}").cast("double") / F.col("_call_n")
+        low, high = F.col(f"_call_lo_{m}"), F.col(f"_call_hi_{m}")
+        if m == "score":
+            finish |= {"total_calls_l30": F.col("_call_n").cast("long"), "avg_call_score": round_half_up(avg, 1),
+                       "min_call_score": round_half_up(low, 1), "max_call_score": round_half_up(high, 1),
+                       "call_score_norm": round_half_up(avg / 100.0, 4)}
+        else:
+            finish |= {f"avg_{m}": round_half_up(avg, 1), f"min_{m}": round_half_up(low, 1), f"max_{m}": round_half_up(high, 1)}
+        for part, how in (("s", "sum"), ("lo", "min"), ("hi", "max")):
+            columns.append(F.col(f"{part}_{m}").alias(f"_call_{part}_{m}"))
+            merge[f"_call_{part}_{m}"] = how
+    w = in_window(daily, anchors, "conv_date", -days, 0, end_inclusive=include_anchor_day)
+    return Partials(w.select("anchor", "rep", *columns), merge, finish)
 
 
 def call_metrics_prev(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 30,
@@ -85,10 +86,15 @@ def call_metrics_prev(src: Sources, allow: DataFrame, anchors: Anchors, days: in
     """Per (anchor, rep): average score of days -history_days .. -(days+1)."""
     if daily is None:
         daily = daily_partials(src, allow, anchors.lo - dt.timedelta(days=history_days), anchors.hi)
+    return call_prev_partials(daily, anchors, days, history_days).table()
+
+
+def call_prev_partials(daily: DataFrame, anchors: Anchors, days: int = 30, history_days: int = 60) -> Partials:
+    """``call_metrics_prev`` from ``daily_partials``."""
     w = in_window(daily, anchors, "conv_date", -history_days, -days)
-    g = w.groupBy("anchor", "rep").agg(F.sum("n").alias("_n"), F.sum("s_score").alias("_s"))
-    return g.select("anchor", "rep",
-                    round_half_up(F.col("_s").cast("double") / F.col("_n"), 1).alias("prev_avg_call_score"))
+    rows = w.select("anchor", "rep", F.col("n").alias("_prev_n"), F.col("s_score").alias("_prev_s"))
+    return Partials(rows, {"_prev_n": "sum", "_prev_s": "sum"}, {
+        "prev_avg_call_score": round_half_up(F.col("_prev_s").cast("double") / F.col("_prev_n"), 1)})
 
 
 def call_delta(avg_col, prev_col) -> F.Column:

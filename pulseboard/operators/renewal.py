@@ -18,6 +18,7 @@ from ..functions.dates import Anchors
 from ..functions.numeric import flag, safe_ratio
 from ..sources import Sources
 from .common import first_on_or_after, in_window
+from .partials import Partials
 
 COHORT_COLS = ("anchor", "rep", "org", "renewal_month", "contract_type")
 
@@ -122,6 +123,19 @@ def renewal_coverage(cohort: DataFrame, touch_keys: DataFrame, anchors: Anchors,
     distinct (org, day) [+ rep when matching on rep]. A touch valid for one
     renewal month of an org credits its other months too, as in the source
     definition."""
+    called = F.col("first_day") < F.col("anchor")
+    counts = coverage_counts(cohort, touch_keys, match_on, lookback)
+    return at_anchors(counts, anchors).groupBy("anchor", "rep", "renewal_month").agg(
+        F.sum("_n").cast("long").alias("cohort_total"),
+        F.sum(F.when(called, F.col("_n")).otherwise(0)).cast("long").alias("cohort_called"),
+        F.sum("_m2m").cast("long").alias("m2m_orgs"),
+        F.sum(F.when(called, F.col("_m2m")).otherwise(0)).cast("long").alias("m2m_called"),
+        F.sum("_annual").cast("long").alias("annual_orgs"),
+    ).withColumn("coverage_pct", safe_ratio("cohort_called", "cohort_total", 3))
+
+
+def coverage_counts(cohort: DataFrame, touch_keys: DataFrame, match_on: tuple[str, ...] = ("org",), lookback: int = 120) -> DataFrame:
+    """(m0, rep, renewal_month, first_day): cohort orgs first touched that day, and their contract types."""
     keys = list(match_on)
     first = _first_touch(cohort, touch_keys, keys, lookback)
     ct = F.col("contract_type")
@@ -130,16 +144,8 @@ def renewal_coverage(cohort: DataFrame, touch_keys: DataFrame, anchors: Anchors,
         F.max(flag((ct != F.lit(MONTH_TO_MONTH)) | ct.isNull())).alias("_annual"),
         F.min("first_day").alias("first_day"),
     )
-    counts = per_org.groupBy("m0", "rep", "renewal_month", "first_day").agg(
+    return per_org.groupBy("m0", "rep", "renewal_month", "first_day").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_m2m").alias("_m2m"), F.sum("_annual").alias("_annual"))
-    called = F.col("first_day") < F.col("anchor")
-    return at_anchors(counts, anchors).groupBy("anchor", "rep", "renewal_month").agg(
-        F.sum("_n").cast("long").alias("cohort_total"),
-        F.sum(F.when(called, F.col("_n")).otherwise(0)).cast("long").alias("cohort_called"),
-        F.sum("_m2m").cast("long").alias("m2m_orgs"),
-        F.sum(F.when(called, F.col("_m2m")).otherwise(0)).cast("long").alias("m2m_called"),
-        F.sum("_annual").cast("long").alias("annual_orgs"),
-    ).withColumn("coverage_pct", safe_ratio("cohort_called", "cohort_total", 3))
 
 
 def renewal_contacted(cohort: DataFrame, touch_keys_by_rep: DataFrame, anchors: Anchors, lookback: int = 120) -> DataFrame:
@@ -163,3 +169,18 @@ def renewal_pivot(coverage: DataFrame, anchors: Anchors) -> DataFrame:
         is_k = F.col("renewal_month") == F.col(f"m{k}")
         aggs += [F.max(F.when(is_k, F.col(src))).alias(f"renewal_m{k}_{name}") for name, src in PIVOT_FIELDS]
     return j.groupBy("anchor", "rep").agg(*aggs)
+
+
+def renewal_partials(counts: DataFrame, anchors: Anchors) -> Partials:
+    """The columns of ``renewal_pivot`` from ``coverage_counts``."""
+    j = at_anchors(counts, anchors).join(anchors.df(counts.sparkSession).select("anchor", "m1", "m2", "m3"), "anchor")
+    called = F.col("first_day") < F.col("anchor")
+    figures = {"total": F.col("_n"), "called": F.when(called, F.col("_n")).otherwise(0), "m2m": F.col("_m2m"),
+               "m2m_called": F.when(called, F.col("_m2m")).otherwise(0), "annual": F.col("_annual")}
+    columns, finish = [], {}
+    for k in (1, 2, 3):
+        is_k = F.col("renewal_month") == F.col(f"m{k}")
+        columns += [F.when(is_k, c).alias(f"_ren{k}_{name}") for name, c in figures.items()]
+        finish |= {f"renewal_m{k}_{name}": F.col(f"_ren{k}_{name}").cast("long") for name in figures}
+        finish[f"renewal_m{k}_pct"] = safe_ratio(f"_ren{k}_called", f"_ren{k}_total", 3)
+    return Partials(j.select("anchor", "rep", *columns), {f"_ren{k}_{name}": "sum" for k in (1, 2, 3) for name in figures}, finish)

@@ -7,6 +7,8 @@ never by joining every case with every touch of its org.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ..config import RETENTION_CASE_TYPE, Rules
 from ..functions.dates import Anchors, business_deadline
 from ..functions.numeric import flag, safe_ratio
 from .common import first_on_or_after, in_window
+from .partials import Partials
 
 
 def outreach_keys(base: DataFrame) -> DataFrame:
@@ -47,17 +50,16 @@ def _with_first_contact(rows: DataFrame, outreach: DataFrame) -> DataFrame:
     return rows.join(firsts.withColumnRenamed("from_day", "day"), ["org", "day"], "left")
 
 
-def _per_rep(rows: DataFrame, id_col: str, met: F.Column, names: tuple[str, str, str]) -> DataFrame:
+def _per_rep(rows: DataFrame, id_col: str, met: F.Column, names: tuple[str, str, str]) -> Partials:
     # one row per (anchor, rep, item): duplicates come only from a name listed twice
-    one = rows.select("anchor", "rep", id_col, flag(met).alias("_met")).distinct()
     total, done, pct = names
-    return one.groupBy("anchor", "rep").agg(
-        F.count(F.lit(1)).alias(total), F.sum("_met").cast("long").alias(done),
-    ).withColumn(pct, safe_ratio(done, total, 3))
+    one = rows.select("anchor", "rep", id_col, flag(met).alias(f"_{done}")).distinct().withColumn(f"_{total}", F.lit(1))
+    return Partials(one, {f"_{total}": "sum", f"_{done}": "sum"}, {
+        total: F.col(f"_{total}").cast("long"), done: F.col(f"_{done}").cast("long"), pct: safe_ratio(f"_{done}", f"_{total}", 3)})
 
 
-def retention_sla(cases: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
-                  rule: str = "deadline", days: int = 30, rows: DataFrame | None = None) -> DataFrame:
+def retention_partials(cases: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
+                       rule: str = "deadline", days: int = 30, rows: DataFrame | None = None) -> Partials:
     """Per (anchor, rep): retention cases, cases contacted in time, ratio (3 dp).
 
     rule="deadline": cases whose 2-business-day deadline is before the anchor;
@@ -78,6 +80,12 @@ def retention_sla(cases: DataFrame, allow: DataFrame, outreach: DataFrame, ancho
     return _per_rep(rows, "case_id", met, ("total_ret_cases", "sla_met_count", "ret_sla_pct"))
 
 
+def retention_sla(cases: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
+                  rule: str = "deadline", days: int = 30, rows: DataFrame | None = None) -> DataFrame:
+    """``retention_partials`` reduced: one row per (anchor, rep)."""
+    return retention_partials(cases, allow, outreach, anchors, rule, days, rows).table()
+
+
 def churn_task_rows(tasks: DataFrame, allow: DataFrame, rules: Rules) -> DataFrame:
     """Unarchived churn-risk tasks with an org, owner allowlisted (bag)."""
     t = tasks.where(
@@ -88,16 +96,22 @@ def churn_task_rows(tasks: DataFrame, allow: DataFrame, rules: Rules) -> DataFra
     return t.select("task_id", "org", F.col("owner").alias("rep"), F.to_date("inserted_at").alias("day"))
 
 
-def churn_task_compliance(tasks: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
-                          rules: Rules, days: int = 30, rows: DataFrame | None = None) -> DataFrame:
+def churn_partials(tasks: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
+                   rules: Rules, days: int = 30, rows: DataFrame | None = None) -> Partials:
     """Per (anchor, rep): churn-risk tasks of the window, tasks with outreach to
     the org on/after the task day (before the anchor), ratio, any-unattempted."""
     t = rows if rows is not None else churn_task_rows(tasks, allow, rules)
     t = _with_first_contact(in_window(t, anchors, "day", -days, 0, end_inclusive=True), outreach)
     reached = F.col("first_day") < F.col("anchor")
     out = _per_rep(t, "task_id", reached, ("total_churn_tasks", "churn_tasks_reached", "churn_reach_pct"))
-    return out.withColumn(
-        "has_unattempted_churn", (F.col("churn_tasks_reached") < F.col("total_churn_tasks")).cast("int").cast("long"))
+    missed = F.col("_churn_tasks_reached") < F.col("_total_churn_tasks")
+    return replace(out, finish=out.finish | {"has_unattempted_churn": missed.cast("int").cast("long")})
+
+
+def churn_task_compliance(tasks: DataFrame, allow: DataFrame, outreach: DataFrame, anchors: Anchors,
+                          rules: Rules, days: int = 30, rows: DataFrame | None = None) -> DataFrame:
+    """``churn_partials`` reduced: one row per (anchor, rep)."""
+    return churn_partials(tasks, allow, outreach, anchors, rules, days, rows).table()
 
 
 def open_case_counts(cases: DataFrame, rules: Rules) -> DataFrame:

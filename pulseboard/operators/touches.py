@@ -22,6 +22,7 @@ from ..functions.numeric import round_half_up
 from ..functions.text import ilike_any
 from ..sources import Sources
 from .common import in_window, runs_of_days, ts_bounds
+from .partials import Partials
 
 TOUCH_COLS = ("day", "rep", "org", "source_id", "channel", "qualifies")
 
@@ -132,15 +133,18 @@ def rep_days(td: DataFrame) -> DataFrame:
     return td.groupBy("rep", "day").agg(F.sum(qualified_count(td)).alias("n_q"))
 
 
+def touch_rate_partials(rd: DataFrame, anchors: Anchors, days: int = 30) -> Partials:
+    """``touch_rate`` from ``rep_days``; null without a touch or an active weekday."""
+    rows = windowed(rd, anchors, days).select("anchor", "rep", F.col("n_q").alias("_touch_n"), is_business_day("day").cast("int").alias("_touch_days"))
+    n, active = F.col("_touch_n").cast("long"), F.col("_touch_days").cast("double")
+    counted = (n > 0) & (active > 0)
+    return Partials(rows, {"_touch_n": "sum", "_touch_days": "sum"}, {
+        "total_ars_l30": F.when(counted, n), "ars_per_day": F.when(counted, round_half_up(n / F.when(active > 0, active), 2))})
+
+
 def touch_rate_from_days(rd: DataFrame, anchors: Anchors, days: int = 30) -> DataFrame:
     """``touch_rate`` from ``rep_days`` in one windowed aggregation."""
-    g = windowed(rd, anchors, days).groupBy("anchor", "rep").agg(
-        F.sum("n_q").cast("long").alias("total_ars_l30"),
-        F.count_if(is_business_day("day")).cast("double").alias("_n_days"),
-    )
-    return g.where((F.col("total_ars_l30") > 0) & (F.col("_n_days") > 0)).select(
-        "anchor", "rep", "total_ars_l30",
-        round_half_up(F.col("total_ars_l30") / F.col("_n_days"), 2).alias("ars_per_day"))
+    return touch_rate_partials(rd, anchors, days).table().where(F.col("total_ars_l30").isNotNull())
 
 
 def windowed(df: DataFrame, anchors: Anchors, days: int) -> DataFrame:

@@ -1,8 +1,9 @@
 """The hub: one row per allowlisted rep with a book, per anchor (83 columns).
 
-All metric relations are keyed (anchor, rep) and produced by aggregations
-on those keys, so the chain of left joins below reuses their hash
-partitioning instead of re-shuffling for every join.
+All windowed metrics are mergeable partials per (anchor, rep). Their rows are
+put under each other and reduced together (``partials.together``): one shuffle
+brings all metrics of a key to one place, whatever their number, and one join
+adds them to the reps that have a book.
 """
 
 from __future__ import annotations
@@ -10,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_label
+from ..functions.dates import month_after, month_label
 from ..operators import calls as C
 from ..operators import roster as R
-from ..operators import renewal as RN
 from ..operators import score as S
 from ..operators import sla as SL
 from ..operators import touches as T
 from ..operators.common import per_anchor
+from ..operators.partials import together
 from .job import MetricsJob
 
 SUB_COLS = [f"{k}_sub_{i}" for i in range(1, 5) for k in ("avg", "min", "max")]
@@ -54,14 +55,13 @@ def rollup(job: MetricsJob) -> DataFrame:
     return ru.join(job.anchors.df(job.spark).select("anchor", "m0"), "m0").drop("m0")
 
 
-def composite_frame(job: MetricsJob, rate: DataFrame, cm: DataFrame, rs: DataFrame, ru: DataFrame,
-                    piv: DataFrame) -> DataFrame:
+def composite_frame(job: MetricsJob) -> DataFrame:
     """Composite over allowlist rows x anchors (bag), current definitions."""
-    rows = per_anchor(job.allow.select("rep"), job.anchors)
-    j = (rows.join(rate, ["anchor", "rep"], "left").join(cm.select("anchor", "rep", "call_score_norm"), ["anchor", "rep"], "left")
-         .join(rs.select("anchor", "rep", "ret_sla_pct"), ["anchor", "rep"], "left")
-         .join(ru.select("anchor", "rep", "primary_segment"), ["anchor", "rep"], "left")
-         .join(piv.select("anchor", "rep", "renewal_m2_total", "renewal_m2_pct"), ["anchor", "rep"], "left"))
+    k = ["anchor", "rep"]
+    parts = together(job.touch_partials(), job.call_partials(), job.retention_partials(), job.renewal_partials()).select(
+        *k, "ars_per_day", "call_score_norm", "ret_sla_pct", "renewal_m2_total", "renewal_m2_pct")
+    j = per_anchor(job.allow.select("rep"), job.anchors).join(parts, k, "left").join(
+        rollup(job).select(*k, "primary_segment"), k, "left")
     counted = S.renewal_pillar_allowed("primary_segment") & (F.coalesce(F.col("renewal_m2_total"), F.lit(0)) > 0)
     cols = S.composite_columns("ars_per_day", "primary_segment", "call_score_norm", "ret_sla_pct",
                                "renewal_m2_pct", counted)
@@ -71,27 +71,18 @@ def composite_frame(job: MetricsJob, rate: DataFrame, cm: DataFrame, rs: DataFra
 def hub(job: MetricsJob, include_refresh_time: bool = False) -> DataFrame:
     src, rules, anchors = job.src, job.rules, job.anchors
     ru = rollup(job)
-    rate = T.touch_rate_from_days(job.rep_days, anchors, rules.touch_window_days)
-    cm = C.call_metrics(src, job.allow, anchors, rules.call_window_days, daily=job.call_days)
-    cp = C.call_metrics_prev(src, job.allow, anchors, rules.call_window_days, rules.call_history_days, daily=job.call_days)
-    okeys = job.outreach_keys
-    rs = SL.retention_sla(src.cases, job.allow, okeys, anchors, days=rules.sla_window_days, rows=job.retention_rows)
-    ch = SL.churn_task_compliance(src.tasks, job.allow, okeys, anchors, rules, rules.churn_window_days, rows=job.churn_rows)
-    piv = RN.renewal_pivot(job.coverage(), anchors)
+    metrics = together(job.touch_partials(), job.call_partials(), job.call_prev_partials(), job.retention_partials(),
+                       job.churn_partials(), job.renewal_partials())
     oc = SL.open_case_counts(src.cases, rules)
     ii = S.interaction_signals(src.signals)
-    a = job.anchors.df(job.spark)
 
     # rows: allowlist rows (bag) of reps with a book at the anchor; the rollup
-    # has one row per (anchor, rep), so the inner join keeps the bag as is
-    rows = job.allow.join(ru, "rep")
+    # has one row per (anchor, rep), so the inner join keeps the bag as is.
+    # What is known per rep only joins on the same key before the anchors do.
+    rows = job.allow.join(ru, "rep").join(oc, "rep", "left").join(ii, "rep", "left")
     k = ["anchor", "rep"]
-    j = (
-        rows.join(rate, k, "left").join(cm, k, "left").join(cp, k, "left")
-        .join(rs, k, "left").join(ch, k, "left").join(piv, k, "left")
-        .join(oc, "rep", "left").join(ii, "rep", "left").join(a, "anchor", "left")
-    )
-    if src.snapshots is not None:
+    j = rows.join(metrics, k, "left").withColumns({f"m{n}": month_after("anchor", n) for n in (1, 2, 3)})
+    if src.snapshots is not None:  # not reduced: a name stored twice that day stays two rows
         j = j.join(S.score_7d_ago(src.snapshots, anchors), k, "left")
     else:
         j = j.withColumn("composite_score_7d_ago", F.lit(None).cast("double"))

@@ -24,6 +24,7 @@ from ..operators import roster as R
 from ..operators import sla as SL
 from ..operators import touches as T
 from ..operators.common import ts_bounds
+from ..operators.partials import Partials
 from ..sources import Sources
 
 
@@ -176,6 +177,28 @@ class MetricsJob:
         keys, on = (self.renewal_keys_by_rep, ("org", "rep")) if mode == "legacy" else (self.renewal_keys, ("org",))
         return RN.renewal_coverage(self.cohort(mode), keys, self.anchors, on, self.rules.renewal_lookback_days)
 
+    # ---- mergeable metrics of the current definitions -----------------
+    def touch_partials(self) -> Partials:
+        return T.touch_rate_partials(self.rep_days, self.anchors, self.rules.touch_window_days)
+
+    def call_partials(self) -> Partials:
+        return C.call_partials(self.call_days, self.anchors, self.rules.call_window_days)
+
+    def call_prev_partials(self) -> Partials:
+        return C.call_prev_partials(self.call_days, self.anchors, self.rules.call_window_days, self.rules.call_history_days)
+
+    def retention_partials(self) -> Partials:
+        return SL.retention_partials(self.src.cases, self.allow, self.outreach_keys, self.anchors,
+                                     days=self.rules.sla_window_days, rows=self.retention_rows)
+
+    def churn_partials(self) -> Partials:
+        return SL.churn_partials(self.src.tasks, self.allow, self.outreach_keys, self.anchors, self.rules,
+                                 self.rules.churn_window_days, rows=self.churn_rows)
+
+    def renewal_partials(self) -> Partials:
+        counts = RN.coverage_counts(self.cohort(), self.renewal_keys, lookback=self.rules.renewal_lookback_days)
+        return RN.renewal_partials(counts, self.anchors)
+
     @cached_property
     def book_current(self) -> DataFrame:
         """Book rows of each anchor month (persisted: read by several rollups)."""

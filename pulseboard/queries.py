@@ -350,26 +350,16 @@ def q_signals_asof(spark, sf):
     return S.interaction_signals_asof(j.src.signals, j.anchors)
 
 
-def _composite(j: MetricsJob) -> DataFrame:
-    src = j.src
-    okeys = j.outreach_keys
-    ru = _at_anchor(j, _book_parts(j)[3])
-    piv = RN.renewal_pivot(j.coverage(), j.anchors)
-    return H.composite_frame(j, T.touch_rate_from_days(j.rep_days, j.anchors),
-                             C.call_metrics(src, j.allow, j.anchors, daily=j.call_days),
-                             SL.retention_sla(src.cases, j.allow, okeys, j.anchors, rows=j.retention_rows), ru, piv)
-
-
 @query("composite_score", "select * from composite")
 def q_composite(spark, sf):
-    return _composite(job_for(spark, sf))
+    return H.composite_frame(job_for(spark, sf))
 
 
 @query("score_band", """select anchor, rep, composite_score,
   case when composite_score >= 0.80 then 'green' when composite_score >= 0.50 then 'yellow' else 'red' end as overall_status
 from composite""")
 def q_band(spark, sf):
-    c = _composite(job_for(spark, sf))
+    c = H.composite_frame(job_for(spark, sf))
     return c.select("anchor", "rep", "composite_score", S.score_band("composite_score").alias("overall_status"))
 
 
@@ -379,7 +369,7 @@ from composite c left join churn_cur ch on ch.anchor = c.anchor and ch.rep = c.r
 def q_gate(spark, sf):
     j = job_for(spark, sf)
     ch = SL.churn_task_compliance(j.src.tasks, j.allow, j.outreach_keys, j.anchors, j.rules, rows=j.churn_rows)
-    c = _composite(j).join(ch, ["anchor", "rep"], "left")
+    c = H.composite_frame(j).join(ch, ["anchor", "rep"], "left")
     return c.select("anchor", "rep", "composite_score",
                     F.coalesce("has_unattempted_churn", F.lit(0)).alias("has_unattempted_churn"),
                     S.churn_gate("has_unattempted_churn", "composite_score").alias("gated_by_churn"))
@@ -390,7 +380,7 @@ def q_gate(spark, sf):
 from composite c left join snap7 s on s.anchor = c.anchor and s.rep = c.rep""")
 def q_delta(spark, sf):
     j = job_for(spark, sf)
-    c = _composite(j).join(S.score_7d_ago(j.src.snapshots, j.anchors), ["anchor", "rep"], "left")
+    c = H.composite_frame(j).join(S.score_7d_ago(j.src.snapshots, j.anchors), ["anchor", "rep"], "left")
     return c.select("anchor", "rep", "composite_score", "composite_score_7d_ago",
                     S.score_delta("composite_score", "composite_score_7d_ago").alias("composite_delta_7d"))
 
