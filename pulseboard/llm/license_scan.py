@@ -1,4 +1,4 @@
-"""License scan: MinHash bands over overlapping text windows, exact shingle containment.
+"""License scan: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies.
 
 Texts and license templates are words (lower case, anything but letters and
 digits as white space) and their five-word shingles. A template of m shingles
@@ -7,34 +7,40 @@ at every multiple of ``c / 2``: any place where the template stands lies wholly
 in one of them. A template contained to ``CONTAINMENT`` has a Jaccard
 similarity of at least 0.8 / 4.2 with its window, so with ``BANDS`` bands of
 one MinHash value each the chance that no band collides is at most
-(1 - 0.8 / 4.2) ** 32 < 0.2 %. Windows whose band collides with a template's
-are verified: the share of the template's shingles, as text, that the window
-has, must reach ``CONTAINMENT``.
-
-Two sets can only share a MinHash value if they share a shingle, and a window
-can only contain a template to ``CONTAINMENT`` if it has that many of its
-shingles' hashes: an equi-join of the shingles' hashes with those of the
-templates and a count per window and template find the windows to build. This
-loses no collision that could be verified. Texts are not copied to hits; they meet the few
-windows in a join. All steps are built-in functions.
+(1 - 0.8 / 4.2) ** 32 < 0.2 %.
+
+A band collides if a window's smallest value under the band's hash is the
+template's. That value belongs to one shingle of the template, so only windows
+that hold such a shingle need to be looked at. The templates are compiled once, on the driver,
+into these shingles (a bounded table); the scan keeps the places of a text that
+hold one, cuts the windows around them out of the same row, and compares their
+smallest values: no text is shuffled and no window is built that could not collide. Windows
+that collide are verified: the share of the template's shingles, as text, that
+the window has, must reach ``CONTAINMENT``. Phrases under five words, such as
+SPDX tags, have no shingle and are matched whole. All steps are built-in functions.
 
 The query scans for the table of ``license_table``: whole license texts,
-headers, titles and notices, with naming words. ``report`` asks that each naming word stand in a
+headers, titles, notices and tags, with naming words. ``report`` asks that each naming word stand in a
 matched shingle, and where templates of several licenses match the same
 shingles of a text, they go to the one with most matched shingles, then the
 best containment; a match is reported if it has over half of its shingles.
 
-Cases: a null text, or one under five words, has no shingle and no license;
-templates under five words are ignored; rows that repeat an id are one
-document; a license found many times in a document is one row, with the best
-containment, its windows counted and its first word; empty tables give no rows;
-extra columns are ignored.
+Cases: a null text has no license; one under five words can only hold a short
+phrase; rows that repeat an id are one document; a license found many times in
+a document is one row, with the best containment, its windows counted and its
+first word; empty tables give no rows; extra columns are ignored. A text is
+handled whole: a row holds its words.
 """
 
 from __future__ import annotations
 
 import json
+import struct
+from collections import defaultdict
+from dataclasses import dataclass, field
 
+import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,110 +48,147 @@ from .common import table
 from .license_table import license_templates
 
 SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 32
-
-#: Short notices of some licenses, without naming words; the query uses ``license_table``.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
-
-
-def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """(license, text) built from literals."""
-    if not templates:
-        return spark.range(0).select(F.lit("").alias("license"), F.lit("").alias("text"))
-    rows = [F.struct(F.lit(n).alias("license"), F.lit(t).alias("text")) for n, t in templates]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-def named_table(spark: SparkSession) -> DataFrame:
-    """(license, text, names) of the production templates, from one literal."""
-    rows = json.dumps([{"license": n, "text": t, "names": names} for n, t, names in license_templates()])
-    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<license:string,text:string,names:array<string>>>")))
+#: Rows that the compiled templates may have to be sent to every task.
+MOST_ROWS = 500_000
+
+
+def _signed(h: int) -> int:
+    return h - 2**64 if h >= 2**63 else h
+
+
+def _hash(*values: str) -> int:
+    """``F.xxhash64`` of strings."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode(), h)
+    return _signed(h)
+
+
+def _in_band(h: int, band: int) -> int:
+    """``F.xxhash64(F.lit(band), h)`` of a shingle's hash."""
+    return _signed(xxhash.xxh64_intdigest(struct.pack("<q", h), xxhash.xxh64_intdigest(struct.pack("<i", band), 42)))
+
+
+def plain_words(text: str) -> list[str]:
+    return regex.sub(r"[^\p{L}\p{N}]+", " ", text.lower()).split()
+
+
+@dataclass
+class Compiled:
+    """Templates as rows: ``spots`` (shingle hash, window size), ``bands`` (shingle hash, size, template, band),
+    ``templates`` (template, license, size, shingles, naming shingles) and ``phrases`` (hash, words, license)."""
+
+    spots: list[tuple] = field(default_factory=list)
+    bands: list[tuple] = field(default_factory=list)
+    templates: list[tuple] = field(default_factory=list)
+    phrases: list[tuple] = field(default_factory=list)
+    first_words: list[str] = field(default_factory=list)
+
+
+def compile_templates(templates) -> Compiled:
+    """From (license, text[, naming words])."""
+    out, spots = Compiled(), set()
+    for tid, (license_, text, *names) in enumerate(dict.fromkeys((n, t, *map(tuple, rest)) for n, t, *rest in templates)):
+        w = plain_words(text)
+        if not w:
+            continue
+        if len(w) < SHINGLE:
+            out.phrases.append((_hash(*w), len(w), license_))
+            out.first_words.append(w[0])
+            continue
+        grams = {_hash(*w[k:k + SHINGLE]): " ".join(w[k:k + SHINGLE]) for k in range(len(w) - SHINGLE + 1)}
+        size = 1 << (2 * len(grams) - 1).bit_length()
+        named = [[g for g in grams.values() if f" {name} " in f" {g} "] for name in (names[0] if names else ())]
+        out.templates.append((tid, license_, size, list(grams.values()), named))
+        by_spot = defaultdict(list)
+        for band in range(BANDS):
+            by_spot[min(grams, key=lambda h: _in_band(h, band))].append(band)
+        spots |= {(h, size) for h in by_spot}
+        out.bands += [(h, size, tid, bands) for h, bands in by_spot.items()]
+    out.spots = sorted(spots)
+    out.phrases = sorted(set(out.phrases))
+    out.first_words = sorted(set(out.first_words))
+    if len(out.bands) > MOST_ROWS:
+        raise ValueError(f"{len(out.bands)} rows of compiled templates are too many to send to every task; scan for fewer at a time")
+    return out
+
+
+def _literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of a small table, from one literal."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    fields = ",".join(c.replace(" ", ":", 1) for c in schema.split(", "))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{fields}>>")))
 
 
 def words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
-def _per_shingle(w: Column, make) -> Column:
-    """``make(k)`` of every shingle's first word index k, from 0."""
-    n = F.size(w) - SHINGLE
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), make)).otherwise(F.array())
-
-
-def shingle_hashes(w: Column) -> Column:
-    return _per_shingle(w, lambda k: F.xxhash64(*[F.get(w, k + i) for i in range(SHINGLE)]))
-
-
-def shingles(w: Column) -> Column:
-    return F.array_distinct(_per_shingle(w, lambda k: F.concat_ws(" ", F.slice(w, k + 1, SHINGLE))))
-
-
-def signature(grams: Column) -> Column:
-    """``BANDS`` MinHash values of a shingle set."""
-    def seeded(k: int):
-        return lambda g: F.xxhash64(g, F.lit(k))
-
-    return F.array(*[F.array_min(F.transform(grams, seeded(k))) for k in range(BANDS)])
-
+def _gram_hash(w: str, n: int) -> str:
+    return f"xxhash64({', '.join(f'get({w}, i + {k})' for k in range(n))})"
 
-def _found(docs: DataFrame, templates: DataFrame, containment: float) -> DataFrame:
-    """Verified windows: doc_id, _row (hash of the text), license, _tid, _size, _start, _at (shingles matched), containment."""
-    names = F.col("names") if "names" in templates.columns else F.array().cast("array<string>")
-    t = templates.select("license", words(F.col("text")).alias("_w"), names.alias("_names"))
-    t = t.withColumn("own", shingles(F.col("_w"))).where(F.size("own") > 0).select(
-        "license", "_w", "_names", "own", F.xxhash64("license", "_w", "_names").alias("_tid"),
-        F.pow(F.lit(2.0), F.ceil(F.log2(2.0 * F.size("own")))).cast("int").alias("_size"))
 
-    def has_names(k: Column) -> Column:  # bits of the naming words in the shingle from word k
-        text = F.concat(F.lit(" "), F.concat_ws(" ", F.slice("_w", k + 1, SHINGLE)), F.lit(" "))
-        held = F.transform("_names", lambda n, i: F.when(text.contains(F.concat(F.lit(" "), n, F.lit(" "))), F.pow(F.lit(2.0), i)).otherwise(0.0))
-        return F.aggregate(held, F.lit(0.0), lambda a, b: a + b).cast("bigint")
+def _spots(w: str, n: int, wanted: list[int]) -> Column:
+    """(at, h) of the places of the words ``w`` whose n-word hash is wanted."""
+    listed = ", ".join(f"{h}L" if h != -(2**63) else "(-9223372036854775807L - 1L)" for h in wanted)
+    every = f"transform(sequence(0, size({w}) - {n}), i -> struct(i as at, {_gram_hash(w, n)} as h))"
+    return F.expr(f"case when size({w}) >= {n} then filter({every}, x -> {f'x.h in ({listed})' if wanted else 'false'}) else array() end")
 
-    grams = _per_shingle(F.col("_w"), lambda k: F.struct(F.xxhash64(*[F.get("_w", k + i) for i in range(SHINGLE)]).alias("_t_hash"), has_names(k).alias("_bits")))
-    least = (F.size("own") * F.lit(containment) - 1e-6).alias("_least")
-    all_names = (F.pow(F.lit(2.0), F.size("_names")) - 1).cast("bigint").alias("_all")
-    wanted = t.select("_tid", "_size", least, all_names, F.inline(grams)).groupBy("_t_hash", "_tid", "_size", "_least", "_all").agg(
-        F.bit_or("_bits").alias("_bits"))
-    banded = t.select("license", "own", "_tid", signature(F.col("own")).alias("_t_sig")).distinct()
 
+def candidates(docs: DataFrame, compiled: Compiled) -> DataFrame:
+    """Windows that collide with a template in a band: doc_id, _row (hash of the text), tid, _start, _window (its words)."""
+    spark = docs.sparkSession
     d = docs.select("doc_id", F.xxhash64("text").alias("_row"), words(F.col("text")).alias("_words"))
-    hits = d.select("doc_id", "_row", F.posexplode(shingle_hashes(F.col("_words"))).alias("_pos", "_hash")).join(
-        wanted, F.col("_hash") == F.col("_t_hash"))
-    half = (F.col("_size") / 2).cast("int")
-    last = F.floor(F.col("_pos") / half).cast("int") * half
-    starts = F.when(last > 0, F.array(last - half, last)).otherwise(F.array(last))
-    spots = (
-        hits.select("doc_id", "_row", "_tid", "_size", "_least", "_all", "_bits", "_hash", "_pos", F.explode(starts).alias("_start"))
-        .groupBy("doc_id", "_row", "_tid", "_size", "_start", "_least", "_all")
-        .agg(F.collect_set("_hash").alias("_hashes"), F.collect_set("_pos").alias("_at"), F.bit_or("_bits").alias("_bits"))
-        .where((F.size("_hashes") >= F.col("_least")) & (F.col("_bits") == F.col("_all")))
-        .groupBy("doc_id", "_row", "_size", "_start").agg(F.collect_list(F.struct("_tid", "_at")).alias("_spots"))
-    )
-    own = spots.select(F.col("doc_id").alias("_id"), F.col("_row").alias("_r"), "_size", "_start", "_spots")
-    windows = (
-        d.join(own, (F.col("_row") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select("doc_id", "_row", "_size", "_start", "_spots", F.slice("_words", F.col("_start") + 1, F.col("_size") + SHINGLE - 1).alias("_window"))
-        .withColumn("_grams", shingles(F.col("_window")))
-        .withColumn("_sig", signature(F.col("_grams")))
-    )
-    collide = F.exists(F.zip_with("_sig", "_t_sig", lambda a, b: a == b), lambda same: same)
-    share = F.size(F.array_intersect("_grams", "own")) / F.greatest(F.size("own"), F.lit(1))
-    return (
-        windows.select("doc_id", "_row", "_size", "_start", "_grams", "_sig", F.inline("_spots"))
-        .join(banded, "_tid").where(collide)
-        .select("doc_id", "_row", "license", "_tid", "_size", "_start", "_at", share.alias("containment"))
-        .where(F.col("containment") >= containment)
-    )
+    at = d.select("doc_id", "_row", "_words", F.inline(_spots("_words", SHINGLE, sorted({h for h, _ in compiled.spots})))).withColumnsRenamed(
+        {"at": "_pos", "h": "_h"})
+    sizes = F.broadcast(_literal(spark, compiled.spots, "spot bigint, size int"))  # bounded by MOST_ROWS
+    at = at.join(sizes, F.col("_h") == F.col("spot")).withColumn("_half", (F.col("size") / 2).cast("int"))
+    last = F.floor(F.col("_pos") / F.col("_half")).cast("int") * F.col("_half")
+    at = at.withColumn("_start", F.explode(F.when(last > 0, F.array(last - F.col("_half"), last)).otherwise(F.array(last))))
+    windows = at.select("doc_id", "_row", "_h", F.col("size").alias("_size"), "_start",
+                        F.slice("_words", F.col("_start") + 1, F.col("size") + SHINGLE - 1).alias("_window"))
+    bands = F.broadcast(_literal(spark, compiled.bands, "spot bigint, size int, tid int, bands array<int>"))
+    met = windows.join(bands, (F.col("_h") == F.col("spot")) & (F.col("_size") == F.col("size")))
+    hashes = f"transform(sequence(0, size(_window) - {SHINGLE}), i -> {_gram_hash('_window', SHINGLE)})"
+    smallest = f"exists(bands, b -> forall({hashes}, x -> xxhash64(b, x) >= xxhash64(b, _h)))"
+    return met.where(F.expr(smallest)).select("doc_id", "_row", "tid", "_start", "_window")
+
+
+def _found(docs: DataFrame, compiled: Compiled, containment: float) -> DataFrame:
+    """Verified windows: doc_id, _row, license, _tid, _size, _start, _at (places of the matched shingles), containment."""
+    spark = docs.sparkSession
+    facts = F.broadcast(_literal(spark, compiled.templates, "tid int, license string, size int, own array<string>, named array<array<string>>"))
+    grams = f"transform(sequence(0, size(_window) - {SHINGLE}), i -> struct(i as i, concat_ws(' ', slice(_window, i + 1, {SHINGLE})) as g))"
+    seen = candidates(docs, compiled).join(facts, "tid").withColumn("_grams", F.expr(grams))
+    seen = seen.withColumn("_both", F.array_intersect("own", F.expr("transform(_grams, x -> x.g)")))
+    share = F.size("_both") / F.size("own")
+    at = F.expr("transform(filter(_grams, x -> array_contains(_both, x.g)), x -> x.i + _start)")
+    verified = seen.where((share >= containment - 1e-9) & F.expr("forall(named, n -> arrays_overlap(n, _both))")).select(
+        "doc_id", "_row", "license", F.col("tid").alias("_tid"), F.col("size").alias("_size"), "_start", at.alias("_at"), share.alias("containment"))
+    # a window that collides by several shingles is one
+    key = [c for c in verified.columns if c not in ("_at", "containment")]
+    found = verified.groupBy(*key).agg(F.first("_at").alias("_at"), F.first("containment").alias("containment"))
+    if compiled.phrases:
+        found = found.unionByName(_phrases(docs, compiled))
+    return found
+
+
+def _phrases(docs: DataFrame, compiled: Compiled) -> DataFrame:
+    """Phrases of fewer words than a shingle, matched whole; only texts that hold a first word are looked at."""
+    spark = docs.sparkSession
+    d = docs.where(F.lower("text").rlike("|".join(compiled.first_words))).select(
+        "doc_id", F.xxhash64("text").alias("_row"), words(F.col("text")).alias("_words"))
+    lengths = sorted({n for _, n, _ in compiled.phrases})
+
+    def of_length(n: int) -> Column:
+        return F.transform(_spots("_words", n, [h for h, m, _ in compiled.phrases if m == n]), lambda x: F.struct(x["at"], x["h"], F.lit(n).alias("n")))
+
+    every = F.concat(*[of_length(n) for n in lengths])
+    known = F.broadcast(_literal(spark, compiled.phrases, "phrase bigint, length int, license string"))
+    at = d.select("doc_id", "_row", F.inline(every)).join(known, (F.col("h") == F.col("phrase")) & (F.col("n") == F.col("length")))
+    return at.select("doc_id", "_row", "license", (-F.col("length")).alias("_tid"), F.col("length").alias("_size"), F.col("at").alias("_start"),
+                     F.array("at").alias("_at"), F.lit(1.0).alias("containment")).distinct()
 
 
 def _licenses(found: DataFrame) -> DataFrame:
@@ -154,14 +197,14 @@ def _licenses(found: DataFrame) -> DataFrame:
         F.min("_start").cast("long").alias("first_word"))
 
 
-def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, license, containment, n_windows, first_word) of every template found."""
-    return _licenses(_found(docs, templates, containment))
+def scan(docs: DataFrame, templates, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, license, containment, n_windows, first_word) of every template found; ``templates``: (license, text[, naming words])."""
+    return _licenses(_found(docs, compile_templates(templates), containment))
 
 
-def report(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+def report(docs: DataFrame, templates, containment: float = CONTAINMENT) -> DataFrame:
     """As ``scan``, but each place goes to the license that fits it best."""
-    at = _found(docs, templates, containment).withColumn("_n", F.size("_at")).withColumn("_pos", F.explode("_at"))
+    at = _found(docs, compile_templates(templates), containment).withColumn("_n", F.size("_at")).withColumn("_pos", F.explode("_at"))
     best = Window.partitionBy("doc_id", "_row", "_pos").orderBy(F.desc("_n"), F.desc("containment"), "license")
     won = at.withColumn("_won", (F.first("license").over(best) == F.col("license")).cast("int"))
     held = won.groupBy("doc_id", "_row", "license", "_tid", "_size", "_start", "containment").agg(F.avg("_won").alias("_share"))
@@ -169,4 +212,4 @@ def report(docs: DataFrame, templates: DataFrame, containment: float = CONTAINME
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(table(spark, sf_dir, "documents"), named_table(spark))
+    return report(table(spark, sf_dir, "documents"), license_templates())

@@ -86,6 +86,13 @@ def _phrase(text: str) -> tuple[str, ...]:
     return tuple(" ".join(w[k:k + 5]) for k in range(max(1, len(w) - 4)))
 
 
+def spdx_tags() -> list[tuple[str, str]]:
+    """(license, tag) of the licenses of this table."""
+    named = {f.stem for f in FOLDER.glob("*.txt")} | {n for n, _, _ in _GNU} | set(_CALLED) | {f"{n}-{v}" for n, _, _ in _CC for v in _CC_AREA}
+    gnu = {n for n in named if n.startswith(("GPL", "LGPL", "AGPL", "GFDL"))}
+    return sorted([(n, n) for n in named - {"BSD"}] + [(n, f"{n}-{end}") for n in gnu for end in ("only", "or-later")])
+
+
 def license_templates() -> list[tuple[str, str, tuple[str, ...]]]:
     """(license, text, naming words) of all templates."""
     out = [(f.stem, f.read_text(encoding="utf-8"), NAMING.get(f.stem, ())) for f in sorted(FOLDER.glob("*.txt"))]
@@ -108,4 +115,5 @@ def license_templates() -> list[tuple[str, str, tuple[str, ...]]]:
                 out += [(license_, f"{begin} {article} {words} License", own) for begin in (*_BEGIN, "This work is licensed under") for article in ("a", "the")]
                 out += [(license_, f"{words} Public License", own)]
             out += [(license_, f"{begin}{article} CC {short} {version}{end}", brief) for begin in _BEGIN for article in ("", " a", " the") for end in ("", " license")]
+    out += [(name, f"SPDX-License-Identifier: {tag}", _phrase(tag)) for name, tag in spdx_tags()]
     return list(dict.fromkeys(out + list(_OTHER)))
