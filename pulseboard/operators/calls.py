@@ -17,7 +17,7 @@ from ..config import INCOMPLETE_QUALITY
 from ..functions.dates import Anchors
 from ..functions.numeric import round_half_up
 from ..sources import Sources
-from .common import in_window
+from .common import MANY_ANCHORS, difference_events, frame_figures, in_window, running_sums
 from .partials import Partials
 
 SUBS = ("sub_1", "sub_2", "sub_3", "sub_4")
@@ -77,8 +77,11 @@ def call_partials(daily: DataFrame, anchors: Anchors, days: int = 30, include_an
         for part, how in (("s", "sum"), ("lo", "min"), ("hi", "max")):
             columns.append(F.col(f"{part}_{m}").alias(f"_call_{part}_{m}"))
             merge[f"_call_{part}_{m}"] = how
-    w = in_window(daily, anchors, "conv_date", -days, 0, end_inclusive=include_anchor_day)
-    return Partials(w.select("anchor", "rep", *columns), merge, finish)
+    if len(anchors.dates) < MANY_ANCHORS:
+        w = in_window(daily, anchors, "conv_date", -days, 0, end_inclusive=include_anchor_day)
+        return Partials(w.select("anchor", "rep", *columns), merge, finish)
+    rows = frame_figures(daily.select("rep", "conv_date", *columns), anchors, "rep", "conv_date", -days, 0 if include_anchor_day else -1, merge)
+    return Partials(rows.where(F.col("_call_n") > 0), merge, finish)
 
 
 def call_metrics_prev(src: Sources, allow: DataFrame, anchors: Anchors, days: int = 30,
@@ -91,8 +94,13 @@ def call_metrics_prev(src: Sources, allow: DataFrame, anchors: Anchors, days: in
 
 def call_prev_partials(daily: DataFrame, anchors: Anchors, days: int = 30, history_days: int = 60) -> Partials:
     """``call_metrics_prev`` from ``daily_partials``."""
-    w = in_window(daily, anchors, "conv_date", -history_days, -days)
-    rows = w.select("anchor", "rep", F.col("n").alias("_prev_n"), F.col("s_score").alias("_prev_s"))
+    figures = ["_prev_n", "_prev_s"]
+    daily = daily.select("rep", "conv_date", F.col("n").alias("_prev_n"), F.col("s_score").alias("_prev_s"))
+    if len(anchors.dates) < MANY_ANCHORS:
+        rows = in_window(daily, anchors, "conv_date", -history_days, -days).select("anchor", "rep", *figures)
+    else:
+        events = difference_events(daily, anchors, "conv_date", -history_days, -days, ["rep"], figures)
+        rows = running_sums(events, anchors, "rep", "_at", figures).where(F.col("_prev_n") > 0)
     return Partials(rows, {"_prev_n": "sum", "_prev_s": "sum"}, {
         "prev_avg_call_score": round_half_up(F.col("_prev_s").cast("double") / F.col("_prev_n"), 1)})
 

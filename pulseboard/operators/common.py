@@ -42,6 +42,45 @@ def in_window(df: DataFrame, anchors: Anchors, day_col: str, start: int, end: in
     return df.withColumn("anchor", F.explode(F.sequence(first, last))).join(a, "anchor")
 
 
+#: Anchors from which a windowed metric is no longer computed by copying each row to the days of its window.
+MANY_ANCHORS = 8
+
+
+def running_sums(events: DataFrame, anchors: Anchors, key: str, at: str, sums: list[str]) -> DataFrame:
+    """(anchor, ``key``, *sums): what the events up to and on each anchor add up to.
+
+    A row that counts in a window of days is two events, +n on the first anchor that
+    sees it and -n after the last, whatever the window's length; one pass per key in
+    date order sums them up. A key holds its events and one row per anchor."""
+    probes = per_anchor(events.select(key).distinct(), anchors).select(key, F.col("anchor").alias("_at"), F.lit(True).alias("_probe"))
+    rows = events.select(key, F.col(at).alias("_at"), F.lit(False).alias("_probe"), *sums).unionByName(probes, allowMissingColumns=True)
+    w = Window.partitionBy(key).orderBy("_at", "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.select(key, "_at", "_probe", *[F.sum(c).over(w).alias(c) for c in sums]).where("_probe")
+    return summed.select(F.col("_at").alias("anchor"), key, *sums)
+
+
+def difference_events(df: DataFrame, anchors: Anchors, day_col: str, start: int, end: int, keep: list[str], sums: list[str]) -> DataFrame:
+    """The events (*keep, _at, *sums) of rows that count for anchors with ``anchor + start <= day < anchor + end``."""
+    d = F.col(day_col)
+    df = df.where((d >= F.lit(anchors.lo + _days(start))) & (d < F.lit(anchors.hi + _days(end))))
+    enter = F.struct(F.greatest(F.date_sub(d, end - 1), F.lit(anchors.lo)).alias("_at"), *[F.col(c) for c in sums])
+    leave = F.struct(F.date_add(d, 1 - start).alias("_at"), *[(-F.col(c)).alias(c) for c in sums])
+    return df.select(*keep, F.inline(F.array(enter, leave))).where(F.col("_at") <= F.lit(anchors.hi))
+
+
+def frame_figures(df: DataFrame, anchors: Anchors, key: str, day_col: str, start: int, end: int, figures: dict[str, str]) -> DataFrame:
+    """(anchor, ``key``, *figures) over ``anchor + start <= day <= anchor + end``, for figures that cannot be subtracted (min, max):
+    one range frame per anchor over the rows of its key in date order, instead of a copy of each row for every anchor."""
+    d = F.col(day_col)
+    df = df.where((d >= F.lit(anchors.lo + _days(start))) & (d <= F.lit(anchors.hi + _days(end))))
+    probes = per_anchor(df.select(key).distinct(), anchors).select(key, F.col("anchor").alias("_at"), F.lit(True).alias("_probe"))
+    rows = df.select(key, d.alias("_at"), F.lit(False).alias("_probe"), *figures).unionByName(probes, allowMissingColumns=True)
+    w = Window.partitionBy(key).orderBy(F.unix_date("_at")).rangeBetween(start, end)
+    merge = {"sum": F.sum, "min": F.min, "max": F.max}
+    out = rows.select(key, "_at", "_probe", *[merge[how](c).over(w).alias(c) for c, how in figures.items()]).where("_probe")
+    return out.select(F.col("_at").alias("anchor"), key, *figures)
+
+
 def ts_bounds(ts_col: str, lo: dt.date, hi: dt.date) -> Column:
     """``lo <= ts < hi`` on a timestamp column with date bounds at midnight.
 

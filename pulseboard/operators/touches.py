@@ -21,7 +21,7 @@ from ..functions.dates import Anchors, is_business_day
 from ..functions.numeric import round_half_up
 from ..functions.text import ilike_any
 from ..sources import Sources
-from .common import in_window, runs_of_days, ts_bounds
+from .common import MANY_ANCHORS, difference_events, in_window, running_sums, runs_of_days, ts_bounds
 from .partials import Partials
 
 TOUCH_COLS = ("day", "rep", "org", "source_id", "channel", "qualifies")
@@ -135,7 +135,13 @@ def rep_days(td: DataFrame) -> DataFrame:
 
 def touch_rate_partials(rd: DataFrame, anchors: Anchors, days: int = 30) -> Partials:
     """``touch_rate`` from ``rep_days``; null without a touch or an active weekday."""
-    rows = windowed(rd, anchors, days).select("anchor", "rep", F.col("n_q").alias("_touch_n"), is_business_day("day").cast("int").alias("_touch_days"))
+    figures = ["_touch_n", "_touch_days"]
+    rd = rd.select("rep", "day", F.col("n_q").alias("_touch_n"), is_business_day("day").cast("int").alias("_touch_days"))
+    if len(anchors.dates) < MANY_ANCHORS:
+        rows = windowed(rd, anchors, days).select("anchor", "rep", *figures)
+    else:
+        rows = running_sums(difference_events(rd, anchors, "day", -days, 0, ["rep"], figures), anchors, "rep", "_at", figures)
+        rows = rows.where((F.col("_touch_n") != 0) | (F.col("_touch_days") != 0))
     n, active = F.col("_touch_n").cast("long"), F.col("_touch_days").cast("double")
     counted = (n > 0) & (active > 0)
     return Partials(rows, {"_touch_n": "sum", "_touch_days": "sum"}, {
