@@ -81,6 +81,21 @@ def ensure_columns(df: DataFrame, spec=SNAPSHOT_SPEC) -> DataFrame:
     return df
 
 
+def check_table_columns(spark: SparkSession, table: str, cols) -> list[str]:
+    """Columns of ``cols`` missing from a catalog table (case-insensitive), in order."""
+    have = {c.name.lower() for c in spark.catalog.listColumns(table)}
+    return [c for c in cols if c.lower() not in have]
+
+
+def ensure_table_columns(spark: SparkSession, table: str, spec=SNAPSHOT_SPEC) -> list[str]:
+    """ALTER TABLE ADD COLUMNS for the missing columns of ``spec``; returns them. Stored rows
+    read as null there, nothing is rewritten; a second run finds nothing to add."""
+    types, missing = dict(spec), check_table_columns(spark, table, [n for n, _ in spec])
+    if missing:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{n}` {types[n].simpleString()}' for n in missing)})")
+    return missing
+
+
 def conform(df: DataFrame, spec=SNAPSHOT_SPEC) -> DataFrame:
     """Exactly the ``spec`` columns, in order, cast to their stored types
     (the average call score column has scale 0, so it is rounded on store)."""

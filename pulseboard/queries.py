@@ -520,6 +520,19 @@ def q_check_columns(spark, sf):
     return n.select(F.explode(F.array(*map(F.lit, missing))).alias("column_name"), "rows_to_fill")
 
 
+@query("ensure_columns_table", "select * from snap_c")
+def q_ensure_columns_table(spark, sf):
+    """The given snapshots as a catalog table: its missing columns are added there, and it is read back by name."""
+    snaps, name = load_fixture_sources(spark, sf).snapshots, f"pb_snapshots_{uuid.uuid4().hex}"
+    # outside the warehouse, so that dropping the name leaves the files to the returned rows
+    snaps.write.option("path", _store(spark, "table")).saveAsTable(name)
+    try:
+        HS.ensure_table_columns(spark, name)
+        return spark.table(name).select(*[F.col(n).cast(t).alias(n) for n, t in HS.SNAPSHOT_SPEC])
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 _TABLES = ("roster", "actions", "calls_a", "calls_b", "book", "accounts", "contracts", "cases", "scores_1", "scores_2",
            "scores_3", "scores_4", "tasks", "signals")
 

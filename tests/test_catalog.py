@@ -38,3 +38,26 @@ def test_check_sources_reports_missing_columns(spark):
     broken = fx.__class__(**{**fx.__dict__, "actions": fx.actions.drop("closed_at"), "tasks": fx.tasks.drop("slug")})
     with pytest.raises(ValueError, match="actions: missing closed_at; tasks: missing slug"):
         check_sources(broken)
+
+
+def test_columns_of_a_catalog_table(spark):
+    import tempfile
+
+    from pulseboard.plans import history as HS
+
+    spark.sql("DROP TABLE IF EXISTS pb_old_snapshots")
+    rows = spark.createDataFrame([("1998-06-16", "a", 0.5)], "snapshot_date string, REP string, composite_score double")
+    rows.selectExpr("cast(snapshot_date as date) as snapshot_date", "REP", "composite_score").write.option(
+        "path", tempfile.mkdtemp(prefix="pb-table-") + "/t").saveAsTable("pb_old_snapshots")
+    try:
+        names = [n for n, _ in HS.SNAPSHOT_SPEC]
+        missing = HS.check_table_columns(spark, "pb_old_snapshots", names)
+        assert missing == [n for n in names if n not in ("snapshot_date", "rep", "composite_score")]
+        assert HS.ensure_table_columns(spark, "pb_old_snapshots") == missing
+        assert HS.ensure_table_columns(spark, "pb_old_snapshots") == []
+        row = spark.table("pb_old_snapshots").first()
+        assert row.composite_score == 0.5 and row.daily_ar_count is None
+        HS.conform(spark.table("pb_old_snapshots")).write.insertInto("pb_old_snapshots")  # takes rows in the new form
+        assert spark.table("pb_old_snapshots").count() == 2
+    finally:
+        spark.sql("DROP TABLE pb_old_snapshots")
