@@ -10,8 +10,10 @@ parent; a search follows only the edges from ``d - radius`` to ``d + radius``.
 
 The shard trees reach their queries by a shuffle, not by a broadcast: sending
 all trees through the driver would gather the fingerprints of all documents
-there. Shards over ``SPLIT`` fingerprints are split once more by the same rule
-over their other bits, so a group of near copies spreads over many trees. A
+there. The members of a shard agree on its bits, so matches differ in the other
+bits only: a shard over ``SPLIT`` fingerprints is cut by ``radius + 1`` strips of
+the bits that it leaves free (a match agrees on one of them at least), and this is
+repeated while a part is too large, so a group of near copies spreads over many trees. A
 tree yields the links that join its members into components (a star each), not
 all pairs; stars of all shards are merged by alternating large-star and
 small-star steps, each written to the shared folder.
@@ -37,7 +39,7 @@ from ..session import written
 from .common import table
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-#: Fingerprints in a shard beyond which it is split by more of its bits.
+#: Fingerprints in a shard beyond which it is split by the bits that it leaves free.
 SPLIT = 2048
 
 
@@ -145,26 +147,48 @@ def _with_end(batches: Iterator) -> Iterator:
     yield None
 
 
-def _keys(fp: Column, shifts: list[tuple[int, int]], take: int, base: Column | None = None) -> Column:
-    """One hashed shard key for every ``take`` of the segments (shift, bits) of a fingerprint."""
-    segment = [F.shiftrightunsigned(fp, s).bitwiseAND((1 << n) - 1) for s, n in shifts]
-    parts = [] if base is None else [base]
-    return F.array(*[F.xxhash64(*parts, F.lit(i), *[segment[k] for k in c]) for i, c in enumerate(combinations(range(len(shifts)), take))])
+def _signed(mask: int) -> int:
+    return mask - 2**64 if mask >= 2**63 else mask
+
+
+def _cut(bits: list[int], n: int) -> list[int]:
+    """Masks of ``n`` nearly equal runs of ``bits``."""
+    at = [len(bits) * i // n for i in range(n + 1)]
+    return [sum(1 << x for x in bits[p:q]) for p, q in zip(at, at[1:])]
+
+
+def _parts(parts: list[tuple[int, int]], key: list[Column]) -> Column:
+    """A (key, fixed bits) struct for each (mask of the bits in the key, mask of all bits that its members agree on)."""
+    fp = F.col("_fp")
+    return F.array(*[F.struct(F.xxhash64(*key, F.lit(i), fp.bitwiseAND(F.lit(_signed(m)).cast("long"))).alias("_key"),
+                              F.lit(_signed(fixed)).cast("long").alias("_fixed")) for i, (m, fixed) in enumerate(parts)])
+
+
+def shards(fps: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
+    """(_fp, _key): each of the distinct ``fps`` in every shard that may hold a match of it; shards of one are left out."""
+    segments = _cut(list(range(64)), radius + 2)
+    masks = [a | b for a, b in combinations(segments, 2)]
+    out = fps.select("_fp", F.inline(_parts([(m, m) for m in masks], [])))
+    while True:
+        sizes = written(out.groupBy("_key").count().where("count > 1"), "simhash-sizes")  # a fingerprint alone in its shard has no link there
+        out = out.join(sizes, "_key")
+        if sizes.where(F.col("count") > split).isEmpty():
+            return out.select("_fp", "_key")
+        strips = {m: _cut([b for b in range(64) if not m >> b & 1], radius + 1) for m in masks}
+        whole = F.array(F.struct("_key", "_fixed"))
+        finer = whole
+        for m, own in strips.items():
+            if m != 2**64 - 1:
+                finer = F.when(F.col("_fixed") == F.lit(_signed(m)).cast("long"), _parts([(x, m | x) for x in own], [F.col("_key")])).otherwise(finer)
+        again = F.when(F.col("count") > split, finer).otherwise(whole)
+        out = written(out.select("_fp", F.inline(again)), "simhash-shards")
+        masks = sorted({m | x for m, own in strips.items() for x in own} | set(masks))
 
 
 def links(fps: DataFrame, radius: int = RADIUS, split: int = SPLIT) -> DataFrame:
     """Star links (u, v) that join all of the distinct ``fps`` (_fp) at ``radius`` or fewer differing bits."""
-    n = radius + 2
-    cuts = [64 * i // n for i in range(n + 1)]
-    shards = fps.select("_fp", F.explode(_keys(F.col("_fp"), list(zip(cuts, (b - a for a, b in zip(cuts, cuts[1:])))), 2)).alias("_key"))
-    sizes = shards.groupBy("_key").count().where("count > 1")  # a fingerprint alone in its shard has no link there
-    shards = shards.join(sizes, "_key")
-    # every segment cut into radius + 1 strips across all segments: matches agree on at least one strip of all bits
-    m = radius + 1
-    fine = [64 * i // m for i in range(m + 1)]
-    strips = _keys(F.col("_fp"), list(zip(fine, (b - a for a, b in zip(fine, fine[1:])))), 1, F.col("_key"))
-    shards = shards.select("_fp", F.explode(F.when(F.col("count") > split, strips).otherwise(F.array("_key"))).alias("_key"))
-    found = shards.repartition("_key").sortWithinPartitions("_key", "_fp").mapInArrow(_search(radius), "u long, v long")
+    dealt = shards(fps, radius, split)
+    found = dealt.repartition("_key").sortWithinPartitions("_key", "_fp").mapInArrow(_search(radius), "u long, v long")
     return written(found.distinct(), "simhash-links")
 
 

@@ -83,6 +83,17 @@ def test_links_of_a_large_group_of_near_fingerprints(spark):
         assert {frozenset(v) for v in got.values()} == {frozenset(v) for v in want.values()}
 
 
+def test_large_shards_are_split_by_their_free_bits(spark):
+    """Fingerprints that agree on half of their bits: two of three strips of all bits would not tell them apart."""
+    rng = random.Random(7)
+    for fixed in (range(32), range(16, 48), [*range(16), *range(48, 64)]):
+        mask = sum(1 << b for b in fixed)
+        fps = {rng.getrandbits(64) & ~mask | 0x5A5A5A5A5A5A5A5A & mask for _ in range(3000)}
+        df = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "_fp long")
+        largest = simhash.shards(df, split=200).groupBy("_key").count().agg({"count": "max"}).first()[0]
+        assert largest is None or largest <= 200
+
+
 def test_tree_finds_all_within_the_radius():
     rng = random.Random(4)
     fps = [rng.getrandbits(12) for _ in range(400)]
