@@ -12,7 +12,9 @@ merged into one run of the next. At the end the runs are merged, and hashes of
 at least ``MIN_DOCS`` documents lose their lines outside the keeper.
 
 A line that a third of all documents hold is one row per hash after the
-map-side sums. The texts are then joined with their own few hashes to drop.
+map-side sums. The texts are then joined with their own few hashes to drop, by
+id and text: a list never holds more than one text's lines, whatever the number
+of rows that share an id or have none.
 
 Cases: a null text is one empty line; documents are told apart by id, so rows
 that repeat an id count as one document and all keep or lose the line together;
@@ -29,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..session import written
 from .common import table
@@ -36,6 +39,8 @@ from .common import table
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Batches of ids, and runs of a level that are merged into one of the next.
 BATCHES, FANOUT = 4, 2
+#: Ids that set the batches' bounds where ids are not numbers.
+SAMPLE = 10_000
 
 _SPACE = b" \t\n\r\x0b\x0c"
 
@@ -95,7 +100,7 @@ class LineRuns:
 
 
 def references(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(key, id, id_is_null), one row per document row and distinct key."""
+    """(key, id, th: hash of the text), one row per document row and distinct key."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,25 +110,36 @@ def references(docs: DataFrame, min_chars: int) -> DataFrame:
                 own = {h for line in (t.as_py() or b"").split(b"\n") if len(line) >= min_chars and (h := line_hash(line, min_chars))}
                 keys += own
                 at += [i] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), b.column("id").take(pa.array(at, pa.int64()))], names=["key", "id"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), b.column("id").take(rows), b.column("th").take(rows)], names=["key", "id", "th"])
 
-    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("_text"))
-    return rows.mapInArrow(run, f"key binary, id {id_type}")
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("_text"))
+    return rows.mapInArrow(run, f"key binary, id {id_type}, th long")
+
+
+def _cuts(refs: DataFrame, batches: int) -> list:
+    """Ids, descending, that cut the references into batches of about equal size; from a bounded sample if ids are not numbers."""
+    shares = [k / batches for k in range(batches - 1, 0, -1)]
+    if isinstance(refs.schema["id"].dataType, NumericType):
+        return refs.approxQuantile("id", shares, 0.01) if shares else []
+    sample = refs.select("id").where("id is not null").orderBy(F.xxhash64("id", "key")).limit(SAMPLE).collect()
+    ids = sorted(r.id for r in sample)
+    return [ids[int(len(ids) * s)] for s in shares] if ids else []
 
 
 def drop_lists(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None) -> DataFrame:
-    """(id, drop): the hashes whose lines a document loses."""
-    batches = batches or BATCHES
-    refs = written(references(docs, min_chars).distinct(), "line-refs")
-    cuts = refs.approxQuantile("id", [k / batches for k in range(batches - 1, 0, -1)], 0.01) if batches > 1 else []
+    """(id, th, drop): the hashes whose lines the rows of an id and text lose, at most those that the text has."""
+    refs = written(references(docs, min_chars), "line-refs")
+    cuts = _cuts(refs, batches or BATCHES)
     runs, above = LineRuns(docs.sparkSession, refs.schema["id"].dataType.simpleString()), None
     for low in [*dict.fromkeys(cuts), None]:
-        part = refs if above is None else refs.where((F.col("id") < above) | F.col("id").isNull())
-        runs.add(part if low is None else part.where(F.col("id") >= low))
+        part = refs if above is None else refs.where((F.col("id") < F.lit(above)) | F.col("id").isNull())
+        part = part if low is None else part.where(F.col("id") >= F.lit(low))
+        runs.add(part.select("key", "id").distinct())  # rows that repeat an id are one document
         above = low
     frequent = written(runs.rows().where(F.col("docs") >= min_docs), "line-frequent")
     lost = refs.join(frequent, "key").where(~F.col("id").eqNullSafe(F.col("keeper.id")))
-    return lost.groupBy("id").agg(F.collect_list("key").alias("drop"))
+    return lost.groupBy("id", "th").agg(F.collect_set("key").alias("drop"))
 
 
 def _split(text: bytes, drop: set[bytes], min_chars: int) -> tuple[int, list[bytes]]:
@@ -137,8 +153,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """``docs`` without the repeated lines, or with ``digest`` doc_id, n_lines, n_dropped and kept_sha256 per row."""
     drops = drop_lists(docs, min_chars, min_docs)
     cols = ["doc_id"] if digest else docs.columns
-    named = docs.select(*[F.col(c).alias(f"_doc_{c}") for c in cols], F.col("text").cast("binary").alias("_text"))
-    rows = named.join(drops, F.col("_doc_doc_id").eqNullSafe(F.col("id")), "left").drop("id")
+    named = docs.select(*[F.col(c).alias(f"_doc_{c}") for c in cols], F.xxhash64("text").alias("_th"), F.col("text").cast("binary").alias("_text"))
+    rows = named.join(drops, F.col("_doc_doc_id").eqNullSafe(F.col("id")) & (F.col("_th") == F.col("th")), "left").drop("id", "th", "_th")
     out = "_doc_doc_id " + docs.schema["doc_id"].dataType.simpleString() + ", n_lines long, n_dropped long, kept_sha256 string"
     if not digest:
         out = docs.select(*[F.col(c).alias(f"_doc_{c}") for c in cols]).schema
