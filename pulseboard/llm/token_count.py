@@ -1,11 +1,12 @@
 """Token counts by a compiled byte-level BPE: a state machine over characters, merged chunk by chunk.
 
-Two deterministic transducers are compiled from the tokenizer file. The first
+A deterministic transducer is compiled from the tokenizer file. It
 reads character classes and says where pieces (the stretches that merges never
 cross) begin; its transitions are annotated with the pieces they end, at the
-character itself or one before it. The second maps a piece to the tokens it
-emits; it starts from the vocabulary and is extended, piece by piece, by the
-file's merges.
+character itself or one before it. Token counts are not on its transitions: how a
+piece merges depends on the piece as a whole. They come from a table from piece
+to count, which starts empty and is filled, when a piece is first met, by the
+file's merges (a heap of neighbouring pairs).
 
 Texts of a batch are laid end to end (an end-of-text class between them resets
 the machine) and cut into chunks of ``CHUNK`` characters, which are read side
@@ -37,8 +38,8 @@ from .common import table
 LIMIT = 1024
 #: Characters in a chunk, and laid end to end at once.
 CHUNK, BATCH_CHARS = 256, 2_000_000
-#: Pieces that a worker remembers before it starts anew (costs time only).
-REMEMBERED = 1_000_000
+#: Pieces that a worker remembers before it starts anew, and their characters at most (both cost time only).
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
 
 # ---------------------------------------------------------------- pieces
 #: Character classes; the letters of English contractions have their own.
@@ -221,7 +222,9 @@ class _Known(dict):
         self.tokenizer = tokenizer
 
     def __missing__(self, piece: str) -> int:
-        n = self[piece] = self.tokenizer.piece_tokens(piece)
+        n = self.tokenizer.piece_tokens(piece)
+        if len(piece) <= REMEMBERED_CHARS:
+            self[piece] = n
         return n
 
 
