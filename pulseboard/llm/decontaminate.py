@@ -4,7 +4,9 @@ Texts and benchmark items are sequences of words (lower case, ASCII marks and Un
 punctuation as white space). Items mostly in scripts written without spaces, and items of
 under ``MIN_WORDS`` words but many code points, are sequences of characters
 instead; they have an index of their own, for which documents are read by character too
-(item_words, distance and end_word then count characters). A document holds an item if some passage of it is within
+(item_words, distance and end_word then count characters). Items that are shorter
+still are matched exactly, as a run of whole words (of characters in scripts
+without spaces). A document holds an item if some passage of it is within
 ``1 - SIMILARITY`` of the item's length in word edits (insertions, deletions,
 replacements). To find such passages, items are classed by length; a class has
 a window a little shorter than its items and a stride, so that any passage of
@@ -28,9 +30,8 @@ The benchmark is cut into blocks of about ``BLOCK_WORDS`` words; a block's index
 is what goes to the tasks. A larger benchmark takes more passes over the
 documents, one per block. Texts never move: each is judged where it is read.
 
-Cases: a null or empty text holds nothing; items of fewer than ``MIN_WORDS``
-words and ``MIN_CHARS`` characters (``MIN_UNSPACED`` in scripts without spaces)
-are no evidence and are ignored, null items too; items that repeat are
+Cases: a null or empty text holds nothing; items without a word are in no text,
+null items too; items that repeat are
 each reported; repeated rows and ids, empty tables and extra columns are
 ordinary.
 """
@@ -62,14 +63,17 @@ _PAIRS = 1 << 22
 _MARKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-_SPACED = re.compile("[" + "".join(re.escape(chr(c)) for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PZ") + "]")
+#: Code points beyond ASCII that separate words: punctuation and separators.
+_SPACED = np.array([128 <= c < 0x20000 and unicodedata.category(chr(c))[0] in "PZ" for c in range(0x110000)])
 #: Thai, Lao, Myanmar, Khmer, kana, Han.
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def words_of(text: str) -> list[bytes]:
     if not text.isascii():
-        text = _SPACED.sub(" ", text)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        if (marks := _SPACED[points]).any():
+            text = np.where(marks, np.uint32(32), points).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     return text.lower().encode().translate(_MARKS).split()
 
 
@@ -79,12 +83,16 @@ def chars_of(text: str) -> list[str]:
 
 def by_character(text: str) -> bool:
     """Is an item searched by character: few words, or mostly in a script without spaces."""
-    n, unspaced = len(chars_of(text)), len(_UNSPACED.findall(text))
-    if 2 * unspaced > n:
+    n = len(chars_of(text))
+    if unspaced(text):
         return n >= MIN_UNSPACED
     return n >= MIN_CHARS and len(words_of(text)) < MIN_WORDS
 
 
+def unspaced(text: str) -> bool:
+    return 2 * len(_UNSPACED.findall(text)) > len(chars_of(text))
+
+
 def edits_allowed(n: int) -> int:
     return math.floor((1 - SIMILARITY) * n + 1e-9)
 
@@ -234,7 +242,42 @@ class Index:
         return np.fromiter(map(self.vocab.get, w, repeat(0)), dtype=np.int64, count=len(w))
 
 
-def _chunks(texts: pa.Array, index: Index) -> Iterator[tuple[int, list[np.ndarray]]]:
+def short(text: str) -> bool:
+    """Is an item too short for either index: it is matched exactly."""
+    return 0 < len(words_of(text)) < MIN_WORDS and not by_character(text)
+
+
+class Short:
+    """Short items of one block, matched as runs of whole words (or of characters)."""
+
+    def __init__(self, rows: list[tuple[int, str]], chars: bool = False):
+        self.units = chars_of if chars else words_of
+        self.vocab: dict[bytes | str, int] = {}
+        self.items: list[tuple[int, list[int], None]] = []
+        self.by_first: dict[int, list[int]] = {}
+        for item_id, text in rows:
+            if short(text) and unspaced(text) == chars:
+                seq = [self.vocab.setdefault(x, len(self.vocab) + 1) for x in self.units(text)]
+                self.by_first.setdefault(seq[0], []).append(len(self.items))
+                self.items.append((item_id, seq, None))
+        self.firsts = np.zeros(len(self.vocab) + 1, dtype=bool)
+        self.firsts[list(self.by_first)] = True
+
+    encode = Index.encode
+
+    def hits(self, seqs: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, 0, end) of every item that a text holds, at its first place."""
+        for t, seq in enumerate(seqs):
+            seen: set[int] = set()
+            for at in np.flatnonzero(self.firsts[seq]).tolist():
+                for item in self.by_first[int(seq[at])]:
+                    own = self.items[item][1]
+                    if item not in seen and seq[at:at + len(own)].tolist() == own:
+                        seen.add(item)
+                        yield t, item, 0, at + len(own)
+
+
+def _chunks(texts: pa.Array, index: Index | Short) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(row of the first text, texts) of about ``CHUNK_WORDS`` words."""
     first, held, n = 0, [], 0
     for t in texts:
@@ -247,17 +290,20 @@ def _chunks(texts: pa.Array, index: Index) -> Iterator[tuple[int, list[np.ndarra
         yield first, held
 
 
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Index]:
+def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Index | Short]:
     """Indexes of the benchmark's blocks, one at a time."""
     items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.greatest(F.size(F.split("text", " ")), (F.length("text") / 6).cast("int")))).first()[0] or 0
     n = max(1, math.ceil(total / block_words))
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        rows = sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        rows = sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, 0 if r[0] is None else r[0], r[1]))
         yield Index(rows)
         if any(by_character(text) for _, text in rows):
             yield Index(rows, chars=True)
+        for chars in (False, True):
+            if any(short(text) and unspaced(text) == chars for _, text in rows):
+                yield Short(rows, chars)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -203,8 +203,8 @@ def test_items_without_spaces_and_short_items(spark):
              "zu kurz", "a one two three four five six seven b", "完全不同的一段文字，" * 20, "plain english words " * 30, None, ""]
     df = data.frame(spark, [(k, t, "zh", "s", 1) for k, t in enumerate(texts)])
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
-    assert got == {(0, 1), (1, 2), (2, 3), (3, 4), (5, 6)}
-    assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {4, 6, 7, 8, 9}
+    assert got == {(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (5, 6)}
+    assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {6, 7, 8, 9}
 
 
 def test_chunked_texts_keep_their_rows(monkeypatch):
@@ -256,3 +256,44 @@ def test_line_dedup(spark, monkeypatch, batches):
         assert out.columns == df.columns
         assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter((i, t if was is not None else None) for i, was, _, _, t in want)
         assert line_dedup.dedup_lines(data.frame(spark, []), digest=True).count() == 0
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_line_dedup_takes_any_ids(spark, monkeypatch, batches):
+    """Ids that are text, and dates; the same rows as with numbers in the same order."""
+    monkeypatch.setattr(line_dedup, "BATCHES", batches)
+    rows = [(k, f"a line that many of the documents share {k % 3} {'x' * 40}\nown {k}", None, None, None) for k in range(30)]
+    df = data.frame(spark, rows)
+    want = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in line_dedup.dedup_lines(df, digest=True).collect()}
+    assert sum(v[1] for v in want.values()) == 27
+    for id_ in ("format_string('id-%05d', doc_id)", "date_add(date'2020-01-01', cast(doc_id as int))"):
+        got = line_dedup.dedup_lines(df.selectExpr(f"{id_} as doc_id", "text"), digest=True)
+        other = {str(r[0]): r[1] for r in df.selectExpr(id_, "doc_id").collect()}
+        assert {other[str(r.doc_id)]: (r.n_lines, r.n_dropped, r.kept_sha256) for r in got.collect()} == want
+
+
+def test_line_dedup_lists_hold_one_text_only(spark):
+    """Rows without an id do not share a list of all their lines."""
+    line = "a line of the two thousand documents that have no id at all {}"
+    rows = [(None if k < 400 else k, line.format(k % 200), None, None, None) for k in range(1400)]
+    lists = line_dedup.drop_lists(data.frame(spark, rows)).selectExpr("size(drop) as n").collect()
+    assert max(r.n for r in lists) == 1
+
+
+def test_short_items_are_matched_whole(spark):
+    items = ["Who wrote Hamlet?", "Paris", "日本の首都", "", "?!", None, "two words", "a", "naïve café"]
+    benchmark = spark.createDataFrame([("" if k == 0 else f"i{k}", t) for k, t in enumerate(items)], "item_id string, text string")
+    texts = ["He asked: who wrote HAMLET, and when?", "who wrote Hamlets", "Parisian life", "in paris.", "質問：日本の首都はどこですか。", "日本 首都",
+             "two  words", "twowords", "Naïve, café", "", None]
+    docs = data.frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == {(0, "", 0), (3, "i1", 0), (4, "i2", 0), (6, "i6", 0), (8, "i8", 0)}
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, benchmark).collect()) == [1, 2, 5, 7, 9, 10]
+
+
+def test_long_pieces_are_not_remembered():
+    import public_tokenizers
+
+    t = token_count.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    t.count(["x" * 50_000, "日" * 20_000, "a few words"])
+    assert max(map(len, t.known)) <= token_count.REMEMBERED_CHARS and "words" in " ".join(t.known)
