@@ -4,7 +4,10 @@ A record's hash puts it into one of ``SLOTS`` virtual slots; the slots never
 change. Bytes are summed per slot, and a small table maps slots to shards.
 Version 1 of the map deals slots out in turn; rebalancing writes the next
 version, which differs only by the slots moved or swapped from the fullest to
-the emptiest shard while that brings the two closer. All versions are stored.
+the emptiest shard while that brings the two closer. With ``map_path`` the
+versions are kept there and the next run, over more documents or another number of shards,
+edits the latest one (``load_map``, ``latest_map``); without it the map of the run is an
+intermediate table.
 
 The map is built on the driver from one row per slot, ``SLOTS`` rows whatever
 the input. A record that is repeated often enough to fill a slot by itself
@@ -24,6 +27,7 @@ from __future__ import annotations
 import bisect
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -81,16 +85,44 @@ def _slotted(rows: DataFrame, hot: DataFrame, slots: int) -> DataFrame:
     return salted.withColumn("virtual_slot", F.pmod(F.xxhash64("_rec", salt), F.lit(slots)).cast("int")).drop("_hot")
 
 
-def slot_map(numbers: DataFrame, hot: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """Stored map, one row per (version, virtual_slot): shard, bytes, rows and first_place."""
+def load_map(spark: SparkSession, path: str) -> DataFrame | None:
+    """All stored versions, as ``slot_map`` gives them; None if there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def latest_map(spark: SparkSession, path: str) -> tuple[int, list[int]] | None:
+    """Number and shards (by virtual slot) of the latest stored version."""
+    stored = load_map(spark, path)
+    if stored is None:
+        return None
+    number = stored.agg(F.max("version")).first()[0]
+    return number, [r.shard for r in stored.where(F.col("version") == number).orderBy("virtual_slot").collect()]  # one row per slot
+
+
+def store_map(slot_of: DataFrame, path: str, versions: list[int]) -> None:
+    """Add versions to the stored map; one that is there already is an error."""
+    for v in versions:
+        slot_of.where(F.col("version") == v).drop("version").coalesce(1).write.parquet(f"{path.rstrip('/')}/version={v}")
+
+
+def slot_map(numbers: DataFrame, hot: DataFrame, shards: int = SHARDS, slots: int = SLOTS, before: tuple[int, list[int]] | None = None) -> DataFrame:
+    """One row per (version, virtual_slot): shard, bytes, rows and first_place; the version ``before`` (1: the slots
+    dealt out in turn) and the next one, which is edited from it. Slots of shards that are no more are dealt out in turn."""
     per = {r["virtual_slot"]: (r["b"], r["n"]) for r in
            _slotted(numbers, hot, slots).groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
     size, count = [[per.get(v, (0, 0))[k] for v in range(slots)] for k in (0, 1)]
-    versions = [[v % shards for v in range(slots)]]
-    versions.append(rebalance(size, versions[0], shards))
+    number, given = before or (1, [v % shards for v in range(slots)])
+    if len(given) != slots:
+        raise ValueError(f"the stored map has {len(given)} slots, not {slots}")
+    versions = [given, rebalance(size, [s if s < shards else v % shards for v, s in enumerate(given)], shards)]
     spark, out = numbers.sparkSession, None
-    for version, shard_of in enumerate(versions, 1):
-        first, seen = [0] * slots, [0] * shards
+    for version, shard_of in enumerate(versions, number):
+        first, seen = [0] * slots, [0] * (max(shard_of) + 1)
         for v, s in enumerate(shard_of):
             first[v], seen[s] = seen[s], seen[s] + count[v]
         values = json.dumps([list(v) for v in zip(shard_of, size, count, first)])
@@ -101,10 +133,10 @@ def slot_map(numbers: DataFrame, hot: DataFrame, shards: int = SHARDS, slots: in
     return written(out, "slot-map")
 
 
-def assign_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, digest_only: bool = False) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, digest_only: bool = False, map_path: str | None = None) -> DataFrame:
     """Rows of ``docs`` with size, text_crc32, law, shard, slot, grown_shard, virtual_slot and map_version.
 
-    ``digest_only`` keeps doc_id and these columns; texts are then read once and never shuffled.
+    ``map_path``: folder of the stored map, which this run edits and adds its version to. ``digest_only`` keeps doc_id and these columns; texts are then read once and never shuffled.
     """
     own = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "map_version"]
     keep = ["doc_id"] if digest_only else [c for c in docs.columns if c.lower() not in own]
@@ -112,14 +144,17 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, dig
     numbers = written(keyed.select("_doc_doc_id", "size", "text_crc32", "_rec", "_at"), "shard-sizes")
     n = numbers.count()
     hot = written(numbers.groupBy("_rec").count().where(F.col("count") * slots > n).where("count > 1"), "shard-hot")
-    slot_of = slot_map(numbers, hot, shards, slots)
-    current = slot_of.where(F.col("version") == 2).select("virtual_slot", F.col("shard").cast("int").alias("shard"), "first_place")
+    before = latest_map(docs.sparkSession, map_path) if map_path else None
+    slot_of, version = slot_map(numbers, hot, shards, slots, before), (before[0] if before else 1) + 1
+    if map_path:
+        store_map(slot_of, map_path, [version] if before else [1, version])
+    current = slot_of.where(F.col("version") == version).select("virtual_slot", F.col("shard").cast("int").alias("shard"), "first_place")
     rows = numbers if digest_only else keyed
     placed = _slotted(rows, hot, slots).withColumn(
         "_row", F.row_number().over(W.partitionBy("virtual_slot").orderBy("_doc_doc_id", "_rec", "_at")) - 1)
     return placed.join(current, "virtual_slot").select(
         *[F.col(f"_doc_{c}").alias(c) for c in keep], "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_place") + F.col("_row")).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(2).alias("map_version"))
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(version).alias("map_version"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

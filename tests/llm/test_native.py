@@ -124,6 +124,31 @@ def test_mix_splits_one_hot_repeated_row(spark):
         assert abs(sum(r.taken for r in own) - own[0].target) <= size
 
 
+def test_stored_map_is_edited(spark, tmp_path):
+    """Three runs over one stored map: the same documents with more of them, then with more and with fewer shards."""
+    import random
+
+    rng, path = random.Random(2), str(tmp_path / "map")
+    docs = [(k, data.sentence(rng, rng.randrange(1, 60)), "en", "s", 1) for k in range(2500)]
+    runs = [(docs[:2000], 8), (docs, 8), (docs, 10), (docs, 7)]
+    maps = []
+    for number, (rows, shards) in enumerate(runs, 2):
+        out = sharding.assign_shards(data.frame(spark, rows), shards, map_path=path).collect()
+        assert {r.map_version for r in out} == {number}
+        version, shard_of = sharding.latest_map(spark, path)
+        assert version == number and all(shard_of[r.virtual_slot] == r.shard for r in out)
+        load = [sum(r.size for r in out if r.shard == s) for s in range(shards)]
+        assert max(load) - min(load) < 0.02 * sum(load) / shards and set(shard_of) == set(range(shards))
+        for s in range(shards):
+            assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+        maps.append({r.doc_id: r.shard for r in out})
+    moved = [sum(a[k] != b[k] for k in a) / len(a) for a, b in zip(maps, maps[1:])]
+    assert moved[0] < 0.1 and moved[1] < 0.35 and moved[2] < 0.5, moved  # a deal in turn anew would move most of them
+    assert sharding.load_map(spark, path).select("version").distinct().count() == 5
+    with pytest.raises(ValueError):
+        sharding.assign_shards(data.frame(spark, docs[:5]), 8, slots=64, map_path=path)
+
+
 # ------------------------------------------------------------------ licenses
 #: Short notices of some licenses, without naming words; two phrases under five words.
 TEMPLATES = (
