@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from .config import Rules, fixture_rules
 from .functions.dates import as_date
 from .plans import history as HS
+from .plans.touch_state import TouchState
 
 
 def _rules(path: str | None, fixtures: bool) -> Rules:
@@ -44,6 +45,8 @@ def main(argv=None) -> None:
                                    "backfill-daily", "coverage-report", "hub-top", "export-hub", "vacuum"])
     p.add_argument("--snapshots", required=True, help="snapshot table folder (partitioned by snapshot_date)")
     p.add_argument("--hub", help="hub folder (partitioned by anchor)")
+    p.add_argument("--touches", help="folder of touch counts kept between runs (partitioned by day)")
+    p.add_argument("--settled-days", type=int, help="stored touch days further back are not compared with the sources again")
     p.add_argument("--anchor", help="as-of date for refresh / hub-top")
     p.add_argument("--start")
     p.add_argument("--end")
@@ -58,24 +61,26 @@ def main(argv=None) -> None:
     builder = SparkSession.builder.appName("pulseboard")
     spark = (builder.master(args.master) if args.master else builder).getOrCreate()
     path = args.snapshots
+    touches = TouchState(spark, args.touches, args.settled_days) if args.touches else None
     if args.job == "vacuum":
-        tables = [HS.snapshot_table(spark, path), *([HS.hub_table(spark, args.hub)] if args.hub else [])]
+        tables = [HS.snapshot_table(spark, path), *([HS.hub_table(spark, args.hub)] if args.hub else []),
+                  *([touches.table] if touches else [])]
         print(sum(t.vacuum() for t in tables), "files of lost writers deleted")
         return
     rules = _rules(args.rules, bool(args.fixtures))
     src = _sources(spark, args)
     if args.job == "refresh":
-        HS.refresh(spark, src, rules, as_date(args.anchor), args.hub, path)
+        HS.refresh(spark, src, rules, as_date(args.anchor), args.hub, path, touches)
     elif args.job == "backfill":
-        HS.backfill_snapshots(spark, src, rules, args.start, args.end, path)
+        HS.backfill_snapshots(spark, src, rules, args.start, args.end, path, touches)
     elif args.job == "enrich":
-        print(HS.enrich_counts(spark, src, rules, args.start, args.end, path), "rows enriched")
+        print(HS.enrich_counts(spark, src, rules, args.start, args.end, path, touches), "rows enriched")
     elif args.job == "recompute-scores":
-        print(HS.recompute_scores(spark, src, rules, args.start, args.end, path), "rows recomputed")
+        print(HS.recompute_scores(spark, src, rules, args.start, args.end, path, touches), "rows recomputed")
     elif args.job == "recompute-renewals":
-        print(HS.recompute_renewals(spark, src, rules, args.start, args.end, path), "rows recomputed")
+        print(HS.recompute_renewals(spark, src, rules, args.start, args.end, path, touches), "rows recomputed")
     elif args.job == "backfill-daily":
-        print(HS.backfill_daily(spark, src, rules, path), "rows filled")
+        print(HS.backfill_daily(spark, src, rules, path, touches), "rows filled")
     elif args.job == "coverage-report":
         report = HS.stored_coverage_report(spark, path)
         if args.out:

@@ -34,6 +34,7 @@ from ..sources import Sources
 from ..sources.daytable import FILES_PER_DAY, Day, DayTable, Version
 from . import hub as H
 from .job import MetricsJob
+from .touch_state import TouchState
 
 L, D_, S_ = T.LongType(), T.DoubleType(), T.StringType()
 SNAPSHOT_SPEC: list[tuple[str, T.DataType]] = [
@@ -210,11 +211,14 @@ def latest_hub(spark: SparkSession, hub_path: str, anchor: dt.date) -> DataFrame
 
 
 def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: str,
-            snapshots_path: str) -> DataFrame:
+            snapshots_path: str, touches: TouchState | None = None) -> DataFrame:
     """Daily refresh. (1) replace the snapshot of ``anchor`` with the hub as it
     stands (the previous build: a second run on the same day stores that
     day's rebuild) plus yesterday's daily columns; (2) rebuild the hub.
 
+    ``touches``: touch counts kept from run to run; only days that are new or
+    changed are reduced from the sources again.
+
     The hub is stored by ``anchor``, so each build replaces only its own
     day and older builds stay readable. Each table changes in one step;
     a refresh lost between the two is completed by running it again."""
@@ -222,7 +226,7 @@ def refresh(spark: SparkSession, src: Sources, rules: Rules, anchor, hub_path: s
 
     anchor = as_date(anchor)
     hubs, snapshots = hub_table(spark, hub_path), snapshot_table(spark, snapshots_path)
-    job = MetricsJob(src, rules, Anchors.of(anchor), every_rep=True)  # both steps read each source once
+    job = MetricsJob(src, rules, Anchors.of(anchor), every_rep=True, touch_state=touches)  # both steps read each source once
     try:
         if hubs.exists():
             prev = latest_hub(spark, hub_path, anchor).drop("anchor")
@@ -400,12 +404,13 @@ def coverage_report(snapshots: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- job wrappers (write)
-def backfill_snapshots(spark: SparkSession, src: Sources, rules: Rules, start, end, path: str) -> None:
+def backfill_snapshots(spark: SparkSession, src: Sources, rules: Rules, start, end, path: str,
+                       touches: TouchState | None = None) -> None:
     """Replace the snapshots of [start, end] (delete the range, insert the
     recomputed rows) in one version: dates that produced no rows are emptied."""
     table, staged, dates = snapshot_table(spark, path), {}, Anchors.between(start, end).dates
     for a in _chunks(dates):
-        job = MetricsJob(src, rules, a, "legacy")
+        job = MetricsJob(src, rules, a, "legacy", touch_state=touches)
         try:
             staged |= table.stage(conform(backfill_rows(src, rules, a, job)))
         finally:
@@ -418,12 +423,12 @@ def _chunks(dates) -> list[Anchors]:
     return [Anchors.of(*dates[k:k + CHUNK_DAYS]) for k in range(0, len(dates), CHUNK_DAYS)]
 
 
-def _upsert_job(spark, src, rules, dates, path, variant, build, cols) -> int:
+def _upsert_job(spark, src, rules, dates, path, variant, build, cols, touches=None) -> int:
     """All dates of the job in one version, computed from the version that it started with."""
     table, staged, matched = snapshot_table(spark, path), {}, 0
     base = table.version()
     for a in _chunks(list(dates)):
-        job = MetricsJob(src, rules, a, variant)
+        job = MetricsJob(src, rules, a, variant, touch_state=touches)
         try:
             snaps = read_snapshots(spark, path, a.dates, base)
             made, n = _stage_upsert(table, base, build(src, rules, a, snaps, job), cols, a.dates)
@@ -434,22 +439,22 @@ def _upsert_job(spark, src, rules, dates, path, variant, build, cols) -> int:
     return matched
 
 
-def enrich_counts(spark, src, rules, start, end, path) -> int:
+def enrich_counts(spark, src, rules, start, end, path, touches=None) -> int:
     return _upsert_job(spark, src, rules, Anchors.between(start, end).dates, path, "legacy",
-                       enrich_updates, ENRICH_COLS)
+                       enrich_updates, ENRICH_COLS, touches)
 
 
-def recompute_scores(spark, src, rules, start, end, path) -> int:
+def recompute_scores(spark, src, rules, start, end, path, touches=None) -> int:
     return _upsert_job(spark, src, rules, Anchors.between(start, end).dates, path, "names",
-                       recompute_score_updates, SCORE_COLS)
+                       recompute_score_updates, SCORE_COLS, touches)
 
 
-def recompute_renewals(spark, src, rules, start, end, path) -> int:
+def recompute_renewals(spark, src, rules, start, end, path, touches=None) -> int:
     return _upsert_job(spark, src, rules, Anchors.between(start, end).dates, path, "names",
-                       recompute_renewal_updates, RENEWAL_COLS)
+                       recompute_renewal_updates, RENEWAL_COLS, touches)
 
 
-def backfill_daily(spark, src, rules, path) -> int:
+def backfill_daily(spark, src, rules, path, touches=None) -> int:
     # the list of dates is bounded by the calendar (one value per day)
     dates = [r[0] for r in stored_missing_dates(spark, path).collect()]
     if not dates:
@@ -458,7 +463,7 @@ def backfill_daily(spark, src, rules, path) -> int:
     def build(src_, rules_, a, stored, job):
         return backfill_daily_updates(src_, rules_, list(a.dates), conform(stored), job)
 
-    return _upsert_job(spark, src, rules, dates, path, "names", build, DAILY_COLS)
+    return _upsert_job(spark, src, rules, dates, path, "names", build, DAILY_COLS, touches)
 
 
 def export_hub_json(hub_df: DataFrame, path: str) -> None:

@@ -26,22 +26,26 @@ from ..operators import touches as T
 from ..operators.common import ts_bounds
 from ..operators.partials import Partials
 from ..sources import Sources
+from .touch_state import TouchState
 
 
 class MetricsJob:
     def __init__(self, src: Sources, rules: Rules, anchors: Anchors, variant: str = "current",
-                 dedupe: bool = False, every_rep: bool = False):
+                 dedupe: bool = False, every_rep: bool = False, touch_state: TouchState | None = None):
         """``variant`` picks the allowlist form: "current" (full columns, UNION
         ALL with exceptions), "names" (DISTINCT names + exceptions, recompute
         scripts) or "legacy" (DISTINCT names, no exceptions, older backfills).
         ``dedupe`` lists a name once where the source counts it per listing.
         ``every_rep``: the job also needs touches of reps outside the allowlist
-        (always so for "legacy"), so one reduction of all reps serves both."""
+        (always so for "legacy"), so one reduction of all reps serves both.
+        ``touch_state``: touch counts kept between runs; the job brings its days up
+        to date on first use and reads them instead of reducing the sources."""
         if variant not in ("current", "names", "legacy"):
             raise ValueError(variant)
         self.variant = variant
         self.dedupe = dedupe
-        self.every_rep = every_rep or variant == "legacy"
+        self.touch_state = touch_state
+        self.every_rep = every_rep or variant == "legacy" or touch_state is not None
         self.src = src
         self.rules = rules
         self.anchors = anchors
@@ -121,6 +125,9 @@ class MetricsJob:
     @cached_property
     def all_touch_days(self) -> DataFrame:
         """(rep, org, day) counts over every rep's touches (persisted)."""
+        if self.touch_state is not None:
+            self.touch_state.update(self.src, self.rules, self.touch_lo, self.touch_hi)
+            return self._keep(self.touch_state.read(self.src, self.rules, self.touch_lo, self.touch_hi))
         return self._keep(T.touch_days(self.touches_all))
 
     @cached_property

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +25,13 @@ from .operators import roster as R
 from .operators import score as S
 from .operators import sla as SL
 from .operators import touches as T
-from .operators.common import per_anchor
+from .operators.common import per_anchor, ts_bounds
 from .plans import history as HS
 from .plans import hub as H
 from .plans.job import MetricsJob
+from .plans.touch_state import TouchState
 from .session import ensure_checkpoint_dir
-from .sources import load_table_sources
+from .sources import Sources, load_table_sources
 from .sources.materialize import fixture_sources as load_fixture_sources
 
 ANCHOR = dt.date(1998, 6, 16)
@@ -562,6 +564,39 @@ def q_refresh(spark, sf):
     return HS.read_snapshots(spark, snap_path)
 
 
+def _behind(src: Sources, day: dt.date) -> Sources:
+    """The sources as a run of ``day`` finds them if the second call system lags ten days."""
+    cut = lambda df, ts, before: df.where(ts_bounds(ts, dt.date(1, 1, 1), before))
+    return replace(src, actions=cut(src.actions, "closed_at", day), calls_a=cut(src.calls_a, "start_at", day),
+                   calls_b=cut(src.calls_b, "inserted_at", day - dt.timedelta(days=10)))
+
+
+STATE_LO = ANCHOR - dt.timedelta(days=120)
+
+
+@query("touch_state", f"""select rep, org, day, count(*) filter (where channel = 'action') as n_act,
+  count(*) filter (where channel <> 'action' and long) as n_long, count(*) as n_any
+from touches where day >= date '{STATE_LO}' and day < date '{ANCHOR}' group by all""")
+def q_touch_state(spark, sf):
+    """Touch counts kept between runs: one run without late calls, then one that finds them."""
+    src, rules = load_fixture_sources(spark, sf), fixture_rules()
+    state = TouchState(spark, _store(spark, "touches"))
+    state.update(_behind(src, HISTORY[0]), rules, STATE_LO, HISTORY[0])
+    state.update(src, rules, STATE_LO, ANCHOR)
+    return state.read(src, rules, STATE_LO, ANCHOR)
+
+
+@query("refresh_touch_state", "select * from hub")
+def q_refresh_touch_state(spark, sf):
+    """A daily refresh over touch counts that an earlier run left behind, late calls included."""
+    src, rules = load_fixture_sources(spark, sf), fixture_rules()
+    _, snap_path = _stored_snapshots(spark, sf, "state-snaps")
+    state, before = TouchState(spark, _store(spark, "touches")), ANCHOR - dt.timedelta(days=1)
+    job = MetricsJob(src, rules, Anchors.of(before))
+    state.update(_behind(src, before), rules, job.touch_lo, job.touch_hi)
+    return HS.refresh(spark, src, rules, ANCHOR, _store(spark, "hub"), snap_path, state).drop("last_refreshed_at")
+
+
 @query("rep_allowlist_names", "select * from allow_names")
 def q_allow_names(spark, sf):
     return job_for(spark, sf, variant="names").allow
