@@ -3,13 +3,16 @@
 Lines are read once into references (key hash, id): a line's key is the line
 without white space at its ends, A-Z lower-cased; only keys of at least
 ``MIN_CHARS`` code points matter. References are cut into batches by id, from
-the largest ids down. The index is a set of runs, each sorted by hash and
-written to the shared folder. A batch is reduced to one row per hash and
-merge-anti-joined with the runs: hashes that no run holds are new, and the
-largest id of the batch is the line's keeper; known hashes only add to their
-count. The batch's rows become a run of level 0; ``FANOUT`` runs of a level are
-merged into one run of the next. At the end the runs are merged, and hashes of
-at least ``MIN_DOCS`` documents lose their lines outside the keeper.
+the largest ids down, and written batch by batch, so that each reads its own
+only. The index is a set of runs, tables bucketed and sorted by hash in the
+shared folder, all of the same number of buckets. A batch is reduced to one row
+per hash, which brings it into the same buckets, and merge-anti-joined with the
+runs, bucket with bucket: hashes that no run holds are new, and the largest id
+of the batch is the line's keeper; known hashes only add to their count. The
+batch's rows become a run of level 0; ``FANOUT`` runs of a level are merged into
+one run of the next, again bucket with bucket. So only a batch's own rows are
+shuffled, runs never. At the end the runs are merged, and hashes of at least
+``MIN_DOCS`` documents lose their lines outside the keeper.
 
 A line that a third of all documents hold is one row per hash after the
 map-side sums. The texts are then joined with their own few hashes to drop, by
@@ -25,6 +28,7 @@ between ids; empty tables and extra columns are ordinary.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..session import written
+from ..session import ensure_checkpoint_dir, written
 from .common import table
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -58,37 +62,50 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, id_type: str, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.schema = f"key binary, docs long, keeper struct<id:{id_type}>"
         self.levels: list[list[DataFrame]] = []
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        """Runs with equal keys summed; a key has its keeper in the one run that brought it in."""
+        """Runs with equal keys summed; a key has its keeper in the one run that brought it in. Two at a time, smallest
+        first, by outer joins of buckets: a union would be shuffled again."""
         out = runs[0]
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out.groupBy("key").agg(F.sum("docs").alias("docs"), F.first("keeper", ignorenulls=True).alias("keeper"))
+        for k, r in enumerate(runs[1:], 1):
+            if k > 1:
+                out = self._sorted(out, "line_merge")
+            docs = F.coalesce("docs", F.lit(0)) + F.coalesce("_docs", F.lit(0))
+            out = out.join(r.select("key", F.col("docs").alias("_docs"), F.col("keeper").alias("_keeper")), "key", "full_outer").select(
+                "key", docs.alias("docs"), F.coalesce("keeper", "_keeper").alias("keeper"))
+        return out
 
     def _sorted(self, run: DataFrame, label: str) -> DataFrame:
-        return written(run.repartition("key").sortWithinPartitions("key"), label)
+        """``run`` written in sorted buckets. Buckets need a table name while they are written; the
+        files stay when the name is dropped, and what is returned reads them."""
+        name = f"{label}_{uuid.uuid4().hex}"
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}"
+        run.write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(name)
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def runs(self) -> list[DataFrame]:
+        return [r for level in self.levels for r in level]
 
     def rows(self) -> DataFrame:
-        runs = [r for level in self.levels for r in level]
+        runs = self.runs()
         return self._merged(runs) if runs else self.spark.createDataFrame([], self.schema)
 
     def add(self, batch: DataFrame) -> None:
         """Add a batch (key, id), one row per document and key; its ids are smaller than those of earlier batches."""
         mine = batch.groupBy("key").agg(F.count("*").alias("docs"), F.max(F.struct(F.col("id").isNotNull(), "id")).alias("top"))
         mine = mine.select("key", "docs", F.struct(F.col("top.id").alias("id")).alias("keeper"))
-        known = [r.select("key") for level in self.levels for r in level]
-        if known:
-            mine = written(mine, "line-batch")
-            seen = known[0]
-            for k in known[1:]:
-                seen = seen.unionByName(k)
-            fresh = mine.join(seen, "key", "left_anti")
-            again = mine.join(seen, "key", "left_semi").withColumn("keeper", F.lit(None).cast(mine.schema["keeper"].dataType))
-            mine = fresh.unionByName(again)
-        self._push(0, self._sorted(mine, "line-run0"))
+        fresh = F.lit(True)
+        for k, run in enumerate(self.runs()):  # a run holds a key once
+            mine = mine.join(run.select("key", F.lit(True).alias(f"_in{k}")), "key", "left")
+            fresh = fresh & F.col(f"_in{k}").isNull()
+        mine = mine.select("key", "docs", F.when(fresh, F.col("keeper")).alias("keeper"))
+        self._push(0, self._sorted(mine, "line_run0"))
 
     def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
@@ -96,7 +113,7 @@ class LineRuns:
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._push(level + 1, self._sorted(self._merged(full), f"line-run{level + 1}"))
+            self._push(level + 1, self._sorted(self._merged(full), f"line_run{level + 1}"))
 
 
 def references(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -117,26 +134,34 @@ def references(docs: DataFrame, min_chars: int) -> DataFrame:
     return rows.mapInArrow(run, f"key binary, id {id_type}, th long")
 
 
-def _cuts(refs: DataFrame, batches: int) -> list:
-    """Ids, descending, that cut the references into batches of about equal size; from a bounded sample if ids are not numbers."""
+def _cuts(ids: DataFrame, batches: int) -> list:
+    """Ids, descending, that cut the documents into batches of about equal size; from a bounded sample if ids are not
+    numbers. Any cuts give the same lines."""
     shares = [k / batches for k in range(batches - 1, 0, -1)]
-    if isinstance(refs.schema["id"].dataType, NumericType):
-        return refs.approxQuantile("id", shares, 0.01) if shares else []
-    sample = refs.select("id").where("id is not null").orderBy(F.xxhash64("id", "key")).limit(SAMPLE).collect()
-    ids = sorted(r.id for r in sample)
-    return [ids[int(len(ids) * s)] for s in shares] if ids else []
+    if isinstance(ids.schema["id"].dataType, NumericType):
+        return list(dict.fromkeys(ids.approxQuantile("id", shares, 0.01))) if shares else []
+    sample = sorted(r.id for r in ids.where("id is not null").orderBy(F.rand(0)).limit(SAMPLE).collect())
+    return list(dict.fromkeys(sample[int(len(sample) * s)] for s in shares)) if sample else []
+
+
+def _in_batches(refs: DataFrame, cuts: list) -> DataFrame:
+    """``refs`` written in a folder per batch: 0 holds the largest ids, the last one the smallest and null."""
+    batch = F.lit(0)
+    for c in cuts:
+        batch = batch + F.coalesce(F.col("id") < F.lit(c), F.lit(True)).cast("int")
+    rows = refs.withColumn("batch", batch)
+    path = f"{ensure_checkpoint_dir(refs.sparkSession).rstrip('/')}/line-refs-{uuid.uuid4().hex}"
+    rows.write.partitionBy("batch").parquet(path)
+    return refs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def drop_lists(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None) -> DataFrame:
     """(id, th, drop): the hashes whose lines the rows of an id and text lose, at most those that the text has."""
-    refs = written(references(docs, min_chars), "line-refs")
-    cuts = _cuts(refs, batches or BATCHES)
-    runs, above = LineRuns(docs.sparkSession, refs.schema["id"].dataType.simpleString()), None
-    for low in [*dict.fromkeys(cuts), None]:
-        part = refs if above is None else refs.where((F.col("id") < F.lit(above)) | F.col("id").isNull())
-        part = part if low is None else part.where(F.col("id") >= F.lit(low))
-        runs.add(part.select("key", "id").distinct())  # rows that repeat an id are one document
-        above = low
+    cuts = _cuts(docs.select(F.col("doc_id").alias("id")), batches or BATCHES)
+    refs = _in_batches(references(docs, min_chars), cuts)
+    runs = LineRuns(docs.sparkSession, refs.schema["id"].dataType.simpleString())
+    for k in range(len(cuts) + 1):
+        runs.add(refs.where(F.col("batch") == k).select("key", "id").distinct())  # rows that repeat an id are one document
     frequent = written(runs.rows().where(F.col("docs") >= min_docs), "line-frequent")
     lost = refs.join(frequent, "key").where(~F.col("id").eqNullSafe(F.col("keeper.id")))
     return lost.groupBy("id", "th").agg(F.collect_set("key").alias("drop"))

@@ -272,6 +272,42 @@ def test_line_dedup_takes_any_ids(spark, monkeypatch, batches):
         assert {other[str(r.doc_id)]: (r.n_lines, r.n_dropped, r.kept_sha256) for r in got.collect()} == want
 
 
+def test_line_runs_meet_without_a_shuffle(spark, monkeypatch, capsys):
+    """Runs are merged, and a batch is compared with them, bucket with bucket; a stored run is sorted within its files."""
+    plans = []
+    real = line_dedup.LineRuns._sorted
+
+    def watched(self, run, label):
+        capsys.readouterr()
+        run.explain()
+        plans.append((label, capsys.readouterr().out))
+        return real(self, run, label)
+
+    monkeypatch.setattr(line_dedup.LineRuns, "_sorted", watched)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = line_dedup.LineRuns(spark, "bigint")
+        for lo in (300, 200, 100):
+            keys = spark.range(lo, lo + 150).selectExpr("cast(md5(cast(id % 220 as string)) as binary) as key", "id").distinct()
+            runs.add(keys)
+        rows = {bytes(r.key): (r.docs, r.keeper.id) for r in runs.rows().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    want, top = {}, {}
+    for lo in (300, 200, 100):
+        batch = {}
+        for i in range(lo, lo + 150):
+            want[i % 220] = want.get(i % 220, 0) + 1
+            batch[i % 220] = max(i, batch.get(i % 220, i))
+        top = batch | top
+    assert sorted(rows.values()) == sorted((want[k], top[k]) for k in want)
+    # a batch is shuffled (its own distinct rows, then its hashes), a run never
+    shuffles = [(label, text.count("Exchange hashpartitioning"), text.count("Bucketed: true")) for label, text in plans]
+    alone = shuffles[0][1]
+    assert shuffles == [("line_run0", alone, 0), ("line_run0", alone, 1), ("line_run1", 0, 2), ("line_run0", alone, 1)], shuffles
+
+
 def test_line_dedup_lists_hold_one_text_only(spark):
     """Rows without an id do not share a list of all their lines."""
     line = "a line of the two thousand documents that have no id at all {}"
