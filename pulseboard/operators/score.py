@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import bisect
+import datetime as dt
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import GREEN_AT, HIGH_RISK_LEVELS, NO_RENEWAL_PILLAR_PATTERNS, YELLOW_AT
 from ..functions.dates import Anchors
 from ..functions.numeric import round_half_up
-from .common import last_before
 from .touches import touch_norm
 
 
@@ -28,23 +31,39 @@ def interaction_signals(signals: DataFrame) -> DataFrame:
     )
 
 
+#: Days before the first anchor in which its latest analysis date is looked for first.
+ASOF_LOOK_BACK = 31
+
+
+def latest_dates(signals: DataFrame, anchors: Anchors) -> dict[dt.date, dt.date]:
+    """Latest analysis date on or before each anchor; anchors without one are absent.
+
+    Only the dates from ``ASOF_LOOK_BACK`` days before the first anchor on are read, by a pushed-down range;
+    if none of them precedes it, the one latest date further back is looked up too. One value per day."""
+    day, lo = F.col("analysis_date"), anchors.lo - dt.timedelta(days=ASOF_LOOK_BACK)
+    near = signals.where((day >= F.lit(lo)) & (day <= F.lit(anchors.hi))).select("analysis_date").distinct()
+    dates = sorted(r[0] for r in near.collect())
+    if not dates or dates[0] > anchors.lo:
+        before = signals.where(day < F.lit(lo)).agg(F.max(day)).first()[0]
+        dates = ([before] if before else []) + dates
+    at = {a: bisect.bisect_right(dates, a) for a in anchors.dates}
+    return {a: dates[k - 1] for a, k in at.items() if k}
+
+
 def interaction_signals_asof(signals: DataFrame, anchors: Anchors) -> DataFrame:
     """Per (anchor, rep): the two counts over rows of the single latest analysis
     date on or before the anchor (one date for all reps). The dates are found
-    first, from one column; only their rows are read again and counted per
+    first; they reach the scan as literals, and only their rows are counted per
     (date, rep) before they meet the anchors."""
-    signals = signals.where(F.col("analysis_date") <= F.lit(anchors.hi))  # later rows never qualify
-    dates = signals.select(F.lit(0).alias("_all"), "analysis_date")
-    probes = anchors.df(signals.sparkSession).select(F.lit(0).alias("_all"), F.date_add("anchor", 1).alias("_next"))
-    latest = last_before(dates, probes, ["_all"], "analysis_date", "_next", "analysis_date_").select(
-        F.date_sub("_next", 1).alias("anchor"), F.col("analysis_date_").alias("analysis_date"))
-    needed = latest.select("analysis_date").distinct()
-    per_day = signals.join(needed, "analysis_date", "left_semi").groupBy("analysis_date", "rep").agg(
+    latest = latest_dates(signals, anchors)
+    per_day = signals.where(F.col("analysis_date").isin(*sorted(set(latest.values())))).groupBy("analysis_date", "rep").agg(
         F.count_if(F.col("risk_level").isin(*HIGH_RISK_LEVELS)).alias("high_risk_org_count"),
         F.count_if(F.col("cancel_intent") == F.lit(True)).alias("cancellation_intent_count"),
     )
-    return per_day.join(latest, "analysis_date").select(
-        "anchor", "rep", "high_risk_org_count", "cancellation_intent_count")
+    pairs = json.dumps([{"anchor": str(a), "analysis_date": str(d)} for a, d in latest.items()])
+    pairs = F.from_json(F.lit(pairs), "array<struct<anchor:date,analysis_date:date>>")
+    days = signals.sparkSession.range(1).select(F.inline(pairs))
+    return per_day.join(days, "analysis_date").select("anchor", "rep", "high_risk_org_count", "cancellation_intent_count")
 
 
 def renewal_pillar_allowed(segment) -> Column:
@@ -89,8 +108,6 @@ def churn_gate(has_unattempted, composite) -> Column:
 
 def score_7d_ago(snapshots: DataFrame, anchors: Anchors, days: int = 7) -> DataFrame:
     """(anchor, rep, composite_score_7d_ago) from the snapshot dated anchor - 7."""
-    import datetime as dt
-
     wanted = [d - dt.timedelta(days=days) for d in anchors.dates]
     a = anchors.df(snapshots.sparkSession).select("anchor", F.date_sub("anchor", days).alias("snapshot_date"))
     # literal IN list first: prunes snapshot partitions at the scan

@@ -47,3 +47,38 @@ def test_in_window(spark, start, end, incl):
                                                          else day < a + dt.timedelta(days=end))}
     got = {(r.id, r.anchor) for r in in_window(df, anchors, "day", start, end, incl).collect()}
     assert got == want
+
+
+SIGNALS = "rep string, analysis_date date, risk_level string, cancel_intent boolean"
+
+
+@pytest.mark.parametrize("offsets", [(0, 3, 9, 40), (-400, -200, 50), (2, 80), (100,), ()], ids=str)
+def test_signals_as_of(spark, offsets):
+    """Dates near, far before and after the anchors, and none; the hot date holds most rows, some have no date."""
+    from pulseboard.functions.dates import Anchors
+    from pulseboard.operators.score import interaction_signals_asof
+
+    rows = [(f"r{k % 3}", D0 + dt.timedelta(days=o), ("high", "low", None)[k % 3], k % 2 == 0) for o in offsets for k in range(7)]
+    rows += [("r0", None, "high", True)]
+    anchors = Anchors.of(*[D0 + dt.timedelta(days=k) for k in (0, 1, 8, 60)])
+    want = {}
+    for a in anchors.dates:
+        last = max((r[1] for r in rows if r[1] and r[1] <= a), default=None)
+        for r in (r for r in rows if last and r[1] == last):
+            n = want.setdefault((a, r[0]), [0, 0])
+            n[0] += r[2] == "high"
+            n[1] += r[3]
+    got = interaction_signals_asof(spark.createDataFrame(rows, SIGNALS), anchors).collect()
+    assert {(r[0], r[1]): [r[2], r[3]] for r in got} == want and len(got) == len(want)
+
+
+def test_signal_dates_reach_the_scan(spark, capsys):
+    from pulseboard.functions.dates import Anchors
+    from pulseboard.operators.score import interaction_signals_asof
+    from pulseboard.sources.materialize import fixture_sources
+
+    from .conftest import SF001
+
+    interaction_signals_asof(fixture_sources(spark, SF001).signals, Anchors.of(dt.date(1998, 6, 16))).explain("formatted")
+    pushed = [x for x in capsys.readouterr().out.splitlines() if "PushedFilters" in x]
+    assert len(pushed) == 1 and ("EqualTo(analysis_date" in pushed[0] or "In(analysis_date" in pushed[0]), pushed
