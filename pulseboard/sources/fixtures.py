@@ -19,19 +19,27 @@ from .catalog import Sources
 SNAPSHOT_FIRST_DAY = dt.date(1998, 6, 3)
 SNAPSHOT_DAYS = 14
 SIGNAL_DAY_SHIFT = 9345  # 2024-01-01 -> 1998-06-01
+DEALT_ROWS = 20_000  # rows in a task whose rows are then multiplied by months or days
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` (of about ``rows`` rows) in tasks of bounded size. Small files are read by few tasks whatever the
+    number of their rows, and what a row is multiplied into would all be made, and sorted, in the task that read it."""
+    return df.repartition(max(1, -(-rows // DEALT_ROWS)), *keys)
+
+
 def load_fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     rd = lambda n: _read(spark, sf_dir, n)
     supplier, customer, orders, lineitem = rd("supplier"), rd("customer"), rd("orders"), rd("lineitem")
     nation, region, events = rd("nation"), rd("region"), rd("events")
     # Number of suppliers: one number, computed once and inlined as a literal
     # (no cross join, and no scalar subquery inside relations a job persists).
-    k = F.lit(supplier.count())
+    n_suppliers = supplier.count()
+    k = F.lit(n_suppliers)
     sk = F.col("s_suppkey")
 
     roster = supplier.select(
@@ -111,13 +119,17 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
         F.sequence(F.lit(dt.date(1998, 5, 1)), F.lit(dt.date(1998, 12, 1)), F.expr("interval 1 month"))
     )
     nat = nation.select("n_nationkey", "n_name", "n_regionkey")
-    book = (
-        customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", contract_d.alias("d"))
-        .select("*", months.alias("month"))
-        .where(~((ck % 9 == 8) & (F.col("month") < F.lit(dt.date(1998, 7, 1)))))
+    owned = (
+        customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
         .join(supplier.select("s_suppkey", "s_name"), F.col("s_suppkey") == ck % k)
         .join(nat, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(region.select("r_regionkey", "r_name"), F.col("r_regionkey") == F.col("n_regionkey"))
+    )
+    book = (
+        _dealt(owned, customer.count(), "c_custkey")
+        .select("*", contract_d.alias("d"))
+        .select("*", months.alias("month"))
+        .where(~((ck % 9 == 8) & (F.col("month") < F.lit(dt.date(1998, 7, 1)))))
         .select(
             ck.alias("org"),
             F.col("month").cast("date").alias("month"),
@@ -227,7 +239,7 @@ def load_fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
 
     i = F.col("i")
     snapshots = (
-        supplier.select("s_suppkey", "s_name")
+        _dealt(supplier.select("s_suppkey", "s_name"), n_suppliers, "s_suppkey")
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_DAYS - 1))).alias("i"))
         .select(
             F.date_add(F.lit(SNAPSHOT_FIRST_DAY), i).alias("snapshot_date"),
