@@ -33,8 +33,14 @@ class Partials:
 
 
 def together(*metrics: Partials) -> DataFrame:
-    """(anchor, rep) and the outputs of all metrics, for every key that any of them has."""
+    """(anchor, rep) and the outputs of all metrics, for every key that any of them has.
+
+    The rows of several metrics are shuffled as they are, then reduced. Their figures are mostly null and take little
+    there, but a reduced key holds them all: reduced before the shuffle, each task of each metric would hold nearly
+    every key at that width, since few bytes of narrow rows make a task. After it, a task holds its own keys only."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [m.rows.select(*KEY, *m.merge) for m in metrics])
+    if len(metrics) > 1:
+        rows = rows.repartition(*KEY)
     figures = {c: how for m in metrics for c, how in m.merge.items()}
     merged = rows.groupBy(*KEY).agg(*[MERGE[how](c).alias(c) for c, how in figures.items()])
     return merged.select(*KEY, *[c.alias(n) for m in metrics for n, c in m.finish.items()])
